@@ -7,7 +7,9 @@ most its own tasks.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +17,12 @@ from pyspark.sql import functions as F
 from martloom.functions import SHIPPED, as_date, previous_week, week_start
 from martloom.operators import dimensions as dims
 from martloom.operators import facts
-from martloom.operators.cleaning import dedup_if_keyed, default_missing_column, drop_if_present
+from martloom.operators.cleaning import dedup_if_keyed, drop_if_present
 from martloom.operators.keys import surrogate_ids
 from martloom.operators.quality import ACTIVITY_RULES, ORDER_RULES, check_rules, files_check, gate
-from martloom.schemas import TABLES
 from martloom.sources.csv_files import FILE, POSITION, read_full_csv, read_increment_csv
 from martloom.sources.landing import Landing, expected_increments, files_available
-from martloom.sources.warehouse import Warehouse, row_ids
+from martloom.sources.warehouse import Warehouse
 
 FULL_DATASETS = ("customer_research", "user_order_log", "user_activity_log")
 # emptied before a rebuild, facts before the dimensions they refer to
@@ -45,26 +46,32 @@ def run_full(
     day = F.lit(as_date(load_date))
     wh.create_tables(REBUILT)
     wh.create_tables(if_absent=True)
-    for name in FULL_DATASETS:
+
+    def stage(name: str) -> None:
         rows = read_full_csv(spark, f"{source_dir.rstrip('/')}/{name}.csv", name)
-        wh.overwrite(_stage(name), rows.withColumns({"id": row_ids(), "load_date": day}), batch_id)
+        wh.overwrite(_stage(name), rows.withColumn("load_date", day), batch_id)
+
+    _side_by_side([partial(stage, name) for name in FULL_DATASETS])
 
     orders = wh.read("staging.user_order_log")
     activity = wh.read("staging.user_activity_log")
     research = wh.read("staging.customer_research")
 
-    wh.overwrite("mart.d_calendar", dims.d_calendar(orders, activity, research), batch_id)
-    for table, rows, order in (
-        ("mart.d_customer", dims.d_customer_full(orders), ["customer_id"]),
-        ("mart.d_item", dims.d_item_full(orders), ["item_id", "item_name"]),
-        ("mart.d_city", dims.d_city_full(orders), ["city_id", "city_name"]),
-        ("mart.d_category", dims.d_category(research), ["category_id"]),
-    ):
+    def dimension(table: str, rows: DataFrame, order: Sequence[str]) -> None:
         wh.overwrite(table, surrogate_ids(rows, order), batch_id)
 
-    wh.overwrite("mart.f_activity", facts.f_activity(activity), batch_id)
-    wh.overwrite("mart.f_daily_sales", facts.f_daily_sales(orders), batch_id)
-    wh.overwrite("mart.f_research", facts.f_research(research), batch_id)
+    _side_by_side([
+        partial(wh.overwrite, "mart.d_calendar", dims.d_calendar(orders, activity, research), batch_id),
+        partial(dimension, "mart.d_customer", dims.d_customer_full(orders), ["customer_id"]),
+        partial(dimension, "mart.d_item", dims.d_item_full(orders), ["item_id", "item_name"]),
+        partial(dimension, "mart.d_city", dims.d_city_full(orders), ["city_id", "city_name"]),
+        partial(dimension, "mart.d_category", dims.d_category(research), ["category_id"]),
+    ])
+    _side_by_side([
+        partial(wh.overwrite, "mart.f_activity", facts.f_activity(activity), batch_id),
+        partial(wh.overwrite, "mart.f_daily_sales", facts.f_daily_sales(orders), batch_id),
+        partial(wh.overwrite, "mart.f_research", facts.f_research(research), batch_id),
+    ])
     return wh
 
 
@@ -76,32 +83,23 @@ def clean_increment(rows: DataFrame, dataset: str) -> DataFrame:
     return rows
 
 
+def _side_by_side(loads: Sequence[Callable[[], None]]) -> None:
+    """Run independent loads at the same time, so that small ones do not leave executors idle."""
+    with ThreadPoolExecutor(len(loads)) as pool:
+        for load in [pool.submit(f) for f in loads]:
+            load.result()
+
+
 def _stage_increments(wh: Warehouse, landing: Landing, days: Sequence[dt.date], batch_id) -> None:
     labels = [d.isoformat() for d in days]
-    for name in DATASETS:
-        rows = clean_increment(read_increment_csv(wh.spark, landing, name, labels), name)
-        if name == "user_order_log":
-            rows = _default_status_per_increment(wh, landing, rows, labels)
-        load_date = F.col("increment").cast("date")
-        rows = rows.withColumn("load_date", load_date)
-        if TABLES[_stage(name)].serial:
-            rows = rows.withColumn("id", row_ids(F.col("load_date")))
-        rows = rows.drop("increment", FILE, POSITION)
-        wh.replace(_stage(name), rows, days, batch_id)
-
-
-def _default_status_per_increment(wh: Warehouse, landing: Landing, rows: DataFrame, labels) -> DataFrame:
-    """Default the status of those increments only whose own file has no such column."""
-    if "status" not in rows.columns or len(labels) == 1:
-        return default_missing_column(rows)
-    without = [
-        i for i in labels
-        if "status" not in wh.spark.read.option("header", "true").csv(landing.path(i, "user_order_log")).columns
-    ]
-    if not without:
-        return rows
-    absent = F.col("increment").isin(*without)
-    return rows.withColumn("status", F.when(absent, F.lit(SHIPPED)).otherwise(F.col("status")))
+
+    def load(name: str) -> None:
+        absent = {"status": SHIPPED} if name == "user_order_log" else None
+        rows = read_increment_csv(wh.spark, landing, name, labels, defaults=absent)
+        rows = clean_increment(rows, name).withColumn("load_date", F.col("increment").cast("date"))
+        wh.replace(_stage(name), rows.drop("increment", FILE, POSITION), days, batch_id)
+
+    _side_by_side([partial(load, name) for name in DATASETS])
 
 
 def _check(wh: Warehouse, days: Sequence[dt.date], check_date: dt.date, whole_table: bool) -> None:
@@ -117,17 +115,23 @@ def _add_dimension_rows(wh: Warehouse, days: Sequence[dt.date], batch_id) -> Non
         return wh.read(_stage(name)).where(F.col("load_date").isin(*days))
 
     orders = staged("user_order_log")
-    calendar = wh.read("mart.d_calendar")
     dates = dims.d_calendar(orders, staged("user_activity_log"), staged("customer_research"))
-    wh.append("mart.d_calendar", dates.join(calendar, "date_id", "left_anti"), batch_id)
-    for table, operator, order in (
-        ("mart.d_customer", dims.d_customer_new, ["customer_id", "first_name", "last_name"]),
-        ("mart.d_item", dims.d_item_new, ["item_id", "item_name"]),
-        ("mart.d_city", dims.d_city_new, ["city_id", "city_name"]),
-    ):
+
+    def calendar() -> None:
+        new = dates.join(wh.read("mart.d_calendar"), "date_id", "left_anti")
+        wh.append("mart.d_calendar", new, batch_id)
+
+    def dimension(table: str, operator: Callable, order: Sequence[str]) -> None:
         known = wh.read(table)
         wh.append(table, surrogate_ids(operator(orders, known), order, existing=known), batch_id)
 
+    _side_by_side([
+        calendar,
+        partial(dimension, "mart.d_customer", dims.d_customer_new, ["customer_id", "first_name", "last_name"]),
+        partial(dimension, "mart.d_item", dims.d_item_new, ["item_id", "item_name"]),
+        partial(dimension, "mart.d_city", dims.d_city_new, ["city_id", "city_name"]),
+    ])
+
 
 def run_backfill(
     spark: SparkSession, landing: Landing, root: str, first: dt.date | str, last: dt.date | str,

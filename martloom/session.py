@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,3 +40,16 @@ def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: computed once, safe against executor loss."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def literal_frame(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
+    """A handful of rows as literals: one partition, no Python worker."""
+    rows = list(rows)
+    if not rows:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return spark.range(0, 0, 1, 1).select(*nothing)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema, strict=True)])
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

@@ -8,13 +8,14 @@ increments are grouped by header, and each group is one distributed scan.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.operators.cleaning import default_missing_column
 from martloom.schemas import TABLES
 from martloom.sources.landing import Landing
 
@@ -80,16 +81,22 @@ def _scan(spark: SparkSession, header: tuple[str, ...], paths: list[str], multil
 
 
 def read_csv_by_name(
-    spark: SparkSession, paths: str | Sequence[str], multiline: bool = False
+    spark: SparkSession, paths: str | Sequence[str], multiline: bool = False,
+    defaults: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Text columns of all paths, matched by name; absent columns are NULL.
 
+    ``defaults`` gives the value of a column for the rows of those files that lack it; a
+    NULL in a file that has it stays.
+
     Adds ``_file``, ``_position`` (file order of a row) and ``_corrupt_record`` (the
     line, where it has more fields than its header). Quoted line breaks need
     ``multiline=True``, which makes files unsplittable.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     scans = [_scan(spark, h, p, multiline) for h, p in _by_header(spark, paths).items()]
+    for column, value in (defaults or {}).items():
+        scans = [default_missing_column(s, column, value) for s in scans]
     out = scans[0]
     for scan in scans[1:]:
         out = out.unionByName(scan, allowMissingColumns=True)
@@ -183,14 +190,16 @@ def read_increment_csv(
     dataset: str,
     increments: Sequence[str],
     on_error: str = "raise",
+    defaults: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Extracts of the given increments, typed; every known column found in a file is kept.
 
     The result carries ``increment``, ``_file`` and ``_position``. Optional columns a file
-    does not have stay absent if no file has them, else they are NULL for its rows.
+    does not have stay absent if no file has them, else they are NULL for its rows, or the
+    value given for them in ``defaults``.
     """
     spec = TABLES[f"staging.{dataset}"]
-    raw = read_csv_by_name(spark, [landing.path(i, dataset) for i in increments])
+    raw = read_csv_by_name(spark, [landing.path(i, dataset) for i in increments], defaults=defaults)
     known = [c for c in spec.data_columns if c in raw.columns]
     missing = [c for c in spec.data_columns if c not in known and c not in spec.optional]
     if missing:

@@ -46,7 +46,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "path string, length bigint")
+        return spark.range(0).select(F.lit("").alias("path"), F.col("id").alias("length"))
     return files.select("path", "length")
 
 
@@ -78,5 +78,5 @@ def expected_increments(
     spark: SparkSession, increments: Iterable[str], datasets: Iterable[str]
 ) -> DataFrame:
     """One row per (increment, dataset) of a run's own plan."""
-    rows = [(i, d) for i in increments for d in datasets]
-    return spark.createDataFrame(rows, "increment string, dataset string")
+    one = spark.range(0, 1, 1, 1).select(F.explode(F.lit(list(increments))).alias("increment"))
+    return one.select("increment", F.explode(F.lit(list(datasets))).alias("dataset"))

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.schemas import TABLES, TableSpec, conform
-from martloom.session import materialise
+from martloom.session import literal_frame, materialise
 
 
 def overwrite_table(df: DataFrame, path: str, reads_target: bool = False) -> None:
@@ -29,14 +32,35 @@ def append_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) ->
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def _observed(found: Observation, df: DataFrame, partition: str) -> dict[str, int]:
+    """Rows per date as counted during the write."""
+    try:
+        return found.get
+    except Py4JJavaError:
+        # Spark drops the counters of a plan it can tell is empty; count that one on its own
+        dates = df.groupBy(F.col(partition).cast("string").alias("d")).count().collect()
+        return {r["d"]: r["count"] for r in dates}
+
+
+def _balanced(df: DataFrame, partition: str, serial: str | None) -> DataFrame:
+    """Rows spread for a write by ``partition``, then numbered.
+
+    Numbering comes after the last shuffle: a task that is repeated then numbers and writes
+    its own file again, and no other task has seen its numbers.
+    """
+    out = df.hint("rebalance", partition)
+    return out.withColumn(serial, row_ids(F.col(partition))) if serial else out
+
+
 def replace_partitions(
-    df: DataFrame, path: str, partition: str, expected: Iterable[dt.date] = ()
+    df: DataFrame, path: str, partition: str, expected: Iterable[dt.date] = (), serial: str | None = None
 ) -> None:
     """Write date partitions so that a rerun replaces them.
 
     Rows are rebalanced on the partition column, where Spark splits partitions that are
     too large, so one hot date is written by many tasks. A date in ``expected`` that has no
     rows in this run is emptied, which dynamic overwrite alone would leave as it was.
+    ``serial`` names a column to fill with row numbers.
     """
     spark = df.sparkSession
     expected = sorted(set(expected))
@@ -44,7 +68,7 @@ def replace_partitions(
     counts = {d: F.count_if(F.col(partition) == F.lit(d)).alias(d.isoformat()) for d in expected}
     out = df.observe(found, *counts.values()) if expected else df
     (
-        out.hint("rebalance", partition)
+        _balanced(out, partition, serial)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
@@ -52,10 +76,10 @@ def replace_partitions(
     )
     if not expected:
         return
-    rows = found.get
+    rows = _observed(found, df, partition)
     for d in expected:
         if not rows.get(d.isoformat()):
-            empty = spark.createDataFrame([], T.StructType([f for f in df.schema if f.name != partition]))
+            empty = literal_frame(spark, [], T.StructType([f for f in df.schema if f.name != partition]))
             empty.write.mode("overwrite").parquet(f"{path}/{partition}={d.isoformat()}")
 
 
@@ -69,15 +93,13 @@ def merge_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def row_ids(load_date: Column | None = None) -> Column:
+def row_ids(load_date: Column) -> Column:
     """Unique row numbers for staging loads, without a shuffle or a read of the table.
 
-    Ids grow but are not dense. With a load date, its day number is the high part, so loads
-    of different dates never meet: 15 bits of day, 17 of partition, 31 of row.
+    Ids grow but are not dense. The day number of the load is the high part, so loads of
+    different dates never meet: 15 bits of day, 17 of partition, 31 of row.
     """
     raw = F.monotonically_increasing_id()
-    if load_date is None:
-        return raw
     partition = F.shiftright(raw, 33)
     row = raw.bitwiseAND(F.lit((1 << 33) - 1))
     fits = (partition < (1 << 17)) & (row < (1 << 31))
@@ -93,6 +115,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.history_lock = threading.Lock()
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
@@ -108,13 +131,16 @@ class Warehouse:
 
     def create_tables(self, tables: Iterable[str] = tuple(TABLES), if_absent: bool = False) -> None:
         """Create the tables empty; existing ones are emptied unless ``if_absent``."""
-        for name in tables:
+        def create(name: str) -> None:
             if if_absent and self.exists(name):
-                continue
+                return
             spec = TABLES[name]
-            empty = self.spark.createDataFrame([], spec.schema)
+            empty = literal_frame(self.spark, [], spec.schema)
             empty.write.mode("overwrite").partitionBy(*spec.partition_by).parquet(self.path(name))
 
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(create, tables))
+
     def read(self, table: str) -> DataFrame:
         """Scan with the declared schema; only the columns used later are read."""
         return self.spark.read.schema(TABLES[table].schema).parquet(self.path(table))
@@ -124,7 +150,7 @@ class Warehouse:
             spec = TABLES[table]
             out = conform(df, spec)
             if spec.partition_by:
-                out = out.hint("rebalance", *spec.partition_by)
+                out = _balanced(out, spec.partition_by[0], spec.serial)
             out.write.mode("overwrite").partitionBy(*spec.partition_by).parquet(self.path(table))
 
     def append(self, table: str, df: DataFrame, batch_id: int | None = None) -> None:
@@ -137,13 +163,15 @@ class Warehouse:
         """Replace the date partitions ``df`` holds and empty the other expected ones."""
         spec: TableSpec = TABLES[table]
         with _Audit(self, table, batch_id):
-            replace_partitions(conform(df, spec), self.path(table), spec.partition_by[0], expected)
+            replace_partitions(
+                conform(df, spec), self.path(table), spec.partition_by[0], expected, spec.serial
+            )
 
     def log_checks(self, results: Iterable) -> None:
         """Append quality results, one row per check."""
         spec = TABLES["dq_checks_results"]
         rows = [tuple(r[c] for c in spec.columns) for r in results]
-        append_table(self.spark.createDataFrame(rows, spec.schema).coalesce(1), self.path(spec.name))
+        append_table(literal_frame(self.spark, rows, spec.schema), self.path(spec.name))
 
 
 class _Audit:
@@ -163,6 +191,8 @@ class _Audit:
         if failure is None and self.batch_id is not None:
             spec = TABLES["mart.load_history"]
             row = [(self.batch_id, self.table, self.start, self._now())]
-            history = self.warehouse.spark.createDataFrame(row, spec.schema).coalesce(1)
-            append_table(history, self.warehouse.path(spec.name))
+            history = literal_frame(self.warehouse.spark, row, spec.schema)
+            # loads may run side by side, but one folder takes one append at a time
+            with self.warehouse.history_lock:
+                append_table(history, self.warehouse.path(spec.name))
         return False
