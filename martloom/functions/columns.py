@@ -17,7 +17,7 @@ __all__ = [
     "as_date", "as_timestamp_ntz", "timestamp_to_date", "date_key", "day_num", "month_num",
     "year_num", "month_name", "iso_week", "week_start", "previous_week",
     "previous_week_filter", "business_date_filter", "date_range_filter", "status_filter",
-    "refund_sign", "safe_ratio", "label_concat", "is_test_text",
+    "refund_sign", "safe_ratio", "label_concat", "is_test_text", "null_spread",
 ]
 
 # They appear in stored results and must not change.
@@ -76,8 +76,9 @@ def iso_week(c: Column | str) -> Column:
 
 
 def week_start(c: Column | str) -> Column:
-    """Monday of the week a timestamp falls in."""
-    return F.date_trunc("week", _col(c)).cast("date")
+    """Monday of the week a timestamp falls in (date arithmetic: no session time zone)."""
+    day = _col(c).cast("date")
+    return F.date_sub(day, F.weekday(day))
 
 
 def previous_week(as_of: dt.date | str) -> tuple[dt.date, dt.date]:
@@ -129,3 +130,16 @@ def label_concat(c: Column | str) -> Column:
 def is_test_text(c: Column | str) -> Column:
     """True where the text holds ``test`` anywhere, in any case; NULL is no match."""
     return F.lower(F.coalesce(_col(c), F.lit(""))).contains(TEST_MARK)
+
+
+NULL_SPREAD = 1024
+
+
+def null_spread(key: Column | str, *columns: str) -> Column:
+    """0 for a key, one of 1024 numbers for a NULL key, fixed by the other columns.
+
+    Added to the keys of an anti join it sends rows without a key, which match nothing, to
+    many tasks instead of one.
+    """
+    spread = F.pmod(F.xxhash64(*columns), F.lit(NULL_SPREAD))
+    return F.when(_col(key).isNull(), spread).otherwise(F.lit(0)).cast("bigint")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions import SHIPPED
+from martloom.functions import SHIPPED, null_spread
 
 
 def project_named_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -45,4 +45,12 @@ def dedup_if_keyed(df: DataFrame, key: str, order_by: Sequence[str], within: Seq
 
 def dedup_against_history(df: DataFrame, history: DataFrame, key: str = "uniq_id") -> DataFrame:
     """Rows whose key is not staged yet; rows without a key are kept."""
-    return df.join(history.select(key), key, "left_anti").select(*df.columns)
+    # pmod(x, 1) is 0 for every key; written so that it stays a join key
+    seen = history.select(
+        F.col(key).alias("_seen"), F.pmod(F.xxhash64(key), F.lit(1)).alias("_seen_spread")
+    )
+    rows = df.withColumn("_spread", null_spread(key, *df.columns))
+    unseen = rows.join(
+        seen, (F.col(key) == F.col("_seen")) & (F.col("_spread") == F.col("_seen_spread")), "left_anti"
+    )
+    return unseen.select(*df.columns)

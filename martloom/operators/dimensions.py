@@ -7,8 +7,11 @@ rows as filtering first and shuffles far less.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.functions import (
     UNKNOWN_KEY, date_key, day_num, label_concat, month_name, month_num, timestamp_to_date, year_num,
@@ -49,13 +52,23 @@ def d_calendar(orders: DataFrame, activity: DataFrame, research: DataFrame) -> D
     )
 
 
+def group_max(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Maximum of each column per key, independently of the others.
+
+    Spark sorts its whole input for a maximum of text. The texts of a key hardly vary, so
+    where there are other columns their maximum per (key, texts) is taken first, by hash, and
+    only what that leaves is sorted.
+    """
+    texts = [f.name for f in df.schema if f.name in columns and isinstance(f.dataType, T.StringType)]
+    others = [c for c in columns if c not in texts]
+    if texts and others:
+        df = df.groupBy(*keys, *texts).agg(*[F.max(c).alias(c) for c in others])
+    return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+
+
 def d_customer_full(orders: DataFrame) -> DataFrame:
     """One row per customer; each attribute is its own maximum."""
-    return orders.groupBy("customer_id").agg(
-        F.max("first_name").alias("first_name"),
-        F.max("last_name").alias("last_name"),
-        F.max("city_id").alias("city_id"),
-    )
+    return group_max(orders, ["customer_id"], ["first_name", "last_name", "city_id"])
 
 
 def d_item_full(orders: DataFrame) -> DataFrame:

@@ -18,6 +18,9 @@ def new_keys_not_in(rows: DataFrame, key: str, dim: DataFrame, dim_key: str | No
     is empty. Spark plans ``NOT IN`` as a broadcast of the dimension whatever its size; here
     the NULL cases are two scalar subqueries and the rest is a plain anti join, for which
     Spark picks a broadcast or a sort-merge join from the size.
+
+    Where many rows share a key, reduce them to distinct candidates first, as the dimension
+    operators do.
     """
     known = dim.select(F.col(dim_key or key).alias("_known"))
     dim_rows = known.select(F.count(F.lit(1))).scalar()

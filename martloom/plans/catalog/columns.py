@@ -166,9 +166,7 @@ def _(spark, sf):
   from uol_dirty group by customer_id""", ("uol_dirty",))
 def _(spark, sf):
     rows = inputs.order_log(spark, sf, "customer_id", "last_name", "city_id", "item_name", dirty=True)
-    return rows.groupBy("customer_id").agg(
-        F.max("last_name").alias("last_name"), F.max("city_id").alias("city_id"),
-        F.max("item_name").alias("item_name"))
+    return dims.group_max(rows, ["customer_id"], ["last_name", "city_id", "item_name"])
 
 
 @query("group_sum", f"""select {ORDER_KEY_SQL} date_id, city_id, cast(sum(quantity) as bigint) quantity,
