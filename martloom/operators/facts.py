@@ -111,20 +111,25 @@ def f_daily_sales_signed(orders: DataFrame) -> DataFrame:
 def _retention(orders: DataFrame, extra_keys: list, signed: bool) -> DataFrame:
     amount = refund_sign("payment_amount", "status") if signed else F.col("payment_amount")
     extra = ["week_start"] if extra_keys else []
-    per_customer = orders.groupBy(*extra_keys, "customer_id", "item_id").agg(
-        F.count("uniq_id").alias("order_count"),
-        F.sum(amount).alias("total_revenue"),
-        F.sum(F.when(F.col("status") == REFUNDED, 1).otherwise(0)).alias("refunded_count"),
+    buyers = orders.groupBy(*extra_keys, "customer_id", "item_id").agg(
+        F.count("uniq_id").alias("n_orders"),
+        F.sum(amount).alias("paid"),
+        F.count_if(F.col("status") == REFUNDED).alias("n_refunds"),
     )
-    new, returning = F.col("order_count") == 1, F.col("order_count") > 1
-    customer, revenue = F.col("customer_id"), F.col("total_revenue")
-    return per_customer.groupBy(*extra, "item_id").agg(
-        F.count(F.when(new, customer)).alias("new_customers_count"),
-        F.count(F.when(returning, customer)).alias("returning_customers_count"),
-        F.count(F.when(F.col("refunded_count") > 0, customer)).alias("refunded_customer_count"),
-        F.sum(F.when(new, revenue).otherwise(0)).cast(MONEY).alias("new_customers_revenue"),
-        F.sum(F.when(returning, revenue).otherwise(0)).cast(MONEY).alias("returning_customers_revenue"),
-        F.sum("refunded_count").alias("customers_refunded"),
+    known = F.col("customer_id").isNotNull()
+    new, returning = F.col("n_orders") == 1, F.col("n_orders") > 1
+
+    def paid_by(group):
+        # NULL only where every buyer is in the group and none of them has an amount
+        return F.sum(F.when(group, F.col("paid")).otherwise(0)).cast(MONEY)
+
+    return buyers.groupBy(*extra, "item_id").agg(
+        F.count_if(known & new).alias("new_customers_count"),
+        F.count_if(known & returning).alias("returning_customers_count"),
+        F.count_if(known & (F.col("n_refunds") > 0)).alias("refunded_customer_count"),
+        paid_by(new).alias("new_customers_revenue"),
+        paid_by(returning).alias("returning_customers_revenue"),
+        F.sum("n_refunds").alias("customers_refunded"),
     )
 
 

@@ -30,6 +30,7 @@ def is_null(column: str) -> Column:
     return F.col(column).isNull()
 
 
+# Table and check names as they are stored with the results.
 ORDERS_CUSTOMER_NULL = Rule("user_order_log", "check_customer_id", "customer_id", is_null)
 ORDERS_TEST_STATUS = Rule("user_order_log", "check_test_data", "status", is_test_text)
 ORDERS_TEST_ITEM = Rule("user_order_log", "check_test_item", "item_name", is_test_text)

@@ -191,8 +191,8 @@ def _(spark, sf):
     wh.append("mart.d_city", nation.select(
         F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city_name")))
     wh.append("mart.d_customer", customer.select(
-        F.col("c_custkey").alias("customer_id"), F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
-        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"), F.col("c_nationkey").alias("city_id")))
+        F.col("c_custkey").alias("customer_id"), F.substring_index("c_name", "#", 1).alias("first_name"),
+        F.substring_index("c_name", "#", -1).alias("last_name"), F.col("c_nationkey").alias("city_id")))
     out = None
     for name in TABLES:
         rows = wh.read(name)
@@ -278,27 +278,24 @@ def _(spark, sf):
         .join(part, F.col("item_id") == F.col("p_partkey"))
         .select(
             "uniq_id", "date_time", F.col("c_nationkey").alias("city_id"), F.col("n_name").alias("city_name"),
-            "customer_id", F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
-            F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"), "item_id",
+            "customer_id", F.substring_index("c_name", "#", 1).alias("first_name"),
+            F.substring_index("c_name", "#", -1).alias("last_name"), "item_id",
             F.col("p_name").alias("item_name"), "quantity", "payment_amount", "status")
     )
     activity = inputs.activity_log(spark, sf)
-    days = activity.select(timestamp_to_date("date_time").alias("day")).distinct()
-    increment = F.date_format("date_time", "yyyy-MM-dd")
-    daily = activity.groupBy(timestamp_to_date("date_time").cast("timestamp_ntz").alias("date_id")).agg(
-        F.lit(1).alias("category_id"), F.lit(1).alias("geo_id"), F.sum("quantity").cast("int").alias("sales_qty"),
-        F.count(F.lit(1)).cast("decimal(14,2)").alias("sales_amt"))
-    prices = inputs.price_log(spark, sf).groupBy("category_id", "category_name").agg(
-        F.min("datetime").alias("datetime"), F.min("item_id").alias("item_id"), F.max("price").alias("price"))
-    for name, rows in (
-        ("user_order_log", orders.withColumn("increment", increment)),
-        ("user_activity_log", activity.withColumn("increment", increment)),
-        ("customer_research", daily.withColumn("increment", F.date_format("date_id", "yyyy-MM-dd"))),
-        ("price_log", prices.join(
-            days.select(F.col("day").cast("timestamp_ntz").alias("on")),
-            F.col("datetime") <= F.col("on")).withColumn("increment", F.date_format("on", "yyyy-MM-dd")).drop("on")),
+    day = timestamp_to_date("date_time").cast("timestamp_ntz")
+    research = activity.groupBy(day.alias("date_id")).agg(
+        F.min("action_id").cast("int").alias("category_id"), F.count_distinct("customer_id").cast("int").alias("geo_id"),
+        F.sum("quantity").cast("int").alias("sales_qty"), F.count(F.lit(1)).cast("decimal(14,2)").alias("sales_amt"))
+    # a price line for every item sold on a day
+    sold = orders.select(day.alias("datetime"), "item_id").distinct()
+    prices = sold.join(inputs.price_log(spark, sf).drop("datetime"), "item_id")
+    for name, rows, stamp in (
+        ("user_order_log", orders, "date_time"), ("user_activity_log", activity, "date_time"),
+        ("customer_research", research, "date_id"), ("price_log", prices, "datetime"),
     ):
-        _write_csv(rows, f"{landing.root}/{name}", ["increment"])
+        dated = rows.withColumn("increment", F.date_format(stamp, "yyyy-MM-dd"))
+        _write_csv(dated, f"{landing.root}/{name}", ["increment"])
     wh = runs.run_backfill(
         spark, landing, scratch_path(spark, "warehouse"), "2024-01-01", "2024-01-30", batch_id=1)
     return wh.read("mart.f_sales").withColumn("customer_id", F.col("customer_id").cast("bigint"))

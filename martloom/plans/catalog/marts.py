@@ -153,15 +153,15 @@ def _(spark, sf):
 
 def _retention_sql(source: str, where: str, period: str, week: str = "") -> str:
     key, out = (f"{week} week_start, ", "week_start, ") if week else ("", "")
-    return f"""select {out}count(case when order_count = 1 then customer_id end) new_customers_count,
-  count(case when order_count > 1 then customer_id end) returning_customers_count,
-  count(case when refunded_count > 0 then customer_id end) refunded_customer_count,
-  'weekly' period_name, cast(extract(week from {period}) as int) period_id, item_id,
-  cast(sum(case when order_count = 1 then total_revenue else 0 end) as decimal(24,2)) new_customers_revenue,
-  cast(sum(case when order_count > 1 then total_revenue else 0 end) as decimal(24,2)) returning_customers_revenue,
-  cast(sum(refunded_count) as bigint) customers_refunded
-  from (select {key}customer_id, item_id, count(uniq_id) order_count, sum(payment_amount) total_revenue,
-    sum(case when status = 'refunded' then 1 else 0 end) refunded_count
+    return f"""select {out}item_id, 'weekly' period_name, cast(extract(week from {period}) as int) period_id,
+  count(customer_id) filter (n_orders = 1) new_customers_count,
+  count(customer_id) filter (n_orders > 1) returning_customers_count,
+  count(customer_id) filter (n_refunds > 0) refunded_customer_count,
+  cast(coalesce(sum(paid) filter (n_orders = 1), 0) as decimal(24,2)) new_customers_revenue,
+  cast(coalesce(sum(paid) filter (n_orders > 1), 0) as decimal(24,2)) returning_customers_revenue,
+  cast(sum(n_refunds) as bigint) customers_refunded
+  from (select {key}customer_id, item_id, count(uniq_id) n_orders, sum(payment_amount) paid,
+    count(*) filter (status = 'refunded') n_refunds
     from {source} {where} group by {out}customer_id, item_id)
   group by {out}item_id"""
 

@@ -24,8 +24,8 @@ def _order_columns() -> dict:
         "city_id": F.col("c_nationkey"),
         "city_name": F.col("n_name"),
         "customer_id": F.col("o_custkey"),
-        "first_name": F.split_part(F.col("c_name"), F.lit("#"), F.lit(1)),
-        "last_name": F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)),
+        "first_name": F.substring_index("c_name", "#", 1),
+        "last_name": F.substring_index("c_name", "#", -1),
         "item_id": F.col("l_partkey").cast("int"),
         "item_name": F.col("p_name"),
         "quantity": F.col("l_quantity").cast("bigint"),
