@@ -13,16 +13,20 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.functions import SHIPPED, as_date, previous_week, week_start
 from martloom.operators import dimensions as dims
 from martloom.operators import facts
 from martloom.operators.cleaning import dedup_if_keyed, drop_if_present
 from martloom.operators.keys import surrogate_ids
-from martloom.operators.quality import ACTIVITY_RULES, ORDER_RULES, check_rules, files_check, gate
+from martloom.operators.quality import (
+    ACTIVITY_RULES, ORDER_RULES, block_rows, check_rules, files_check, gate,
+)
+from martloom.schemas import TABLES, conform
 from martloom.sources.csv_files import FILE, POSITION, read_full_csv, read_increment_csv
-from martloom.sources.landing import Landing, expected_increments, files_available
-from martloom.sources.warehouse import Warehouse
+from martloom.sources.landing import Landing, increments_available
+from martloom.sources.warehouse import Warehouse, replace_partitions
 
 FULL_DATASETS = ("customer_research", "user_order_log", "user_activity_log")
 # emptied before a rebuild, facts before the dimensions they refer to
@@ -31,6 +35,7 @@ REBUILT = (
     "mart.f_activity", "mart.f_daily_sales", "mart.f_research",
     "mart.d_calendar", "mart.d_customer", "mart.d_item", "mart.d_city", "mart.d_category",
 )
+RULES = {"user_order_log": ORDER_RULES, "user_activity_log": ACTIVITY_RULES}
 DATASETS = ("customer_research", "user_order_log", "user_activity_log", "price_log")
 
 
@@ -90,20 +95,44 @@ def _side_by_side(loads: Sequence[Callable[[], None]]) -> None:
             load.result()
 
 
-def _stage_increments(wh: Warehouse, landing: Landing, days: Sequence[dt.date], batch_id) -> None:
+def _quarantine_path(wh: Warehouse, name: str) -> str:
+    return wh.path(f"quarantine.{name}")
+
+
+def read_quarantine(wh: Warehouse, name: str) -> DataFrame:
+    """Blocked rows of a dataset with the checks they break."""
+    schema = T.StructType([*TABLES[_stage(name)].schema, T.StructField("broken_checks", T.ArrayType(T.StringType()))])
+    return wh.spark.read.schema(schema).parquet(_quarantine_path(wh, name))
+
+
+def _stage_increments(
+    wh: Warehouse, landing: Landing, days: Sequence[dt.date], batch_id: int | None, bad_rows: str
+) -> None:
+    if bad_rows not in ("stop", "quarantine"):
+        raise ValueError(f"bad_rows must be 'stop' or 'quarantine', not {bad_rows!r}")
     labels = [d.isoformat() for d in days]
 
     def load(name: str) -> None:
         absent = {"status": SHIPPED} if name == "user_order_log" else None
         rows = read_increment_csv(wh.spark, landing, name, labels, defaults=absent)
         rows = clean_increment(rows, name).withColumn("load_date", F.col("increment").cast("date"))
-        wh.replace(_stage(name), rows.drop("increment", FILE, POSITION), days, batch_id)
+        rows = conform(rows, _stage(name))
+        if bad_rows == "quarantine" and name in RULES:
+            rows, blocked = block_rows(rows, RULES[name])
+            replace_partitions(blocked, _quarantine_path(wh, name), "load_date", days)
+        wh.replace(_stage(name), rows, days, batch_id)
 
     _side_by_side([partial(load, name) for name in DATASETS])
 
 
-def _check(wh: Warehouse, days: Sequence[dt.date], check_date: dt.date, whole_table: bool) -> None:
-    for name, rules in (("user_order_log", ORDER_RULES), ("user_activity_log", ACTIVITY_RULES)):
+def _check(
+    wh: Warehouse, days: Sequence[dt.date], check_date: dt.date, whole_table: bool, bad_rows: str
+) -> None:
+    for name, rules in RULES.items():
+        if bad_rows == "quarantine":
+            blocked = read_quarantine(wh, name).where(F.col("load_date").isin(*days))
+            wh.log_checks(check_rules(blocked, rules, check_date).collect())
+            continue
         rows = wh.read(_stage(name))
         if not whole_table:
             rows = rows.where(F.col("load_date").isin(*days))
@@ -136,6 +165,7 @@ def _add_dimension_rows(wh: Warehouse, days: Sequence[dt.date], batch_id) -> Non
 def run_backfill(
     spark: SparkSession, landing: Landing, root: str, first: dt.date | str, last: dt.date | str,
     batch_id: int | None = None, check_date: dt.date | str | None = None, whole_table_checks: bool = False,
+    bad_rows: str = "stop",
 ) -> Warehouse:
     """Load the increments first..last, check them, and bring dimensions and marts up to date.
 
@@ -150,13 +180,13 @@ def run_backfill(
     days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
     check_date = as_date(check_date or last)
 
-    expected = expected_increments(spark, [d.isoformat() for d in days], DATASETS)
-    gate(files_check(files_available(expected, landing), check_date), wh.log_checks)
+    available = increments_available(spark, landing, [d.isoformat() for d in days], DATASETS)
+    gate(files_check(available, check_date), wh.log_checks)
 
     # a repeated load may no longer hold dates its first version had
     touched = _business_dates(wh, days)
-    _stage_increments(wh, landing, days, batch_id)
-    _check(wh, days, check_date, whole_table_checks)
+    _stage_increments(wh, landing, days, batch_id, bad_rows)
+    _check(wh, days, check_date, whole_table_checks, bad_rows)
     _add_dimension_rows(wh, days, batch_id)
     touched |= _business_dates(wh, days)
 
@@ -185,22 +215,24 @@ def _business_dates(wh: Warehouse, days: Sequence[dt.date]) -> set[dt.date]:
 
 def run_increment(
     spark: SparkSession, landing: Landing, root: str, ds: dt.date | str,
-    batch_id: int | None = None, whole_table_checks: bool = True,
+    batch_id: int | None = None, whole_table_checks: bool = True, bad_rows: str = "stop",
 ) -> Warehouse:
     """Daily run for the business date ``ds``.
 
     Files there → staged by load date → quality gate → new dimension rows → signed sales of
     ``ds`` → retention of the week before ``ds``. The checks cover the whole staging tables by
-    default; ``whole_table_checks=False`` limits them to this increment.
+    default, which is a scan of three columns of all history; ``whole_table_checks=False``
+    limits them to this increment. A broken check stops the run with the rows staged;
+    ``bad_rows="quarantine"`` keeps those rows out of staging instead and goes on.
     """
     wh = Warehouse(spark, root)
     wh.create_tables(if_absent=True)
     ds = as_date(ds)
-    expected = expected_increments(spark, [ds.isoformat()], DATASETS)
-    gate(files_check(files_available(expected, landing), ds), wh.log_checks)
+    available = increments_available(spark, landing, [ds.isoformat()], DATASETS)
+    gate(files_check(available, ds), wh.log_checks)
 
-    _stage_increments(wh, landing, [ds], batch_id)
-    _check(wh, [ds], ds, whole_table_checks)
+    _stage_increments(wh, landing, [ds], batch_id, bad_rows)
+    _check(wh, [ds], ds, whole_table_checks, bad_rows)
     _add_dimension_rows(wh, [ds], batch_id)
 
     orders = wh.read("staging.user_order_log")

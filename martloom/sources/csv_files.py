@@ -114,13 +114,15 @@ def nan_to_null(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
 
 
 def _typed(c: Column, target: T.DataType) -> Column:
+    """Converted value; the plain cast goes first, the rarer notations only where it fails."""
+    plain = c.try_cast(target)
     if isinstance(target, T.IntegralType):
         # "5.0" is how an integer column with gaps is written; halves round away from zero
-        return F.round(c.try_cast("decimal(38,18)"), 0).try_cast(target)
+        return F.coalesce(plain, F.round(c.try_cast("decimal(38,18)"), 0).try_cast(target))
     if isinstance(target, (T.TimestampNTZType, T.DateType)):
         dashed = F.regexp_replace(c, r"^(\d{4})(\d{2})(\d{2})(\.0+)?$", "$1-$2-$3")
-        return dashed.try_cast(target)
-    return c.try_cast(target)
+        return F.coalesce(plain, dashed.try_cast(target))
+    return plain
 
 
 def infer_and_cast(df: DataFrame, schema: T.StructType, on_error: str = "raise") -> DataFrame:
@@ -135,12 +137,17 @@ def infer_and_cast(df: DataFrame, schema: T.StructType, on_error: str = "raise")
     present = [f for f in schema if f.name in df.columns]
     names = {f.name for f in present}
     others = [F.col(c) for c in df.columns if c not in names and c != CORRUPT]
+    # converted once, in a projection of its own, and then compared with the text
+    df = df.withColumns({f"_typed_{f.name}": _typed(F.col(f.name), f.dataType) for f in present})
     typed, failures = [], []
     for f in present:
-        value = _typed(F.col(f.name), f.dataType)
-        failed = F.col(f.name).isNotNull() & value.isNull()
+        text, value = F.col(f.name), F.col(f"_typed_{f.name}")
+        if isinstance(f.dataType, T.StringType):
+            typed.append(value.alias(f.name))
+            continue
+        failed = text.isNotNull() & value.isNull()
         if on_error == "raise":
-            message = F.concat(F.lit(f"{f.name}: not a {f.dataType.simpleString()}: "), F.col(f.name))
+            message = F.concat(F.lit(f"{f.name}: not a {f.dataType.simpleString()}: "), text)
             value = F.when(failed, F.raise_error(message).cast(f.dataType)).otherwise(value)
         failures.append(F.when(failed, F.lit(f.name)))
         typed.append(value.alias(f.name))

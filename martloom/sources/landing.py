@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_LISTING_THREADS = 8
+
 DEFAULT_LAYOUT = "{root}/{increment}/{dataset}_inc.csv"
 
 
@@ -37,27 +40,38 @@ class Landing:
         return F.regexp_extract(path, self.pattern, order.index(name) + 1)
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Paths and lengths of all files below ``root``; their content is never read."""
-    try:
-        files = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+def list_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """Paths and lengths of all files below ``paths``; their content is never read."""
+
+    def listing(*where: str) -> DataFrame:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        return reader.load(list(where)).select("path", "length")
+
+    def present(path: str) -> bool:
+        try:
+            listing(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+        return True
+
+    with ThreadPoolExecutor(_LISTING_THREADS) as pool:
+        found = [p for p, there in zip(paths, pool.map(present, paths)) if there]
+    if not found:
         return spark.range(0).select(F.lit("").alias("path"), F.col("id").alias("length"))
-    return files.select("path", "length")
+    return listing(*found)
 
 
-def files_available(expected: DataFrame, landing: Landing) -> DataFrame:
+def files_available(expected: DataFrame, landing: Landing, paths: Sequence[str] = ()) -> DataFrame:
     """Mark each expected (increment, dataset) with check_result 0 (there) or 1 (missing).
 
-    An increment of zero bytes counts as missing.
+    An increment of zero bytes counts as missing. The whole landing area is listed unless the
+    ``paths`` to look at are given.
     """
     spark = expected.sparkSession
     landed = (
-        list_files(spark, landing.root)
+        list_files(spark, *(paths or [landing.root]))
         .where(F.col("path").rlike(landing.pattern))
         .select(
             landing.field(F.col("path"), "increment").alias("increment"),
@@ -74,6 +88,14 @@ def files_available(expected: DataFrame, landing: Landing) -> DataFrame:
     )
 
 
+def increments_available(
+    spark: SparkSession, landing: Landing, increments: Sequence[str], datasets: Sequence[str]
+) -> DataFrame:
+    """``files_available`` for the increments of a run; only their own paths are listed."""
+    paths = [landing.path(i, d) for i in increments for d in datasets]
+    return files_available(expected_increments(spark, increments, datasets), landing, paths)
+
+
 def expected_increments(
     spark: SparkSession, increments: Iterable[str], datasets: Iterable[str]
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from martloom.session import scratch_path
 from martloom.sources.csv_files import (
     CORRUPT, REJECTED, infer_and_cast, nan_to_null, read_csv_by_name, read_full_csv, read_increment_csv, split_rejects,
 )
-from martloom.sources.landing import Landing, expected_increments, files_available
+from martloom.sources.landing import Landing, expected_increments, files_available, increments_available
 from tests.conftest import rows
 
 
@@ -117,6 +117,15 @@ def test_files_available(spark, landing):
         ("2024-01-01", "price_log", 0), ("2024-01-02", "price_log", 1), ("2024-01-03", "price_log", 1)]
 
 
+def test_increments_available_looks_at_its_own_paths(spark, landing):
+    put(landing.path("2024-01-01", "price_log"), "x\n1\n")
+    put(f"{landing.root}/2024-01-02/price_log_inc.csv/part-0.csv", "x\n1\n")
+    got = increments_available(spark, landing, ["2024-01-01", "2024-01-02", "2024-01-03"], ["price_log"])
+    assert rows(got, "increment", "check_result") == [("2024-01-01", 0), ("2024-01-02", 0), ("2024-01-03", 1)]
+    none = increments_available(spark, landing, ["2024-01-04"], ["price_log", "user_order_log"])
+    assert rows(none, "check_result") == [(1,), (1,)]
+
+
 def test_files_available_without_landing_folder(spark):
     expected = expected_increments(spark, ["2024-01-01"], ["price_log"])
     assert rows(files_available(expected, Landing("/tmp/does-not-exist-here"))) == [("2024-01-01", "price_log", 1)]

@@ -138,6 +138,27 @@ def test_bad_rows_stop_after_staging(spark, landing):
     assert wh.read("mart.f_sales").count() == 1
 
 
+def test_bad_rows_can_be_set_aside(spark, landing):
+    land(landing, "2024-01-11", [order("y", "2024-01-11 10:00:00", status="shipped"),
+                                 order("z", "2024-01-11 10:00:00", customer="", status="test")])
+    root = scratch_path(spark, "wh")
+    for _ in range(2):
+        wh = runs.run_increment(spark, landing, root, "2024-01-11", bad_rows="quarantine")
+        assert rows(wh.read("staging.user_order_log"), "uniq_id") == [("y",)]
+        assert rows(runs.read_quarantine(wh, "user_order_log"), "uniq_id", "broken_checks") == [
+            ("z", ["check_customer_id:customer_id", "check_test_data:status"])]
+        assert wh.read("mart.f_sales").count() == 1
+    failed = wh.read("dq_checks_results").where("check_result = 1")
+    assert rows(failed.distinct(), "table_name", "check_name") == [
+        ("user_order_log", "check_customer_id"), ("user_order_log", "check_test_data")]
+    # a corrected file empties the quarantine of its date
+    land(landing, "2024-01-11", [order("z", "2024-01-11 10:00:00", status="shipped")])
+    runs.run_increment(spark, landing, root, "2024-01-11", bad_rows="quarantine")
+    assert runs.read_quarantine(wh, "user_order_log").count() == 0
+    with pytest.raises(ValueError):
+        runs.run_increment(spark, landing, root, "2024-01-11", bad_rows="ignore")
+
+
 def test_full_rebuild(spark):
     source, root = scratch_path(spark, "source"), scratch_path(spark, "wh")
     put(f"{source}/user_order_log.csv", ORDER_HEAD,
