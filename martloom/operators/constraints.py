@@ -37,11 +37,11 @@ def check_foreign_key(
 def _count_rows(df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
     """One row per (constraint, column) with its number of violations, from one scan."""
     if not checks:
-        return df.sparkSession.createDataFrame([], "constraint string, column_name string, bad_rows bigint")
+        return df.sparkSession.createDataFrame([], "constraint_name string, column_name string, bad_rows bigint")
     one_row = df.agg(*[F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(checks)])
     return one_row.select(F.inline(F.array(*[
         F.struct(
-            F.lit(name).alias("constraint"), F.lit(column).alias("column_name"),
+            F.lit(name).alias("constraint_name"), F.lit(column).alias("column_name"),
             F.col(f"_{i}").alias("bad_rows"),
         )
         for i, (name, column, _) in enumerate(checks)

@@ -157,7 +157,7 @@ def _(spark, sf):
     return constraints.check_primary_key(new, ["customer_id"])
 
 
-@query("check_not_null", """select 'not_null' "constraint", 'date_time' column_name,
+@query("check_not_null", """select 'not_null' constraint_name, 'date_time' column_name,
   count(case when date_time is null then 1 end) bad_rows from uol_dirty
   union all select 'not_null', 'customer_id', count(case when customer_id is null then 1 end) from uol_dirty
   union all select 'not_null', 'status', count(case when status is null then 1 end) from uol_dirty""",
@@ -174,7 +174,7 @@ def _(spark, sf):
         inputs.order_log(spark, sf, "item_id"), "item_id", history(spark, sf, "item_id"), "item_id", (0,))
 
 
-@query("check_varchar_length", """select 'varchar' "constraint", 'last_name' column_name,
+@query("check_varchar_length", """select 'varchar' constraint_name, 'last_name' column_name,
   count(case when length(last_name) > 15 then 1 end) bad_rows from uol_dirty
   union all select 'varchar', 'item_name', count(case when length(item_name) > 15 then 1 end) from uol_dirty""",
        ("uol_dirty",))
@@ -183,7 +183,7 @@ def _(spark, sf):
         _dirty(spark, sf, "last_name", "item_name"), {"last_name": 15, "item_name": 15})
 
 
-@query("check_decimal_range", """select 'decimal' "constraint", 'payment_amount' column_name,
+@query("check_decimal_range", """select 'decimal' constraint_name, 'payment_amount' column_name,
   count(case when payment_amount > 9999.99 then 1 end) bad_rows from uol
   union all select 'decimal', 'total', count(case when payment_amount > 99999999.99 then 1 end) from uol""", ("uol",))
 def _(spark, sf):

@@ -32,14 +32,13 @@ def append_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) ->
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def _observed(found: Observation, df: DataFrame, partition: str) -> dict[str, int]:
-    """Rows per date as counted during the write."""
+def _observed(found: Observation, df: DataFrame, partition: str) -> set[str]:
+    """Dates seen during the write: at most one entry per date and task."""
     try:
-        return found.get
+        return set(found.get["dates"])
     except Py4JJavaError:
-        # Spark drops the counters of a plan it can tell is empty; count that one on its own
-        dates = df.groupBy(F.col(partition).cast("string").alias("d")).count().collect()
-        return {r["d"]: r["count"] for r in dates}
+        # Spark drops the metrics of a plan it can tell is empty; look at that one on its own
+        return {r["d"] for r in df.select(F.col(partition).cast("string").alias("d")).distinct().collect()}
 
 
 def _balanced(df: DataFrame, partition: str, serial: str | None) -> DataFrame:
@@ -62,11 +61,8 @@ def replace_partitions(
     rows in this run is emptied, which dynamic overwrite alone would leave as it was.
     ``serial`` names a column to fill with row numbers.
     """
-    spark = df.sparkSession
-    expected = sorted(set(expected))
-    found = Observation(f"rows per {partition}")
-    counts = {d: F.count_if(F.col(partition) == F.lit(d)).alias(d.isoformat()) for d in expected}
-    out = df.observe(found, *counts.values()) if expected else df
+    found = Observation(f"dates of {partition}")
+    out = df.observe(found, F.collect_set(F.col(partition).cast("string")).alias("dates"))
     (
         _balanced(out, partition, serial)
         .write.mode("overwrite")
@@ -74,13 +70,9 @@ def replace_partitions(
         .partitionBy(partition)
         .parquet(path)
     )
-    if not expected:
-        return
-    rows = _observed(found, df, partition)
-    for d in expected:
-        if not rows.get(d.isoformat()):
-            empty = literal_frame(spark, [], T.StructType([f for f in df.schema if f.name != partition]))
-            empty.write.mode("overwrite").parquet(f"{path}/{partition}={d.isoformat()}")
+    for day in {d.isoformat() for d in expected} - _observed(found, df, partition):
+        empty = literal_frame(df.sparkSession, [], T.StructType([f for f in df.schema if f.name != partition]))
+        empty.write.mode("overwrite").parquet(f"{path}/{partition}={day}")
 
 
 def add_column(df: DataFrame, name: str, data_type: str) -> DataFrame:
