@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,15 +128,21 @@ def _stage_increments(
 def _check(
     wh: Warehouse, days: Sequence[dt.date], check_date: dt.date, whole_table: bool, bad_rows: str
 ) -> None:
+    checked = []
     for name, rules in RULES.items():
         if bad_rows == "quarantine":
-            blocked = read_quarantine(wh, name).where(F.col("load_date").isin(*days))
-            wh.log_checks(check_rules(blocked, rules, check_date).collect())
-            continue
-        rows = wh.read(_stage(name))
-        if not whole_table:
-            rows = rows.where(F.col("load_date").isin(*days))
-        gate(check_rules(rows, rules, check_date), wh.log_checks)
+            rows = read_quarantine(wh, name).where(F.col("load_date").isin(*days))
+        else:
+            rows = wh.read(_stage(name))
+            if not whole_table:
+                rows = rows.where(F.col("load_date").isin(*days))
+        checked.append(check_rules(rows, rules, check_date))
+    # all results are logged before the first failure stops the run
+    results = reduce(DataFrame.unionByName, checked)
+    if bad_rows == "quarantine":
+        wh.log_checks(results.collect())
+    else:
+        gate(results, wh.log_checks)
 
 
 def _add_dimension_rows(wh: Warehouse, days: Sequence[dt.date], batch_id) -> None:
@@ -196,13 +202,14 @@ def run_backfill(
         orders.where(F.col("date_time").cast("date").isin(*sale_dates)),
         wh.read("mart.d_calendar"), min(sale_dates), max(sale_dates),
     )
-    wh.replace("mart.f_sales", sales, sale_dates, batch_id)
-
     weeks = {d - dt.timedelta(days=d.weekday()) for d in sale_dates}
     retention = facts.retention_backfill(
         orders.where(week_start("date_time").isin(*weeks)), min(weeks), max(weeks)
     )
-    wh.replace("mart.f_customer_retention", retention, weeks, batch_id)
+    _side_by_side([
+        partial(wh.replace, "mart.f_sales", sales, sale_dates, batch_id),
+        partial(wh.replace, "mart.f_customer_retention", retention, weeks, batch_id),
+    ])
     return wh
 
 
@@ -237,8 +244,10 @@ def run_increment(
 
     orders = wh.read("staging.user_order_log")
     sales = facts.f_sales(orders, wh.read("mart.d_calendar"), ds).withColumn("sale_date", F.lit(ds))
-    wh.replace("mart.f_sales", sales, [ds], batch_id)
     week = previous_week(ds)[0]
     retention = facts.f_customer_retention(orders, ds).withColumn("week_start", F.lit(week))
-    wh.replace("mart.f_customer_retention", retention, [week], batch_id)
+    _side_by_side([
+        partial(wh.replace, "mart.f_sales", sales, [ds], batch_id),
+        partial(wh.replace, "mart.f_customer_retention", retention, [week], batch_id),
+    ])
     return wh
