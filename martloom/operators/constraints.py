@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -57,7 +58,11 @@ def _varchar(limits: Mapping[str, int]):
 
 
 def _decimal(types: Mapping[str, T.DecimalType]):
-    return [("decimal", c, F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()) for c, t in types.items()]
+    # by comparison: a cast that overflows costs an error per row
+    return [
+        ("decimal", c, F.abs(F.round(F.col(c), t.scale)) >= F.lit(Decimal(10) ** (t.precision - t.scale)))
+        for c, t in types.items()
+    ]
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:

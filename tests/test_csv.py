@@ -104,6 +104,21 @@ def test_nan_to_null_leaves_other_columns(spark):
     assert rows(nan_to_null(df)) == [(None, None, 1)]
 
 
+@pytest.mark.parametrize("text, column, value", [
+    ("5", "item_id", 5), (" -7 ", "item_id", -7), ("5.0", "item_id", 5), ("0.4999999", "item_id", 0), ("1e3", "item_id", 1000),
+    ("2147483648", "item_id", None), ("2147483648.0", "item_id", None), ("five", "item_id", None), ("1.2.3", "item_id", None),
+    (".5", "price", Decimal("0.50")), ("5.", "price", Decimal("5.00")), ("1e-1", "price", Decimal("0.10")),
+    ("123456789.00", "price", None), ("inf", "price", None), ("9,5", "price", None),
+    ("2024-1-5", "datetime", dt.datetime(2024, 1, 5)), ("2024-01-05T06:07:08.9", "datetime", dt.datetime(2024, 1, 5, 6, 7, 8, 900000)),
+    ("20240105", "datetime", dt.datetime(2024, 1, 5)), ("20241305", "datetime", None), ("2024-02-30", "datetime", None),
+    ("2024", "datetime", None), ("yesterday", "datetime", None),
+])
+def test_conversions(spark, text, column, value):
+    df = spark.createDataFrame([(text,)], f"{column} string")
+    got = infer_and_cast(df, TABLES["staging.price_log"].schema, on_error="flag").first()
+    assert (got[column], got[REJECTED]) == (value, [] if value is not None else [column])
+
+
 def test_unknown_error_mode(spark):
     with pytest.raises(ValueError):
         infer_and_cast(spark.range(1), TABLES["staging.price_log"].schema, on_error="ignore")

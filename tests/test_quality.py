@@ -85,8 +85,10 @@ def test_row_constraints_in_one_scan(spark):
 
 
 def test_decimal_range(spark):
-    df = spark.createDataFrame([(Dec("123456789012.00"),), (Dec("99999999.99"),), (None,)], "v decimal(14,2)")
-    assert rows(c.check_decimal_range(df, {"v": T.DecimalType(10, 2)})) == [("decimal", "v", 1)]
+    values = ["123456789012.000", "-100000000.000", "99999999.995", "99999999.994", "-99999999.99", None]
+    df = spark.createDataFrame([(v and Dec(v),) for v in values], "v decimal(16,3)")
+    assert rows(c.check_decimal_range(df, {"v": T.DecimalType(10, 2)})) == [("decimal", "v", 3)]
+    assert df.where(df.v.try_cast("decimal(10,2)").isNull() & df.v.isNotNull()).count() == 3
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
