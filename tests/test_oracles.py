@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from martloom.plans import catalog
 from tests.conftest import DATA
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 SPARK_TO_SQL = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
@@ -17,6 +18,11 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_points_hold_the_catalog():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, duck, name):
     df = QUERIES[name](spark, DATA)
