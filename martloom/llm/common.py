@@ -6,14 +6,17 @@ names, so a lost executor costs a re-run of a task, never of the whole lineage.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.session import scratch_path
 
-PAIRS = "a long, b long"
+_SQL_TYPES = {pa.int64(): "long", pa.int32(): "int", pa.float64(): "double", pa.bool_(): "boolean",
+              pa.string(): "string", pa.binary(): "binary", pa.list_(pa.int64()): "array<long>",
+              pa.list_(pa.float32()): "array<float>"}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +31,19 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_columns(df: DataFrame, start: Callable[[], Callable[[dict], Iterator[dict]]], out: pa.Schema) -> DataFrame:
+    """``df`` through Python, batch by batch: ``start()`` runs once per task and gives a function
+    from a batch's columns (lists, nulls as None, 64-bit values exact) to any number of batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = start()
+        for batch in batches:
+            for columns in step(batch.to_pydict()):
+                yield pa.RecordBatch.from_pydict(columns, schema=out)
+
+    return df.mapInArrow(run, ", ".join(f"{f.name} {_SQL_TYPES[f.type]}" for f in out))
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(id, component) for every id in ``edges`` (a, b): the smallest id it is connected with.
 

@@ -21,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import linked_components, read, store
+from martloom.llm.common import linked_components, map_columns, read, store
 from martloom.llm.words import WordHashes, mixed, shingles
 
 ROWS, BANDS = 5, 32
@@ -32,6 +33,9 @@ REGISTERS = ROWS * BANDS
 BASE, RATE = 1.02, 20.0
 #: Standard errors by which the estimate may lie below the threshold before a pair is dropped unseen.
 MARGIN = 5.0
+SKETCHES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_1", pa.int64()),
+                      ("set_2", pa.int64()), ("regs", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SETS = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 _BLOCK = 2048
 _SEED = np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _A = (mixed(_SEED[:REGISTERS]) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -80,22 +84,24 @@ def likeliest(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right:
     return np.take_along_axis(j, score.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
-def _sketch_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cache = WordHashes()
-    for batch in batches:
-        out = []
+def _sketcher():
+    cache, place = WordHashes(), np.uint64(0x9E3779B97F4A7C15)
+
+    def sketch(batch: dict) -> Iterator[dict]:
+        out = {name: [] for name in SKETCHES.names}
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
             s = shingles(text or b"", cache)
-            if not len(s):
-                out.append((doc_id, 0, 0, 0, None, None))
-                continue
-            place = np.uint64(0x9E3779B97F4A7C15)
-            first = int(s.sum(dtype=np.uint64).view(np.int64))
-            second = int(np.bitwise_xor.reduce(mixed(s * place)).view(np.int64))
-            regs = registers(s)
-            out.append((doc_id, len(s), first, second, regs.tobytes(), band_keys(regs)))
-        frame = pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_1", "set_2", "regs", "bands"])
-        yield frame.astype({"doc_id": "Int64"})
+            row = (doc_id, 0, 0, 0, None, None)
+            if len(s):
+                first = int(s.sum(dtype=np.uint64).view(np.int64))
+                second = int(np.bitwise_xor.reduce(mixed(s * place)).view(np.int64))
+                regs = registers(s)
+                row = (doc_id, len(s), first, second, regs.tobytes(), band_keys(regs))
+            for name, value in zip(SKETCHES.names, row):
+                out[name].append(value)
+        yield out
+
+    return sketch
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -104,20 +110,24 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, set_1, set_2, regs, bands); (set_1, set_2) names the exact set."""
-    return _documents(docs).mapInPandas(
-        _sketch_batches, "doc_id long, n_shingles long, set_1 long, set_2 long, regs binary, bands array<long>")
+    return map_columns(_documents(docs), _sketcher, SKETCHES)
 
 
-def _set_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _set_maker():
     cache = WordHashes()
-    for batch in batches:
-        sets = [shingles(t or b"", cache).view(np.int64) for t in batch["text"]]
-        yield pd.DataFrame({"id": batch["doc_id"], "shingles": sets})
+
+    def make(batch: dict) -> Iterator[dict]:
+        for i in range(0, len(batch["text"]), 500):
+            texts = batch["text"][i:i + 500]
+            yield {"id": batch["doc_id"][i:i + 500],
+                   "shingles": [shingles(t or b"", cache).view(np.int64) for t in texts]}
+
+    return make
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
     """(id, shingles): full sets as arrays of distinct 64-bit hashes."""
-    return _documents(docs).mapInPandas(_set_batches, "id long, shingles array<long>")
+    return map_columns(_documents(docs), _set_maker, SETS)
 
 
 def _hopeful(percent: int):

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from martloom.llm.near_dedup import op3_minhash_near_dedup
+from martloom.llm.packing import op7_best_fit_packing
 
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing,
 }
 
 #: SQL over the same tables that must give the same rows, where SQL can say it.
