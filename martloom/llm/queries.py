@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from martloom.llm.near_dedup import op3_minhash_near_dedup
 from martloom.llm.packing import op7_best_fit_packing
+from martloom.llm.quality import op8_quality_classifier
 
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_quality_classifier": op8_quality_classifier,
 }
 
 #: SQL over the same tables that must give the same rows, where SQL can say it.
