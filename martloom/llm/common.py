@@ -44,6 +44,26 @@ def map_columns(df: DataFrame, start: Callable[[], Callable[[dict], Iterator[dic
     return df.mapInArrow(run, ", ".join(f"{f.name} {_SQL_TYPES[f.type]}" for f in out))
 
 
+BITS = 23
+
+
+def marked(df: DataFrame, column: str, wanted: DataFrame, flag: str = "maybe") -> DataFrame:
+    """``df`` plus a boolean ``flag`` that is true wherever ``column`` is among the ids of ``wanted``.
+
+    A one-hash Bloom filter as a table: 2**23 bits in at most 131,072 rows of 64, whatever the input,
+    so the broadcast is bounded (some MB). It lets rows through by mistake, more of them the more ids
+    there are, and never stops a wanted one; an exact join follows where that matters.
+    """
+    (name,) = wanted.columns
+    place = lambda c: F.xxhash64(F.col(c)).bitwiseAND(F.lit((1 << BITS) - 1))
+    words = wanted.select(place(name).alias("p")).groupBy(F.expr("p >> 6").alias("_word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("_bits"))
+    spots = df.withColumn("_p", place(column)).withColumn("_word", F.expr("_p >> 6"))
+    seen = F.expr("(shiftright(_bits, cast(_p & 63 as int)) & 1L) = 1L")
+    return spots.join(F.broadcast(words), "_word", "left").withColumn(
+        flag, F.coalesce(seen, F.lit(False))).drop("_p", "_word", "_bits")
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(id, component) for every id in ``edges`` (a, b): the smallest id it is connected with.
 
@@ -79,7 +99,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     return store(root.join(names, "root").select("id", "component"), f"{label}-named")
 
 
-def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str,
+                      deal_once: bool = False) -> DataFrame:
     """Components of all pairs that share a bucket and that ``verify`` confirms.
 
     ``buckets``: (key, id), distinct ids per key. ``verify`` maps pairs (a, b) to the confirmed ones.
@@ -87,9 +108,12 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     Then, in buckets that still hold several components, everything outside the bucket's largest
     component is compared with every member of another component. Two members that are already
     connected are never compared, so a large group of copies costs no square of its size, and no
-    link that could join two components is left untested.
+    link that could join two components is left untested. ``deal_once`` shuffles the buckets once by key
+    instead of once reduced and once whole, for when they are many times larger than their groups.
     """
-    groups = buckets.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1")
+    if deal_once:
+        buckets = buckets.repartition("key")
+    groups = buckets.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head < last")
     members = store(buckets.join(groups.select("key", "head"), "key"), f"{label}-members")
     first = store(members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(),
                   f"{label}-pairs")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import linked_components, map_columns, read, store
+from martloom.llm.common import linked_components, map_columns, marked, read, store
 from martloom.llm.words import WordHashes, mixed, shingles
 
 ROWS, BANDS = 5, 32
@@ -168,7 +168,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
             100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
         near = store(near.where(_hopeful(percent)("ra", "rb", "na", "nb")).select("a", "b").distinct(), "hopeful")
         wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"))
+        near_docs = marked(docs.select("doc_id", "text"), "doc_id", wanted).where("maybe")
+        sets = shingle_sets(near_docs.join(wanted, "doc_id", "left_semi"))
         sets = store(sets, "sets")
         full = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
             sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
