@@ -19,6 +19,9 @@ _SQL_TYPES = {pa.int64(): "long", pa.int32(): "int", pa.float64(): "double", pa.
               pa.list_(pa.float32()): "array<float>"}
 
 
+_ROWS = 500
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -38,8 +41,9 @@ def map_columns(df: DataFrame, start: Callable[[], Callable[[dict], Iterator[dic
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            for columns in step(batch.to_pydict()):
-                yield pa.RecordBatch.from_pydict(columns, schema=out)
+            for i in range(0, batch.num_rows, _ROWS):  # few texts at a time are Python objects
+                for columns in step(batch.slice(i, _ROWS).to_pydict()):
+                    yield pa.RecordBatch.from_pydict(columns, schema=out)
 
     return df.mapInArrow(run, ", ".join(f"{f.name} {_SQL_TYPES[f.type]}" for f in out))
 

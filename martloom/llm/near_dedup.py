@@ -28,8 +28,7 @@ from pyspark.sql import functions as F
 from martloom.llm.common import linked_components, map_columns, marked, read, store
 from martloom.llm.words import WordHashes, mixed, shingles
 
-ROWS, BANDS = 5, 32
-REGISTERS = ROWS * BANDS
+REGISTERS, ROWS, BANDS = 256, 9, 64
 BASE, RATE = 1.02, 20.0
 #: Standard errors by which the estimate may lie below the threshold before a pair is dropped unseen.
 MARGIN = 5.0
@@ -40,7 +39,8 @@ _BLOCK = 2048
 _SEED = np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _A = (mixed(_SEED[:REGISTERS]) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (mixed(_SEED[REGISTERS:]) >> np.uint64(32)).astype(np.uint32)
-_BAND_MULT = mixed(np.arange(101, 101 + REGISTERS, dtype=np.uint64)).reshape(BANDS, ROWS) | np.uint64(1)
+_DRAWN = np.stack([np.random.default_rng(i).choice(REGISTERS, ROWS, replace=False) for i in range(BANDS)])
+_BAND_MULT = mixed(np.arange(101, 101 + BANDS * ROWS, dtype=np.uint64)).reshape(BANDS, ROWS) | np.uint64(1)
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -63,7 +63,7 @@ def merged(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """One signed 64-bit key per band."""
-    rows = regs.reshape(BANDS, ROWS).astype(np.uint64) + np.uint64(1)
+    rows = regs[_DRAWN].astype(np.uint64) + np.uint64(1)
     return mixed((rows * _BAND_MULT).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
@@ -117,10 +117,7 @@ def _set_maker():
     cache = WordHashes()
 
     def make(batch: dict) -> Iterator[dict]:
-        for i in range(0, len(batch["text"]), 500):
-            texts = batch["text"][i:i + 500]
-            yield {"id": batch["doc_id"][i:i + 500],
-                   "shingles": [shingles(t or b"", cache).view(np.int64) for t in texts]}
+        yield {"id": batch["doc_id"], "shingles": [shingles(t or b"", cache).view(np.int64) for t in batch["text"]]}
 
     return make
 
