@@ -20,6 +20,7 @@ import io
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,6 +162,17 @@ def quality_scores(docs: DataFrame, model: dict | float) -> DataFrame:
     return map_columns(rows, _scorer(model), SCORES)
 
 
+def score_column(model: dict | float):
+    """The score as a function of a binary text column, for filters that keep all other columns."""
+
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        known = not isinstance(model, dict)
+        return pd.Series([model if known else score_text(t or b"", model) for t in text], dtype=float)
+
+    return score
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from martloom.llm.line_dedup import op10_line_dedup
+from martloom.llm.mixing import op9_source_mixing
 from martloom.llm.near_dedup import op3_minhash_near_dedup
 from martloom.llm.packing import op7_best_fit_packing
 from martloom.llm.quality import op8_quality_classifier
@@ -11,6 +12,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_source_mixing": op9_source_mixing,
     "op10_line_dedup": op10_line_dedup,
 }
 
