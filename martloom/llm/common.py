@@ -36,14 +36,18 @@ def store(df: DataFrame, label: str) -> DataFrame:
 
 def map_columns(df: DataFrame, start: Callable[[], Callable[[dict], Iterator[dict]]], out: pa.Schema) -> DataFrame:
     """``df`` through Python, batch by batch: ``start()`` runs once per task and gives a function
-    from a batch's columns (lists, nulls as None, 64-bit values exact) to any number of batches."""
+    from a batch's columns (lists, nulls as None, 64-bit values exact) to any number of batches, or a
+    pair of that and a function for what comes after the last batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
+        step, last = step if isinstance(step, tuple) else (step, tuple)
         for batch in batches:
             for i in range(0, batch.num_rows, _ROWS):  # few texts at a time are Python objects
                 for columns in step(batch.slice(i, _ROWS).to_pydict()):
                     yield pa.RecordBatch.from_pydict(columns, schema=out)
+        for columns in last():
+            yield pa.RecordBatch.from_pydict(columns, schema=out)
 
     return df.mapInArrow(run, ", ".join(f"{f.name} {_SQL_TYPES[f.type]}" for f in out))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from martloom.llm.fingerprints import op5_document_fingerprints
 from martloom.llm.line_dedup import op10_line_dedup
 from martloom.llm.mixing import op9_source_mixing
 from martloom.llm.near_dedup import op3_minhash_near_dedup
@@ -10,6 +11,7 @@ from martloom.llm.quality import op8_quality_classifier
 
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_source_mixing": op9_source_mixing,
