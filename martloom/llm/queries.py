@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from martloom.llm.embedding_dedup import op4_embedding_near_dedup
 from martloom.llm.fingerprints import op5_document_fingerprints
 from martloom.llm.line_dedup import op10_line_dedup
 from martloom.llm.mixing import op9_source_mixing
@@ -11,6 +12,7 @@ from martloom.llm.quality import op8_quality_classifier
 
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_classifier": op8_quality_classifier,
