@@ -10,8 +10,10 @@ from martloom.llm.mixing import op9_source_mixing
 from martloom.llm.near_dedup import op3_minhash_near_dedup
 from martloom.llm.packing import op7_best_fit_packing
 from martloom.llm.quality import op8_quality_classifier
+from martloom.llm.substring_dedup import op1_suffix_array_dedup
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
