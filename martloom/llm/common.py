@@ -112,7 +112,9 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     """Components of all pairs that share a bucket and that ``verify`` confirms.
 
     ``buckets``: (key, id), distinct ids per key. ``verify`` maps pairs (a, b) to the confirmed ones.
-    First every member is compared with the least id of each of its buckets (as many pairs as rows).
+    First every member is compared with its bucket's head, the member that meets most others over all buckets
+    (a text that others were made from is nearer to each of them than they are to one another): as many
+    pairs as rows.
     Then, in buckets that still hold several components, everything outside the bucket's largest
     component is compared with every member of another component. Two members that are already
     connected are never compared, so a large group of copies costs no square of its size, and no
@@ -121,9 +123,12 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     """
     if deal_once:
         buckets = buckets.repartition("key")
-    groups = buckets.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head < last")
-    members = store(buckets.join(groups.select("key", "head"), "key"), f"{label}-members")
-    first = store(members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(),
+    groups = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
+    members = store(buckets.join(groups.where("low < high").select("key", "n"), "key"), f"{label}-members")
+    meets = members.groupBy("id").agg(F.sum("n").alias("meets"))
+    heads = members.join(meets, "id").groupBy("key").agg(F.max_by("id", F.struct("meets", "id")).alias("head"))
+    first = members.join(heads, "key").where("id <> head")
+    first = store(first.select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b")).distinct(),
                   f"{label}-pairs")
     good = store(verify(first).select("a", "b"), f"{label}-links")
     named = components(good, label)
