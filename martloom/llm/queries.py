@@ -5,6 +5,7 @@ from __future__ import annotations
 from martloom.llm.embedding_dedup import op4_embedding_near_dedup
 from martloom.llm.fingerprints import op5_document_fingerprints
 from martloom.llm.language_id import op6_language_id
+from martloom.llm.licenses import op2_license_scan
 from martloom.llm.line_dedup import op10_line_dedup
 from martloom.llm.mixing import op9_source_mixing
 from martloom.llm.near_dedup import op3_minhash_near_dedup
@@ -14,6 +15,7 @@ from martloom.llm.substring_dedup import op1_suffix_array_dedup
 
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
