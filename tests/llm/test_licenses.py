@@ -1,0 +1,76 @@
+import math
+import re
+from collections import Counter
+
+from martloom.llm import licenses as ls
+from tests.conftest import DATA
+
+
+def brute(rows, templates=ls.TEMPLATES):
+    """(own_license, inherited_license, inherited_from) per file from plain loops over all lines of all files."""
+    words = lambda t: Counter(w for w in re.split("[^a-z0-9]+", (t or "").lower()) if w)
+    df = Counter(w for _, _, t in rows for w in words(t))
+    n = len(rows)
+    known = {w for t in templates.values() for w in words(t)}
+    idf = lambda w: math.log((n + 1) / ((df[w] if w in known else 0) + 1)) + 1
+
+    def match(text):
+        tf = words(text)
+        norm = math.sqrt(sum((c * idf(w)) ** 2 for w, c in tf.items()))
+        best = (ls.THRESHOLD, None)
+        for name, t in sorted(templates.items()):
+            tw = words(t)
+            tn = math.sqrt(sum((c * idf(w)) ** 2 for w, c in tw.items()))
+            c = round(sum(x * idf(w) * tf[w] * idf(w) for w, x in tw.items()) / tn / norm, 9) if norm else 0
+            if c > best[0] or c == best[0] and best[1] is None:
+                best = (c, name)
+        return best
+
+    own, votes = {}, {}
+    for i, path, text in rows:
+        hits = [(-s, no, name) for no, line in enumerate((text or "").split("\n")) for s, name in [match(line)] if name]
+        own[i] = min(hits)[2] if hits else None
+        name = match(text)[1]
+        if name and path and "/" in path:
+            votes.setdefault(path.rsplit("/", 1)[0], Counter())[name] += 1
+    licensed = {d: min(c, key=lambda k: (-c[k], k)) for d, c in votes.items()}
+    out = {}
+    for i, path, _ in rows:
+        at = path.rsplit("/", 1)[0] if path and "/" in path else None
+        while at is not None and at not in licensed:
+            at = at.rsplit("/", 1)[0] if "/" in at else None
+        out[i] = (own[i], licensed.get(at), at)
+    return out
+
+
+def found(df, key="file_id"):
+    return {r[key]: (r.own_license, r.inherited_license, r.inherited_from) for r in df.collect()}
+
+
+def test_query_equals_brute_force(spark):
+    rows = [(r.doc_id, f"{r.source}/{r.lang}/{r.doc_id}", r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    got = found(ls.op2_license_scan(spark, DATA), "doc_id")
+    assert got == brute(rows)
+    assert all(got[i][0] == "MIT" for i, _, t in rows if t.rstrip().endswith("\nReleased under the MIT License."))
+
+
+def test_nearest_directory_nulls_and_ties(spark):
+    mit, gpl = ls.TEMPLATES["MIT"], ls.TEMPLATES["GPL-3.0"]
+    rows = [(1, "a/LICENSE", mit), (2, "a/b/COPYING", gpl.upper()), (3, "a/b/c/x.py", "code only"), (4, "a/x.py", "code"),
+            (5, "z/x.py", "code"), (6, None, mit), (7, "top", "code"), (8, "a/b/own.py", f"print\n# {mit}\nmore"), (9, "a/n", None),
+            (10, "t/1", mit), (11, "t/2", gpl), (12, "t/3", ""), (13, "ab/q", "code")]
+    rows += [(100 + k, f"w/{k}", f"other words {k}") for k in range(20)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "file_id long, path string, text string, license string")
+    got = found(ls.scan_licenses(df))
+    assert got == brute(rows)
+    assert got[3] == (None, "GPL-3.0", "a/b") and got[4] == (None, "MIT", "a") and got[13] == (None, None, None)
+    assert got[8][0] == "MIT" and got[12] == (None, "GPL-3.0", "t")
+
+
+def test_empty_table_repeats_long_text(spark):
+    schema = "file_id long, path string, text string"
+    assert ls.scan_licenses(spark.createDataFrame([], schema)).count() == 0
+    long = "word " * 60_000 + "\n" + ls.TEMPLATES["Apache-2.0"]
+    df = spark.createDataFrame([(1, "a/b", long), (2, "a/c", "x"), (2, "a/c", "x"), (None, "a/d", ls.TEMPLATES["MIT"])], schema)
+    out = sorted(((r.file_id, r.own_license, r.license) for r in ls.scan_licenses(df).collect()), key=repr)
+    assert out == sorted([(1, "Apache-2.0", "Apache-2.0"), (2, None, "MIT"), (2, None, "MIT"), (None, "MIT", "MIT")], key=repr)
