@@ -88,10 +88,7 @@ def own_licenses(files: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
         T.StructField("weights", T.ArrayType(T.DoubleType()))]))
     other = math.log(n_files + 1) + 1
 
-    low = F.lower("text")
-    marked = F.lit(False)
-    for m in markers:
-        marked = marked | F.contains(low, F.lit(m))
+    marked = F.lower("text").rlike(f"(?<![a-z0-9])(?:{'|'.join(markers)})(?![a-z0-9])")
     lines = files.where(marked).select("file_id", F.posexplode(F.split("text", "\n")).alias("no", "line"))
     tf = lines.select("file_id", "no", F.explode(_words("line")).alias("word")).groupBy("file_id", "no", "word").agg(
         F.count("*").alias("tf"))
