@@ -18,7 +18,6 @@ from martloom.functions import (
 )
 
 MONEY = "decimal(24,2)"
-CALENDAR_BROADCAST_ROWS = 1_000_000
 
 
 def f_activity(activity: DataFrame) -> DataFrame:
@@ -51,18 +50,12 @@ def f_research(research: DataFrame) -> DataFrame:
     )
 
 
-def left_join_calendar(
-    rows: DataFrame, calendar: DataFrame, timestamp: str = "date_time",
-    broadcast_rows: int = CALENDAR_BROADCAST_ROWS,
-) -> DataFrame:
+def left_join_calendar(rows: DataFrame, calendar: DataFrame, timestamp: str = "date_time") -> DataFrame:
     """Add ``date_id``; a date the calendar lacks keeps its row with a NULL id.
 
-    The two fixed-width calendar columns are broadcast when counted at no more than
-    ``broadcast_rows``. Beyond that the join is left to Spark (sort-merge, skew split).
+    Only two fixed-width calendar columns take part; Spark broadcasts them or not by the size it finds.
     """
     days = calendar.select("date_id", "fact_date")
-    if days.count() <= broadcast_rows:
-        days = F.broadcast(days)
     joined = rows.join(days, F.col(timestamp).cast("date") == F.col("fact_date"), "left")
     return joined.select("date_id", *rows.columns)
 

@@ -113,11 +113,7 @@ def gate(results: DataFrame, log: Callable[[Sequence[Row]], None] | None = None)
 def block_rows(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, quarantined rows with the list of checks they break)."""
     ran = _ran(df, rules)
-    broken = reduce(lambda a, b: a | b, [r.broken() for r in ran], F.lit(False))
+    # a rule that cannot tell (NULL) does not block a row
+    broken = F.coalesce(reduce(lambda a, b: a | b, [r.broken() for r in ran], F.lit(False)), F.lit(False))
     reasons = F.array_compact(F.array(*[F.when(r.broken(), F.lit(f"{r.check_name}:{r.column}")) for r in ran]))
     return df.where(~broken), df.where(broken).withColumn("broken_checks", reasons)
-
-
-def first_row(df: DataFrame) -> Row | None:
-    """First row of a one-row aggregate."""
-    return df.first()

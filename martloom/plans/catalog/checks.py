@@ -137,12 +137,6 @@ def _(spark, sf):
     return blocked.withColumn("broken_checks", F.concat_ws(",", "broken_checks"))
 
 
-@query("first_row", "select count(*) bad_rows from uol_dirty where customer_id is null", ("uol_dirty",))
-def _(spark, sf):
-    counted = _dirty(spark, sf, "customer_id").agg(F.count_if(quality.is_null("customer_id")).alias("bad_rows"))
-    return spark.createDataFrame([quality.first_row(counted)], counted.schema)
-
-
 # declared constraints
 
 @query("check_primary_key", f"""select customer_id, count(*) row_count from

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from martloom.functions import timestamp_to_date
 from martloom.operators import cleaning
 from martloom.plans import inputs, runs
+from martloom.plans.catalog.columns import ORDER_KEY_SQL, RATIO_SQL
+from martloom.plans.catalog.marts import ORDER_WEEK, retention_sql
 from martloom.plans.catalog.registry import query
 from martloom.schemas import TABLES
 from martloom.session import scratch_path
@@ -55,7 +57,8 @@ def _(spark, sf):
     reordered = new_rows.select(*reversed(inputs.ORDER_COLUMNS), "increment")
     reordered = reordered.withColumn("date_time", F.date_format("date_time", "yyyy-MM-dd HH:mm:ss"))
     reordered.write.mode("append").partitionBy("increment").options(header=True, escape='"').csv(folder)
-    years = [str(y) for y in range(1995, 2002)]
+    # one row per year that has landed
+    years = [r["increment"] for r in orders.select("increment").distinct().orderBy("increment").collect()]
     return read_increment_csv(spark, landing, "user_order_log", years).drop(FILE, POSITION)
 
 
@@ -234,6 +237,29 @@ def _(spark, sf):
 
 # whole runs
 
+def _rebuilt(spark, sf):
+    """The warehouse after a full rebuild from whole-history files."""
+    source = scratch_path(spark, "source")
+    _write_csv(inputs.order_log(spark, sf), f"{source}/user_order_log.csv")
+    _write_csv(inputs.activity_log(spark, sf), f"{source}/user_activity_log.csv")
+    _write_csv(inputs.research(spark, sf), f"{source}/customer_research.csv")
+    return runs.run_full(spark, source, scratch_path(spark, "warehouse"), "2024-01-31", batch_id=1)
+
+
+@query("full_rebuild_daily_sales", f"""select date_id, item_id, cast(customer_id as int) customer_id,
+  cast(price as decimal(10,2)) price, quantity, cast(payment_amount as decimal(10,2)) payment_amount from
+  (select {ORDER_KEY_SQL} date_id, item_id, customer_id, {RATIO_SQL.format(qty="quantity")} price,
+    cast(sum(quantity) as bigint) quantity, sum(payment_amount) payment_amount from uol group by 1, 2, 3)""", ("uol",))
+def _(spark, sf):
+    return _rebuilt(spark, sf).read("mart.f_daily_sales")
+
+
+@query("full_rebuild_customers", """select row_number() over (order by customer_id) id, cast(customer_id as int) customer_id,
+  max(first_name) first_name, max(last_name) last_name, cast(max(city_id) as int) city_id from uol group by customer_id""", ("uol",))
+def _(spark, sf):
+    return _rebuilt(spark, sf).read("mart.d_customer")
+
+
 @query("full_rebuild", """select 'mart.d_calendar' table_name, count(*) row_count from seen
   union all select 'mart.d_customer', count(distinct customer_id) from uol
   union all select 'mart.d_item', count(*) from (select distinct item_id, item_name from uol)
@@ -245,11 +271,7 @@ def _(spark, sf):
   union all select 'mart.f_research', count(*) from
     (select distinct cast(date_id as date), category_id, geo_id from research)""", ("seen",))
 def _(spark, sf):
-    source = scratch_path(spark, "source")
-    _write_csv(inputs.order_log(spark, sf), f"{source}/user_order_log.csv")
-    _write_csv(inputs.activity_log(spark, sf), f"{source}/user_activity_log.csv")
-    _write_csv(inputs.research(spark, sf), f"{source}/customer_research.csv")
-    wh = runs.run_full(spark, source, scratch_path(spark, "warehouse"), "2024-01-31", batch_id=1)
+    wh = _rebuilt(spark, sf)
     out = None
     for name in runs.REBUILT:
         if name.startswith("mart."):
@@ -263,11 +285,8 @@ _WEB_CITY = """(select w.*, c_nationkey city_id, strftime(w.date_time, '%Y-%m-%d
   from uol_web w join customer on w.customer_id = c_custkey)"""
 
 
-@query("backfill_run", f"""select cast(strftime(date_time, '%Y%m%d') as int) date_id, item_id, customer_id, city_id,
-  case when status = 'refunded' then -quantity else quantity end quantity,
-  case when status = 'refunded' then -payment_amount else payment_amount end payment_amount,
-  cast(date_time as date) sale_date from {_WEB_CITY}""", ("uol_web",))
-def _(spark, sf):
+def _landed_web_logs(spark, sf):
+    """A landing with one increment per day of the web logs, and those days in order."""
     landing = Landing(scratch_path(spark, "landing"), PARTITIONED_LAYOUT)
     customer, part = inputs.table(spark, sf, "customer"), inputs.table(spark, sf, "part")
     nation = inputs.table(spark, sf, "nation")
@@ -296,6 +315,58 @@ def _(spark, sf):
     ):
         dated = rows.withColumn("increment", F.date_format(stamp, "yyyy-MM-dd"))
         _write_csv(dated, f"{landing.root}/{name}", ["increment"])
+    days = [r["increment"] for r in activity.select(
+        F.date_format("date_time", "yyyy-MM-dd").alias("increment")).distinct().orderBy("increment").collect()]
+    return landing, days
+
+
+@query("backfill_run", f"""select cast(strftime(date_time, '%Y%m%d') as int) date_id, item_id, customer_id, city_id,
+  case when status = 'refunded' then -quantity else quantity end quantity,
+  case when status = 'refunded' then -payment_amount else payment_amount end payment_amount,
+  cast(date_time as date) sale_date from {_WEB_CITY}""", ("uol_web",))
+def _(spark, sf):
+    landing, days = _landed_web_logs(spark, sf)
     wh = runs.run_backfill(
-        spark, landing, scratch_path(spark, "warehouse"), "2024-01-01", "2024-01-30", batch_id=1)
+        spark, landing, scratch_path(spark, "warehouse"), days[0], days[-1], batch_id=1)
     return wh.read("mart.f_sales").withColumn("customer_id", F.col("customer_id").cast("bigint"))
+
+
+def _daily_runs(spark, sf):
+    """The warehouse after a back-fill of eight days and daily runs of the next two."""
+    landing, days = _landed_web_logs(spark, sf)
+    root = scratch_path(spark, "warehouse")
+    runs.run_backfill(spark, landing, root, days[0], days[7])
+    for day in days[8:10]:
+        wh = runs.run_increment(spark, landing, root, day)
+    return wh
+
+
+_RAN = "(select distinct cast(date_time as date) d from uol_web order by d limit 10)"
+
+
+@query("increment_run_sales", f"""select cast(strftime(date_time, '%Y%m%d') as int) date_id, item_id, customer_id, city_id,
+  case when status = 'refunded' then -quantity else quantity end quantity,
+  case when status = 'refunded' then -payment_amount else payment_amount end payment_amount,
+  cast(date_time as date) sale_date from {_WEB_CITY} where cast(date_time as date) in {_RAN}""", ("uol_web",))
+def _(spark, sf):
+    return _daily_runs(spark, sf).read("mart.f_sales")
+
+
+@query("increment_run_retention", f"""select week_start, item_id, period_name, period_id,
+  cast(new_customers_count as int) new_customers_count, cast(returning_customers_count as int) returning_customers_count,
+  cast(refunded_customer_count as int) refunded_customer_count,
+  cast(new_customers_revenue as decimal(10,2)) new_customers_revenue,
+  cast(returning_customers_revenue as decimal(10,2)) returning_customers_revenue,
+  cast(customers_refunded as int) customers_refunded from (select * from
+  ({retention_sql(_WEB_CITY, f"where cast(date_time as date) in {_RAN}", "week_start + interval 7 day", ORDER_WEEK)}))
+  where week_start = (select min(cast(date_trunc('week', d) as date)) from {_RAN})""", ("uol_web",))
+def _(spark, sf):
+    # the week before the daily runs, which they have written again
+    marts = _daily_runs(spark, sf).read("mart.f_customer_retention")
+    return marts.where(F.col("week_start") == marts.select(F.min("week_start")).scalar())
+
+
+@query("increment_run_customers", f"""select distinct cast(customer_id as int) customer_id from {_WEB_CITY}
+  where cast(date_time as date) in {_RAN}""", ("uol_web",))
+def _(spark, sf):
+    return _daily_runs(spark, sf).read("mart.d_customer").select("customer_id")

@@ -151,14 +151,14 @@ def _(spark, sf):
         spark, sf, "date_time", "item_id", "customer_id", "quantity", "payment_amount", "status"))
 
 
-def _retention_sql(source: str, where: str, period: str, week: str = "") -> str:
+def retention_sql(source: str, where: str, period: str, week: str = "") -> str:
     key, out = (f"{week} week_start, ", "week_start, ") if week else ("", "")
     return f"""select {out}item_id, 'weekly' period_name, cast(extract(week from {period}) as int) period_id,
   count(customer_id) filter (n_orders = 1) new_customers_count,
   count(customer_id) filter (n_orders > 1) returning_customers_count,
   count(customer_id) filter (n_refunds > 0) refunded_customer_count,
-  cast(coalesce(sum(paid) filter (n_orders = 1), 0) as decimal(24,2)) new_customers_revenue,
-  cast(coalesce(sum(paid) filter (n_orders > 1), 0) as decimal(24,2)) returning_customers_revenue,
+  cast(sum(if(n_orders = 1, paid, 0)) as decimal(24,2)) new_customers_revenue,
+  cast(sum(if(n_orders > 1, paid, 0)) as decimal(24,2)) returning_customers_revenue,
   cast(sum(n_refunds) as bigint) customers_refunded
   from (select {key}customer_id, item_id, count(uniq_id) n_orders, sum(payment_amount) paid,
     count(*) filter (status = 'refunded') n_refunds
@@ -170,22 +170,22 @@ _WEEK_SQL = f"""where date_time >= date_trunc('week', date '{AS_OF}') - interval
   and date_time < date_trunc('week', date '{AS_OF}')"""
 
 
-@query("f_customer_retention", _retention_sql("uol_web", _WEEK_SQL, f"date '{AS_OF}'"), ("uol_web",))
+@query("f_customer_retention", retention_sql("uol_web", _WEEK_SQL, f"date '{AS_OF}'"), ("uol_web",))
 def f_customer_retention(spark, sf):
     return facts.f_customer_retention(inputs.web_order_log(spark, sf), AS_OF)
 
 
-_ORDER_WEEK = "cast(date_trunc('week', date_time) as date)"
+ORDER_WEEK = "cast(date_trunc('week', date_time) as date)"
 
 
 @query("retention_backfill",
-       _retention_sql("uol", "", "week_start + interval 7 day", _ORDER_WEEK), ("uol",))
+       retention_sql("uol", "", "week_start + interval 7 day", ORDER_WEEK), ("uol",))
 def _(spark, sf):
     return facts.retention_backfill(inputs.order_log(
         spark, sf, "date_time", "uniq_id", "customer_id", "item_id", "payment_amount", "status"))
 
 
 @query("retention_backfill_web",
-       _retention_sql("uol_web", "", "week_start + interval 7 day", _ORDER_WEEK), ("uol_web",))
+       retention_sql("uol_web", "", "week_start + interval 7 day", ORDER_WEEK), ("uol_web",))
 def _(spark, sf):
     return facts.retention_backfill(inputs.web_order_log(spark, sf))

@@ -54,7 +54,7 @@ def run_full(
 
     def stage(name: str) -> None:
         rows = read_full_csv(spark, f"{source_dir.rstrip('/')}/{name}.csv", name)
-        wh.overwrite(_stage(name), rows.withColumn("load_date", day), batch_id)
+        wh.overwrite(_stage(name), rows.withColumn("load_date", day), batch_id, spread=False)
 
     _side_by_side([partial(stage, name) for name in FULL_DATASETS])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,8 +16,8 @@ from pyspark.sql import types as T
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) is a temporary folder made,
-    and it is then used for checkpoints as well.
+    Only where a local session names none (tests) is a temporary folder made, and it is then
+    used for checkpoints as well. On a cluster that would be a folder of one machine: an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -25,6 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
     if current is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="martloom-")
         spark.sparkContext.setCheckpointDir(current)
         current = spark.sparkContext.getCheckpointDir()

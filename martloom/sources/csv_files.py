@@ -63,6 +63,7 @@ def _scan(spark: SparkSession, header: tuple[str, ...], paths: list[str], multil
         .option("enforceSchema", "false")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", "false")  # a line's surplus fields show only where all are parsed
         .option("multiLine", str(multiline).lower())
         .schema(T.StructType(fields))
         .csv(paths)
@@ -186,23 +187,29 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(clean).drop(REJECTED, CORRUPT), df.where(~clean)
 
 
-def read_full_csv(spark: SparkSession, path: str, dataset: str, on_error: str = "raise") -> DataFrame:
-    """Whole-history extract of a dataset: listed columns only, typed, "no value" as NULL."""
+def read_full_csv(
+    spark: SparkSession, path: str, dataset: str, on_error: str = "raise", multiline: bool = False
+) -> DataFrame:
+    """Whole-history extract of a dataset: listed columns only, typed, "no value" as NULL.
+
+    ``multiline=True`` reads quoted line breaks, at the price of one task per file.
+    """
     spec = TABLES[f"staging.{dataset}"]
     columns = [c for c in spec.data_columns if c not in spec.optional]
-    raw = read_csv_by_name(spark, path)
+    raw = read_csv_by_name(spark, path, multiline)
     raw = raw.select(*columns, FILE, POSITION, CORRUPT)
     typed = infer_and_cast(nan_to_null(raw), spec.schema, on_error)
     if on_error == "flag":
         return typed.select(*columns, REJECTED, CORRUPT)
-    return typed.select(*_checked(columns, typed))
+    return typed.select(*_checked(columns, spec.optional))
 
 
-def _checked(columns: Sequence[str], typed: DataFrame) -> list[Column]:
-    # keep the corrupt-line check alive when its column is not part of the output
-    first, *rest = columns
-    guard = F.when(F.col(CORRUPT).isNull(), F.col(first)).alias(first)
-    return [guard, *[F.col(c) for c in rest]]
+def _checked(columns: Sequence[str], optional: Sequence[str]) -> list[Column]:
+    """The columns, the required ones with the check for surplus fields, so that pruning does not lose it.
+
+    An optional column may be a constant, which Spark cannot read beside the check alone.
+    """
+    return [F.col(c) if c in optional else F.when(F.col(CORRUPT).isNull(), F.col(c)).alias(c) for c in columns]
 
 
 def read_increment_csv(
@@ -212,6 +219,7 @@ def read_increment_csv(
     increments: Sequence[str],
     on_error: str = "raise",
     defaults: Mapping[str, str] | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """Extracts of the given increments, typed; every known column found in a file is kept.
 
@@ -220,7 +228,7 @@ def read_increment_csv(
     value given for them in ``defaults``.
     """
     spec = TABLES[f"staging.{dataset}"]
-    raw = read_csv_by_name(spark, [landing.path(i, dataset) for i in increments], defaults=defaults)
+    raw = read_csv_by_name(spark, [landing.path(i, dataset) for i in increments], multiline, defaults)
     known = [c for c in spec.data_columns if c in raw.columns]
     missing = [c for c in spec.data_columns if c not in known and c not in spec.optional]
     if missing:
@@ -230,4 +238,4 @@ def read_increment_csv(
     extra = ["increment", FILE, POSITION]
     if on_error == "flag":
         return typed.select(*known, *extra, REJECTED, CORRUPT)
-    return typed.select(*_checked(known, typed), *extra)
+    return typed.select(*_checked(known, spec.optional), *extra)

@@ -41,13 +41,15 @@ def _observed(found: Observation, df: DataFrame, partition: str) -> set[str]:
         return {r["d"] for r in df.select(F.col(partition).cast("string").alias("d")).distinct().collect()}
 
 
-def _balanced(df: DataFrame, partition: str, serial: str | None) -> DataFrame:
+def _balanced(df: DataFrame, partition: str, serial: str | None, spread: bool = True) -> DataFrame:
     """Rows spread for a write by ``partition``, then numbered.
 
+    ``spread=False`` leaves the rows in the tasks that made them, for loads of one partition value.
+
     Numbering comes after the last shuffle: a task that is repeated then numbers and writes
     its own file again, and no other task has seen its numbers.
     """
-    out = df.hint("rebalance", partition)
+    out = df.hint("rebalance", partition) if spread else df
     return out.withColumn(serial, row_ids(F.col(partition))) if serial else out
 
 
@@ -85,20 +87,30 @@ def merge_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
+_DAY_BITS, _PARTITION_BITS, _ROW_BITS = 16, 22, 25
+
+
 def row_ids(load_date: Column) -> Column:
     """Unique row numbers for staging loads, without a shuffle or a read of the table.
 
     Ids grow but are not dense. The day number of the load is the high part, so loads of
-    different dates never meet: 15 bits of day, 17 of partition, 31 of row.
+    different dates never meet: 16 bits of day (1970 to 2149), 22 of partition, 25 of row.
     """
     raw = F.monotonically_increasing_id()
-    partition = F.shiftright(raw, 33)
-    row = raw.bitwiseAND(F.lit((1 << 33) - 1))
-    fits = (partition < (1 << 17)) & (row < (1 << 31))
-    day = F.unix_date(load_date).cast("bigint")
-    return F.when(fits, F.shiftleft(day, 48) + F.shiftleft(partition, 31) + row).otherwise(
-        F.raise_error(F.lit("load too large for its id range; use more load dates")).cast("bigint")
-    )
+    return packed_id(F.unix_date(load_date).cast("bigint"), F.shiftright(raw, 33), raw.bitwiseAND(F.lit((1 << 33) - 1)))
+
+
+def packed_id(day: Column, partition: Column, row: Column) -> Column:
+    """One positive number from a day, a partition of its load and a row of the partition.
+
+    Four million partitions are some 256 TB at 64 MB each. What does not fit stops the load.
+    """
+    def fits(c: Column, bits: int, what: str) -> Column:
+        return F.when((c >= 0) & (c < (1 << bits)), c).when(
+            c.isNotNull(), F.raise_error(F.concat(F.lit(f"{what} out of the id range: "), c.cast("string"))).cast("bigint"))
+
+    return (F.shiftleft(fits(day, _DAY_BITS, "load date"), _PARTITION_BITS + _ROW_BITS)
+            + F.shiftleft(fits(partition, _PARTITION_BITS, "partition"), _ROW_BITS) + fits(row, _ROW_BITS, "row"))
 
 
 class Warehouse:
@@ -137,12 +149,13 @@ class Warehouse:
         """Scan with the declared schema; only the columns used later are read."""
         return self.spark.read.schema(TABLES[table].schema).parquet(self.path(table))
 
-    def overwrite(self, table: str, df: DataFrame, batch_id: int | None = None) -> None:
+    def overwrite(self, table: str, df: DataFrame, batch_id: int | None = None, spread: bool = True) -> None:
+        """Replace the table. ``spread=False``: all rows have one partition value, so no shuffle is needed."""
         with _Audit(self, table, batch_id):
             spec = TABLES[table]
             out = conform(df, spec)
             if spec.partition_by:
-                out = _balanced(out, spec.partition_by[0], spec.serial)
+                out = _balanced(out, spec.partition_by[0], spec.serial, spread)
             out.write.mode("overwrite").partitionBy(*spec.partition_by).parquet(self.path(table))
 
     def append(self, table: str, df: DataFrame, batch_id: int | None = None) -> None:

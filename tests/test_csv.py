@@ -89,6 +89,21 @@ def test_surplus_field_stops(spark):
         read_full_csv(spark, path, "customer_research").collect()
 
 
+def test_surplus_field_stops_whatever_is_read(spark):
+    path = scratch_path(spark, "full") + "/user_activity_log.csv"
+    put(path, "date_time,action_id,customer_id,quantity\n2024-01-01 10:00:00,3,7,1\n2024-01-01 10:00:00,3,7,1,9\n")
+    for column in ("quantity", "date_time"):
+        with pytest.raises(Exception, match="more fields than the header"):
+            read_full_csv(spark, path, "user_activity_log").select(column).collect()
+
+
+def test_quoted_line_breaks(spark):
+    path = scratch_path(spark, "full") + "/price_log.csv"
+    put(path, 'datetime,category_id,category_name,item_id,price\n2024-01-01,1,"two\nlines",3,4.5\n')
+    got = read_full_csv(spark, path, "price_log", multiline=True)
+    assert rows(got, "category_name", "item_id") == [("two\nlines", 3)]
+
+
 def test_missing_columns(spark, landing):
     path = landing.path("a", "price_log")
     put(path, "datetime,item_id\n2024-01-01,1\n")

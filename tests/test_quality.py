@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal as Dec
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.operators import constraints as c
@@ -65,6 +66,13 @@ def test_block_rows_splits_without_loss(orders):
     assert q.block_rows(orders.select("item_name"), [q.ORDERS_TEST_STATUS])[1].count() == 0
 
 
+def test_rule_that_cannot_tell_keeps_the_row(spark):
+    df = spark.createDataFrame([(1,), (None,), (9,)], "v int")
+    accepted, blocked = q.block_rows(df, [q.Rule("t", "too_large", "v", lambda name: F.col(name) > 5)])
+    assert rows(accepted) == [(None,), (1,)] or rows(accepted) == [(1,), (None,)]
+    assert rows(blocked, "v") == [(9,)]
+
+
 def test_primary_key(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 3)], "a int, b int")
     assert rows(c.check_primary_key(df, ["a", "b"])) == [(1, 1, 2), (None, 3, 1)]

@@ -1,11 +1,12 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from martloom.schemas import TABLES
 from martloom.session import scratch_path
 from martloom.sources.warehouse import (
-    Warehouse, add_column, append_table, merge_evolved, overwrite_table, replace_partitions, row_ids,
+    Warehouse, add_column, append_table, merge_evolved, overwrite_table, packed_id, replace_partitions, row_ids,
 )
 from tests.conftest import rows
 
@@ -62,8 +63,19 @@ def test_staging_ids_are_unique_over_loads(spark):
 
 def test_row_ids_grow_with_the_load_date(spark):
     ids = [spark.range(5).select(row_ids(day(d)).alias("i")).agg(F.min("i"), F.max("i")).first()
-           for d in ("2024-01-01", "2024-01-02", "2059-09-17")]
-    assert 0 < ids[0][0] <= ids[0][1] < ids[1][0] <= ids[1][1] < ids[2][0]
+           for d in ("2024-01-01", "2024-01-02", "2060-01-01", "2149-06-06")]
+    assert 0 < ids[0][0] <= ids[0][1] < ids[1][0] <= ids[1][1] < ids[2][0] < ids[3][0]
+
+
+def test_ids_of_very_large_loads(spark):
+    def number(*parts):
+        return spark.range(1).select(packed_id(*[F.lit(p).cast("bigint") for p in parts]).alias("i")).first()["i"]
+
+    assert number(0, 1 << 17, 0) > number(0, (1 << 17) - 1, (1 << 25) - 1) > number(0, (1 << 17) - 1, 0)
+    assert number((1 << 16) - 1, (1 << 22) - 1, (1 << 25) - 1) == (1 << 63) - 1
+    for bad in ((-1, 0, 0), (1 << 16, 0, 0), (0, 1 << 22, 0), (0, 0, 1 << 25)):
+        with pytest.raises(Exception, match="out of the id range"):
+            number(*bad)
 
 
 def test_schema_evolution(spark):
