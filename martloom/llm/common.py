@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.session import scratch_path
@@ -108,7 +108,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 
 def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str,
-                      deal_once: bool = False) -> DataFrame:
+                      traits: DataFrame, likely: Callable[[str, str], Column], deal_once: bool = False) -> DataFrame:
     """Components of all pairs that share a bucket and that ``verify`` confirms.
 
     ``buckets``: (key, id), distinct ids per key. ``verify`` maps pairs (a, b) to the confirmed ones.
@@ -118,7 +118,9 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     Then, in buckets that still hold several components, everything outside the bucket's largest
     component is compared with every member of another component. Two members that are already
     connected are never compared, so a large group of copies costs no square of its size, and no
-    link that could join two components is left untested. ``deal_once`` shuffles the buckets once by key
+    link that could join two components is left untested. There the join itself drops pairs that are not
+    ``likely(prefix, prefix)`` by their ``traits`` (id, ...; columns are prefixed), so that texts which merely
+    share a passage make no rows. ``deal_once`` shuffles the buckets once by key
     instead of once reduced and once whole, for when they are many times larger than their groups.
     """
     if deal_once:
@@ -138,9 +140,13 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     sizes = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("n", "c")).alias("main"))
     mixed = store(placed.join(mixed.where("parts > 1").select("key", "main"), "key"), f"{label}-mixed")
-    rest = mixed.where("c <> main").select("key", F.col("id").alias("x"), F.col("c").alias("cx"))
+    own = [c for c in traits.columns if c != "id"]
+    mixed = mixed.join(traits, "id")
+    rest = mixed.where("c <> main").select(
+        "key", F.col("id").alias("x"), F.col("c").alias("cx"), *[F.col(t).alias(f"x_{t}") for t in own])
+    others = mixed.select("key", "id", "c", "main", *[F.col(t).alias(f"y_{t}") for t in own])
     # a pair with both sides outside the main component is taken once, by x < id
-    crossed = (rest.join(mixed, "key").where("cx <> c and (c = main or x < id)")
+    crossed = (rest.join(others, "key").where("cx <> c and (c = main or x < id)").where(likely("x_", "y_"))
                .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct())
     second = store(crossed.join(first, ["a", "b"], "left_anti"), f"{label}-pairs")
     if second.isEmpty():

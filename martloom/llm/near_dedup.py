@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.common import linked_components, map_columns, marked, read, store
@@ -30,10 +30,13 @@ from martloom.llm.words import WordHashes, mixed, shingles
 
 REGISTERS, ROWS, BANDS = 256, 9, 64
 BASE, RATE = 1.02, 20.0
+#: Registers whose low bytes the second pass over buckets compares.
+COMPARED = 224
 #: Standard errors by which the estimate may lie below the threshold before a pair is dropped unseen.
 MARGIN = 5.0
 SKETCHES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_1", pa.int64()),
-                      ("set_2", pa.int64()), ("regs", pa.binary()), ("bands", pa.list_(pa.int64()))])
+                      ("set_2", pa.int64()), ("regs", pa.binary()), ("bands", pa.list_(pa.int64())),
+                      ("low", pa.list_(pa.int64()))])
 SETS = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 _BLOCK = 2048
 _SEED = np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -67,6 +70,25 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return mixed((rows * _BAND_MULT).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
+def low_bytes(regs: np.ndarray) -> np.ndarray:
+    """Low bytes of the first ``COMPARED`` registers, seven to a signed 64-bit value."""
+    out = np.zeros((COMPARED // 7, 8), np.uint8)
+    out[:, :7] = regs[:COMPARED].astype(np.uint8).reshape(-1, 7)
+    return out.view(np.int64)[:, 0]
+
+
+def _equal_bytes(a: str, b: str) -> Column:
+    """Number of equal low bytes of two columns of ``low_bytes``."""
+    sevens, high = F.lit(0x007F7F7F7F7F7F7F), F.lit(0x0080808080808080)
+    total = F.lit(0)
+    for i in range(COMPARED // 7):
+        differs = F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))
+        # the high bit of a byte stays unset where the byte is zero
+        some = (differs.bitwiseAND(sevens) + sevens).bitwiseOR(differs)
+        total = total + F.lit(7) - F.bit_count(some.bitwiseAND(high))
+    return total
+
+
 def likeliest(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
     """Joint maximum-likelihood estimates of the Jaccard similarity, one per row of registers."""
     above = (left > right).sum(axis=1)[:, None]
@@ -91,12 +113,12 @@ def _sketcher():
         out = {name: [] for name in SKETCHES.names}
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
             s = shingles(text or b"", cache)
-            row = (doc_id, 0, 0, 0, None, None)
+            row = (doc_id, 0, 0, 0, None, None, None)
             if len(s):
                 first = int(s.sum(dtype=np.uint64).view(np.int64))
                 second = int(np.bitwise_xor.reduce(mixed(s * place)).view(np.int64))
                 regs = registers(s)
-                row = (doc_id, len(s), first, second, regs.tobytes(), band_keys(regs))
+                row = (doc_id, len(s), first, second, regs.tobytes(), band_keys(regs), low_bytes(regs))
             for name, value in zip(SKETCHES.names, row):
                 out[name].append(value)
         yield out
@@ -154,7 +176,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = own.groupBy("set_1", "set_2", "n_shingles").agg(F.min("doc_id").alias("class_id"))
     classes = store(classes, "classes")
     heads = own.join(classes.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    heads = heads.select(F.col("doc_id").alias("id"), "n_shingles", "regs", "bands")
+    heads = heads.select(F.col("doc_id").alias("id"), "n_shingles", "regs", "bands", "low")
     buckets = heads.select("id", F.explode("bands").alias("key")).select("key", "id").distinct()
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -173,7 +195,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         both = F.size(F.array_intersect("sa", "sb"))
         return full.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
 
-    named = linked_components(buckets, verify, "near")
+    limit = percent / 100
+    least = COMPARED * limit - MARGIN * (COMPARED * limit * (1 - limit)) ** 0.5
+
+    def likely(a: str, b: str) -> Column:
+        sizes = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
+        return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (_equal_bytes(f"{a}low", f"{b}low") >= least)
+
+    named = linked_components(buckets, verify, "near", heads.select("id", "n_shingles", "low"), likely)
     # rows sharing a doc_id are one node: join the classes through it
     labels = classes.join(named.withColumnRenamed("id", "class_id"), "class_id", "left").select(
         "set_1", "set_2", "n_shingles", F.coalesce("component", "class_id").alias("class_component"))
