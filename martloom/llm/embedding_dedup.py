@@ -6,7 +6,7 @@ vector with the wanted cosine could lie beyond it: for unit centroids a (home) a
 ``x . (a - b) <= sqrt(1 - cosine**2) * |a - b|``. So no link is lost, whatever the centroids, and each pair meets
 exactly once: in the home of the later one. The price is that vectors without cluster structure visit many
 cells. Within a cell, blocks of at most about ``BLOCK`` rows are multiplied pair by pair in tasks of their own, so a
-cell with a third of all rows is spread; a task returns numbers of links and a spanning forest, never pairs.
+cell with a third of all rows is spread; a task returns numbers of links and each row's least connected one, never pairs.
 
 Rows: vectors that are null, empty, zero, or hold a null or non-finite component link with nothing. Vectors of
 different lengths link with nothing of another length. A null ``vec_id`` gets a null component and is kept, without
@@ -27,6 +27,7 @@ from martloom.llm.common import components, map_columns, read, store
 #: Vectors per cell that the number of cells aims at, the most cells, and the bound of the sample they are fitted on.
 CELL_ROWS, MAX_CELLS, SAMPLE_ROWS = 4096, 512, 16_384
 BLOCK = 2048
+_SLACK, _PAIRS = 1e-5, 100_000
 ITERATIONS = 6
 PLACED = pa.schema([("cell", pa.int64()), ("home", pa.bool_()), ("id", pa.int64()), ("copies", pa.int64()),
                     ("vec", pa.list_(pa.float32()))])
@@ -41,7 +42,7 @@ def valid_vectors(embeddings: DataFrame) -> DataFrame:
     return rows.where(~broken).where(F.exists("vec", lambda x: x != 0))
 
 
-def _unit(rows: list) -> np.ndarray:
+def _unit(rows) -> np.ndarray:
     x = np.array(rows, np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)  # no square under- or overflows
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
@@ -82,7 +83,8 @@ def _placer(cells: dict[int, np.ndarray], cosine: float):
                 by_dim.setdefault(len(v), []).append(i)
             for dim, rows in by_dim.items():
                 centers = cells.get(dim)
-                x = _unit([batch["vec"][i] for i in rows])
+                plain = np.array([batch["vec"][i] for i in rows], np.float32)
+                x = _unit(plain)
                 if centers is None:  # a length that the sample missed is one cell
                     at, to = np.arange(len(rows)), np.zeros(len(rows), np.int64)
                     homes = to
@@ -94,7 +96,7 @@ def _placer(cells: dict[int, np.ndarray], cosine: float):
                     at, to = np.nonzero(visits)
                 yield {"cell": (dim * (MAX_CELLS + 1) + to).tolist(), "home": (to == homes[at]).tolist(),
                        "id": [batch["id"][rows[i]] for i in at], "copies": [batch["copies"][rows[i]] for i in at],
-                       "vec": [batch["vec"][rows[i]] for i in at]}
+                       "vec": list(plain[at])}
 
         return place
 
@@ -103,38 +105,33 @@ def _placer(cells: dict[int, np.ndarray], cosine: float):
 
 def _compare(cosine: float):
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
-        left = np.array(rows["side"].to_pylist()) == 0
+        left = rows["side"].to_numpy() == 0
         ids, copies = rows["id"].to_numpy(), rows["copies"].to_numpy()
-        x = _unit(rows["vec"].to_pylist())
+        x = _unit(rows["vec"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1))
         own = len({*key[2:]}) == 1 and key[1].as_py() == "home"
         a, b = (np.flatnonzero(left),) * 2 if own else (np.flatnonzero(left), np.flatnonzero(~left))
-        near = x[a] @ x[b].T >= cosine
+        # single precision finds what may reach the limit, double precision decides
+        i, j = np.nonzero(x[a].astype(np.float32) @ x[b].astype(np.float32).T >= cosine - _SLACK)
+        i, j = a[i], b[j]
         if own:
-            np.fill_diagonal(near, False)
-        links = np.zeros(len(ids), np.int64)
-        links[a] += near @ copies[b]
-        if not own:
-            links[b] += near.T @ copies[a]
-        edges, unseen = [], np.ones(len(b), bool)
-        done = np.zeros(len(a), bool)
-        for first in range(len(a)):  # breadth first; every row and column is looked at once
-            queue = [] if done[first] else [first]
-            while queue:
-                i = queue.pop()
-                if done[i]:
-                    continue
-                done[i] = True
-                for j in np.flatnonzero(near[i] & unseen):
-                    unseen[j] = False
-                    edges.append((a[i], b[j]))
-                    queue.extend([j] if own else np.flatnonzero(near[:, j] & ~done).tolist())
-                    if not own:
-                        edges.extend((a[k], b[j]) for k in np.flatnonzero(near[:, j] & ~done))
-        some = np.flatnonzero(links)
-        ends = np.array(edges, np.int64).reshape(-1, 2)
-        return pa.table({"id": np.r_[ids[some], ids[ends[:, 0]]],
-                         "to": pa.array([None] * len(some) + ids[ends[:, 1]].tolist(), pa.int64()),
-                         "links": np.r_[links[some], np.zeros(len(ends), np.int64)]})
+            i, j = i[i < j], j[i < j]
+        linked = np.concatenate([np.einsum("ij,ij->i", x[i[k:k + _PAIRS]], x[j[k:k + _PAIRS]]) >= cosine
+                                 for k in range(0, len(i), _PAIRS)] or [np.zeros(0, bool)])
+        i, j = i[linked], j[linked]
+        links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
+        least = np.arange(len(ids))  # each row's least connected row, found by halving paths
+        while True:
+            low = np.minimum(least[i], least[j])
+            before = least.copy()
+            np.minimum.at(least, i, low)
+            np.minimum.at(least, j, low)
+            least = least[least]
+            if (least == before).all():
+                break
+        some, joined = np.flatnonzero(links), np.flatnonzero(least != np.arange(len(ids)))
+        return pa.table({"id": np.r_[ids[some], ids[joined]],
+                         "to": pa.array([None] * len(some) + ids[least[joined]].tolist(), pa.int64()),
+                         "links": np.r_[links[some].astype(np.int64), np.zeros(len(joined), np.int64)]})
 
     return compare
 
