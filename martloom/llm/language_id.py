@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from martloom.llm.common import map_columns, read
+from martloom.llm.common import map_columns, marked, read, store
 from martloom.llm.quality import fold
 
 #: Bound of the sample per language that piece probabilities are learned from.
@@ -146,7 +146,9 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict[str, np.ndarray
     known = docs.where("doc_id is not null and lang is not null")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = known.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample_rows)
-    sample = known.select("doc_id", "lang", "text").join(ids.select("doc_id", "lang").distinct(), ["doc_id", "lang"])
+    ids = store(ids.select("doc_id", "lang").distinct(), "sample")
+    near = marked(known.select("doc_id", "lang", "text"), "doc_id", ids.select("doc_id")).where("maybe").drop("maybe")
+    sample = near.join(ids, ["doc_id", "lang"])
     rows = sample.groupBy("lang").applyInArrow(_learn, "lang string, p binary").collect()
     return {r.lang: np.frombuffer(r.p) for r in sorted(rows)}
 

@@ -33,7 +33,7 @@ from martloom.llm.common import map_columns, marked, read, store
 from martloom.llm.suffix_array import common_prefixes, suffix_array
 from martloom.llm.words import mixed
 
-LENGTH, ANCHOR = 100, 32
+LENGTH, ANCHOR = 100, 48
 _SPAN = LENGTH - ANCHOR + 1
 #: Bytes of texts per shard of segment positions, and bytes per suffix array, that shards aim at.
 SHARD_BYTES, TEXT_BYTES = 16 << 20, 2 << 20
