@@ -5,8 +5,9 @@
 2. ``posteriors``: every document's probability of each domain, tempered to ``EVIDENCE`` words so that long
    documents stay soft, and its number of words.
 3. ``rates``: nonnegative rates per document whose expected domain totals (words * probability * rate)
-   match the targets: projected gradient on the squared deviation, every step one distributed sum
-   of as many numbers as there are domains. Rates start at 1, so what is in proportion stays.
+   match the targets: a rate is max(least rate, 1 - posterior . c), which is the nearest to 1 for the one dual vector
+   c of a number per domain. Newton steps on c, each one distributed sum of the domain totals and of the Gram matrix of
+   the documents above the least rate, so rare domains arrive as fast as frequent ones. Rates of what is in proportion stay 1.
 4. ``mixed``: documents repeated or left out by their rates.
 
 A domain is any label of a document; there may be some dozens. The word model joins as a table of at most
@@ -20,6 +21,7 @@ Without labelled documents there is one nameless domain. Only ``doc_id`` and ``t
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -34,7 +36,10 @@ SAMPLE_ROWS = 5000
 EVIDENCE = 16.0
 #: Targets are the domains' present shares to this power, so that rare domains gain.
 TEMPERATURE = 0.7
-STEPS, TOLERANCE = 60, 1e-4
+#: Deviation from a domain's own target at which it counts as reached, and the most Newton steps.
+TOLERANCE, STEPS = 1e-4, 100
+#: Weight of the squared distance of rates from 1 against that of domain totals from targets.
+RIDGE = 1e-8
 
 
 def _words(docs: DataFrame) -> DataFrame:
@@ -95,12 +100,12 @@ def rates(soft: DataFrame, targets: Sequence[float] | None = None, least_rate: f
     ``targets``: relative weight per domain (default: present shares to the power ``TEMPERATURE``); ``total``: words
     wanted in all, as a multiple of those present (default 1, or with a ``least_rate`` as many as leave no
     domain below it). Minimises the squared distance of the domain totals from their targets over
-    rates >= ``least_rate`` (0 or more).
+    rates >= ``least_rate`` (0 or more); of equally good rates those nearest to 1. Ends when every domain is within
+    ``TOLERANCE`` of its own target or at that minimum; if neither is reached, a warning names what is missing.
     """
     n = len(soft.select("posterior").first()[0]) if not soft.isEmpty() else 1
     share = [F.col("tokens") * F.get("posterior", F.lit(k)) for k in range(n)]
-    gram = [F.sum(share[i] * F.get("posterior", F.lit(j))) for i in range(n) for j in range(i, n)]
-    row = soft.agg(F.sum("tokens"), *[F.sum(s) for s in share], *gram).first()
+    row = soft.agg(F.sum("tokens"), *[F.sum(s) for s in share]).first()
     words = float(row[0] or 0)
     if not words:
         return soft.withColumn("rate", F.lit(max(1.0, least_rate)))
@@ -111,20 +116,40 @@ def rates(soft: DataFrame, targets: Sequence[float] | None = None, least_rate: f
     if total is None and least_rate:
         scale = max(1.0, float((least_rate * present / np.maximum(want, 1e-12)).max()))
     want = want * scale
-    m = np.zeros((n, n))
-    m[np.triu_indices(n)] = np.array(row[n + 1:], float) / words
-    values = np.linalg.eigvalsh(m + np.triu(m, 1).T)
-    step = 2 / (values[-1] + max(values[0], 0.02 * values[-1]))
-    current, rate = soft, F.lit(max(1.0, least_rate))
-    for i in range(STEPS):
-        if i and i % 10 == 0:  # keep the expression short
-            current, rate = store(current.withColumn("_rate", rate), "rates"), F.col("_rate")
-        sums = current.select("*", rate.alias("_r")).agg(*[F.sum(s * F.col("_r")) for s in share]).first()
-        gap = np.array(sums, float) / words - want
-        if np.abs(gap).max() <= TOLERANCE * scale:
+    free = 1.0 - least_rate  # up to this value of posterior . c a rate is above the least
+
+    def at(c: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The dual objective, the domains' deviations, and the Gram matrix of the documents above the least rate."""
+        above = F.col("_u") <= free
+        pull = F.when(above, F.col("_u") - F.col("_u") * F.col("_u") / 2).otherwise(least_rate * F.col("_u") + free * free / 2)
+        rate = F.greatest(F.lit(float(least_rate)), 1 - F.col("_u"))
+        gram = [F.sum(F.when(above, share[i] * F.get("posterior", F.lit(j))).otherwise(0.0)) for i in range(n) for j in range(i, n)]
+        sums = soft.select("tokens", "posterior", _dot(c).alias("_u")).agg(
+            F.sum(F.col("tokens") * pull), *[F.sum(s * rate) for s in share], *gram).first()
+        sums = np.array(sums, float) / words
+        m = np.zeros((n, n))
+        m[np.triu_indices(n)] = sums[n + 1:]
+        return RIDGE * (c @ c) / 2 + want @ c - sums[0], sums[1:n + 1] - want, m + np.triu(m, 1).T
+
+    c, near = np.zeros(n), TOLERANCE * np.maximum(want, 1e-9 * scale)
+    value, gap, m = at(c)
+    tries = 0
+    while (np.abs(gap) > near).any() and (np.abs(RIDGE * c - gap) > near / 10).any():
+        if tries == STEPS:
+            warnings.warn(f"rates: domain totals {(gap + want).tolist()} for targets {want.tolist()} after {STEPS} steps", stacklevel=2)
             break
-        rate = F.greatest(F.lit(float(least_rate)), rate - _dot(step * gap))
-    return current.withColumn("rate", rate).select("doc_id", "tokens", "posterior", "rate")
+        slope = RIDGE * c - gap
+        move = -np.linalg.solve(m + RIDGE * np.eye(n), slope)
+        length = 1.0
+        while tries < STEPS:
+            tries += 1
+            new = at(c + length * move)
+            if new[0] <= value + 1e-4 * length * (slope @ move) + 1e-13 * max(1.0, abs(value)):
+                c, (value, gap, m) = c + length * move, new
+                break
+            length /= 4
+    rate = F.greatest(F.lit(float(least_rate)), 1 - _dot(c))
+    return soft.withColumn("rate", rate).select("doc_id", "tokens", "posterior", "rate")
 
 
 def mixed(docs: DataFrame, rated: DataFrame) -> DataFrame:

@@ -60,3 +60,15 @@ def test_nulls_empty_table_no_labels(spark):
     assert mx.domain_rates(table, labels.limit(0))[0] == [""]
     domains, rated = mx.domain_rates(docs(spark, []), labels)
     assert rated.count() == 0 and mx.mixed(docs(spark, []), rated).count() == 0
+
+
+def test_rare_domains_arrive(spark):
+    for shares in ([0.6, 0.25, 0.1, 0.049, 0.001], [0.9, 0.05, 0.03, 0.01, 0.01]):
+        n = len(shares)
+        soft = [(i, int(100_000 * s), [0.96 if j == i else 0.01 for j in range(n)] if mix else [float(j == i) for j in range(n)])
+                for mix in (0, 1) for i, s in enumerate(shares)]
+        for least in (0.0, 1.0):
+            rows = mx.rates(spark.createDataFrame(soft[:n] if least else soft, "doc_id long, tokens long, posterior array<double>"), least_rate=least).collect()
+            present = sum(r.tokens * np.array(r.posterior) for r in rows)
+            got, want = totals(rows), (present / present.sum()) ** mx.TEMPERATURE
+            assert np.abs(got / got.sum() / (want / want.sum()) - 1).max() < 1e-3 and min(r.rate for r in rows) >= least - 1e-9
