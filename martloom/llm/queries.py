@@ -12,6 +12,7 @@ from martloom.llm.near_dedup import op3_minhash_near_dedup
 from martloom.llm.packing import op7_best_fit_packing
 from martloom.llm.periodic_runs import op11_periodic_runs
 from martloom.llm.quality import op8_quality_classifier
+from martloom.llm.quality_rules import op12_quality_rules
 from martloom.llm.substring_dedup import op1_suffix_array_dedup
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_line_dedup": op10_line_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_quality_rules": op12_quality_rules,
 }
 
 #: SQL over the same tables that must give the same rows, where SQL can say it.
