@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from martloom.llm import collocations
+from martloom.llm.collocations import op13_collocations
 from martloom.llm.embedding_dedup import op4_embedding_near_dedup
 from martloom.llm.fingerprints import op5_document_fingerprints
 from martloom.llm.language_id import op6_language_id
@@ -28,7 +30,8 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_quality_rules": op12_quality_rules,
+    "op13_collocations": op13_collocations,
 }
 
 #: SQL over the same tables that must give the same rows, where SQL can say it.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_collocations": collocations.ORACLE_SQL}
