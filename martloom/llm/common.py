@@ -7,12 +7,13 @@ names, so a lost executor costs a re-run of a task, never of the whole lineage.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.session import scratch_path
+from martloom.session import delete, scratch_path
 
 _SQL_TYPES = {pa.int64(): "long", pa.int32(): "int", pa.float64(): "double", pa.bool_(): "boolean",
               pa.string(): "string", pa.binary(): "binary", pa.list_(pa.int64()): "array<long>",
@@ -31,7 +32,46 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: a lineage cut that outlives executors."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _PASSING:
+        _PASSING[-1][path] = df.sparkSession
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+_PASSING: list[dict[str, SparkSession]] = []
+
+
+@contextmanager
+def passing() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables stored inside are deleted at the end, all but those handed to the function it gives.
+
+    For steps that end in a stored result: nothing reads what led to it any more.
+    """
+    _PASSING.append({})
+
+    def keep(df: DataFrame) -> DataFrame:
+        spark = _PASSING[-1].pop(df.stored_at, None)
+        if spark is not None and len(_PASSING) > 1:
+            _PASSING[-2][df.stored_at] = spark
+        return df
+
+    try:
+        yield keep
+    finally:
+        for path, spark in _PASSING.pop().items():
+            delete(spark, path)
+
+
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """The names, each with as many underscores before it as make it differ from all columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return tuple(out)
 
 
 def map_columns(df: DataFrame, start: Callable[[], Callable[[dict], Iterator[dict]]], out: pa.Schema) -> DataFrame:
@@ -63,13 +103,14 @@ def marked(df: DataFrame, column: str, wanted: DataFrame, flag: str = "maybe") -
     there are, and never stops a wanted one; an exact join follows where that matters.
     """
     (name,) = wanted.columns
+    spot, word, bits = fresh(df, "p", "word", "bits")
     place = lambda c: F.xxhash64(F.col(c)).bitwiseAND(F.lit((1 << BITS) - 1))
-    words = wanted.select(place(name).alias("p")).groupBy(F.expr("p >> 6").alias("_word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("_bits"))
-    spots = df.withColumn("_p", place(column)).withColumn("_word", F.expr("_p >> 6"))
-    seen = F.expr("(shiftright(_bits, cast(_p & 63 as int)) & 1L) = 1L")
-    return spots.join(F.broadcast(words), "_word", "left").withColumn(
-        flag, F.coalesce(seen, F.lit(False))).drop("_p", "_word", "_bits")
+    words = wanted.select(place(name).alias(spot)).groupBy(F.shiftright(spot, 6).alias(word)).agg(
+        F.expr(f"bit_or(shiftleft(1L, cast({spot} & 63 as int)))").alias(bits))
+    spots = df.withColumn(spot, place(column)).withColumn(word, F.shiftright(spot, 6))
+    seen = F.expr(f"(shiftright({bits}, cast({spot} & 63 as int)) & 1L) = 1L")
+    return spots.join(F.broadcast(words), word, "left").withColumn(
+        flag, F.coalesce(seen, F.lit(False))).drop(spot, word, bits)
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -80,6 +121,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     disappears per round whatever the shape, so chains and stars both take O(log n) rounds.
     Hubs are only ever reduced by a partial minimum.
     """
+    with passing() as keep:
+        return keep(_components(edges, label))
+
+
+def _components(edges: DataFrame, label: str) -> DataFrame:
     edges = store(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                   .distinct(), f"{label}-edges")
     steps: list[DataFrame] = []
@@ -97,7 +143,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         edges = store(moved.where("a_to <> b_to").select(
             F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct(), f"{label}-edges")
     if not steps:
-        return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        return store(edges.select(F.col("a").alias("id"), F.col("b").alias("component")), f"{label}-named")
     root = steps[0].select(F.col("u").alias("id"), F.col("to").alias("root"))
     for step in steps[1:]:
         root = root.join(step.select(F.col("u").alias("root"), "to"), "root", "left").select(
@@ -123,6 +169,12 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     share a passage make no rows. ``deal_once`` shuffles the buckets once by key
     instead of once reduced and once whole, for when they are many times larger than their groups.
     """
+    with passing() as keep:
+        return keep(_linked_components(buckets, verify, label, traits, likely, deal_once))
+
+
+def _linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str,
+                       traits: DataFrame, likely: Callable[[str, str], Column], deal_once: bool) -> DataFrame:
     if deal_once:
         buckets = buckets.repartition("key")
     groups = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))

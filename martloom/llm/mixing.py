@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import marked, read, store
+from martloom.llm.common import fresh, marked, read, store
 
 VOCABULARY = 4000
 #: Bound of the labelled sample that the classifier is fitted on.
@@ -155,14 +155,16 @@ def rates(soft: DataFrame, targets: Sequence[float] | None = None, least_rate: f
 def mixed(docs: DataFrame, rated: DataFrame) -> DataFrame:
     """``docs`` with each row floor(rate + u) times, u uniform in [0, 1) from the id's hash."""
     u = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 32)) / float(1 << 32)
-    copies = rated.select("doc_id", F.floor(F.col("rate") + u).cast("int").alias("_copies"))
-    other = store(copies.where("_copies <> 1").distinct(), "copies")
-    split = marked(docs, "doc_id", other.select("doc_id"))
-    once = split.where("not maybe").select(*docs.columns)
-    again = split.where("maybe").alias("d").join(other.alias("o"), F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")), "left")
-    again = again.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.coalesce("_copies", F.lit(1)).alias("_copies"))
-    again = again.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return once.union(again.select(*docs.columns))
+    flag, copies, copy = fresh(docs, "maybe", "copies", "copy")
+    times = rated.select("doc_id", F.floor(F.col("rate") + u).cast("int").alias(copies))
+    other = store(times.where(F.col(copies) != 1).distinct(), "copies")
+    split = marked(docs, "doc_id", other.select("doc_id"), flag)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    once = split.where(~F.col(flag)).select(*own)
+    again = split.where(F.col(flag)).alias("d").join(other.alias("o"), F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")), "left")
+    again = again.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.coalesce(copies, F.lit(1)).alias(copies))
+    again = again.where(F.col(copies) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return once.union(again.select(*own))
 
 
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
