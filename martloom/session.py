@@ -39,6 +39,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of any file system Spark can reach."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: computed once, safe against executor loss."""
     shared_dir(df.sparkSession)
