@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import SHIPPED, null_spread
 
+if TYPE_CHECKING:
+    from martloom.sources.key_index import KeyIndex
+
 
 def project_named_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The listed columns in that order; a missing one is an AnalysisException."""
@@ -54,3 +59,13 @@ def dedup_against_history(df: DataFrame, history: DataFrame, key: str = "uniq_id
         seen, (F.col(key) == F.col("_seen")) & (F.col("_spread") == F.col("_seen_spread")), "left_anti"
     )
     return unseen.select(*df.columns)
+
+
+def dedup_against_index(df: DataFrame, index: KeyIndex, key: str = "uniq_id", since: dt.date | str | None = None) -> DataFrame:
+    """``dedup_against_history`` where the staged keys are stored in buckets: history is not shuffled.
+
+    ``since`` looks at the loads from that date on only, whatever is stored before. Rows without a key are kept
+    and take no part in the join, so they are no hot key.
+    """
+    keyed = index.unknown(df.where(F.col(key).isNotNull()), [key], since)
+    return keyed.select(*df.columns).union(df.where(F.col(key).isNull()))

@@ -35,7 +35,7 @@ def check_foreign_key(
     return keys.distinct().join(parents, F.col(column) == F.col("_parent"), "left_anti")
 
 
-def _count_rows(df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
+def count_rows(df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
     """One row per (constraint, column) with its number of violations, from one scan."""
     if not checks:
         return df.sparkSession.createDataFrame([], "constraint_name string, column_name string, bad_rows bigint")
@@ -49,15 +49,15 @@ def _count_rows(df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> Dat
     ])))
 
 
-def _not_null(columns: Sequence[str]):
+def not_null_checks(columns: Sequence[str]):
     return [("not_null", c, F.col(c).isNull()) for c in columns]
 
 
-def _varchar(limits: Mapping[str, int]):
+def varchar_checks(limits: Mapping[str, int]):
     return [("varchar", c, F.length(c) > n) for c, n in limits.items()]
 
 
-def _decimal(types: Mapping[str, T.DecimalType]):
+def decimal_checks(types: Mapping[str, T.DecimalType]):
     # by comparison: a cast that overflows costs an error per row
     return [
         ("decimal", c, F.abs(F.round(F.col(c), t.scale)) >= F.lit(Decimal(10) ** (t.precision - t.scale)))
@@ -66,16 +66,16 @@ def _decimal(types: Mapping[str, T.DecimalType]):
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _count_rows(df, _not_null(columns))
+    return count_rows(df, not_null_checks(columns))
 
 
 def check_varchar_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
-    return _count_rows(df, _varchar(limits))
+    return count_rows(df, varchar_checks(limits))
 
 
 def check_decimal_range(df: DataFrame, types: Mapping[str, T.DecimalType]) -> DataFrame:
     """Values that overflow the declared decimal (extra digits are rounded, not counted)."""
-    return _count_rows(df, _decimal(types))
+    return count_rows(df, decimal_checks(types))
 
 
 def check_table(df: DataFrame, table: str | TableSpec) -> DataFrame:
@@ -83,8 +83,8 @@ def check_table(df: DataFrame, table: str | TableSpec) -> DataFrame:
     spec = TABLES[table] if isinstance(table, str) else table
     present = set(df.columns)
     required = [c for c in dict.fromkeys((*spec.primary_key, *spec.not_null)) if c in present]
-    return _count_rows(df, [
-        *_not_null(required),
-        *_varchar({c: n for c, n in spec.varchar.items() if c in present}),
-        *_decimal({c: t for c, t in spec.decimals.items() if c in present}),
+    return count_rows(df, [
+        *not_null_checks(required),
+        *varchar_checks({c: n for c, n in spec.varchar.items() if c in present}),
+        *decimal_checks({c: t for c, t in spec.decimals.items() if c in present}),
     ])

@@ -101,6 +101,26 @@ def f_daily_sales_signed(orders: DataFrame) -> DataFrame:
     return _signed(sums)
 
 
+def daily_sales_parts(orders: DataFrame, *loads: str) -> DataFrame:
+    """Unsigned sums per business date, item, customer and status: what each load adds to the daily sales.
+
+    ``loads`` are the columns that name the load; parts of several loads merge into ``merged_daily_sales``.
+    """
+    known = orders.where(status_filter("status") & F.col("date_time").isNotNull())
+    return known.groupBy(F.col("date_time").cast("date").alias("sale_date"), "item_id", "customer_id", "status", *loads).agg(
+        F.sum("quantity").alias("quantity"), F.sum("payment_amount").cast(MONEY).alias("payment_amount"))
+
+
+def merged_daily_sales(parts: DataFrame) -> DataFrame:
+    """``f_daily_sales_signed`` from the parts of all loads of a date, with ``sale_date``."""
+    sums = parts.groupBy(date_key("sale_date").alias("date_id"), "item_id", "customer_id", "status", "sale_date").agg(
+        _price("payment_amount", "quantity"),
+        F.sum("quantity").alias("quantity"),
+        F.sum("payment_amount").cast(MONEY).alias("payment_amount"),
+    )
+    return _signed(sums)
+
+
 def _retention(orders: DataFrame, extra_keys: list, signed: bool) -> DataFrame:
     amount = refund_sign("payment_amount", "status") if signed else F.col("payment_amount")
     extra = ["week_start"] if extra_keys else []

@@ -20,10 +20,13 @@ from martloom.operators import dimensions as dims
 from martloom.operators import facts
 from martloom.operators.cleaning import dedup_if_keyed, drop_if_present
 from martloom.operators.keys import surrogate_ids
+from martloom.plans import manifest
+from martloom.plans.enforce import enforced
 from martloom.operators.quality import (
     ACTIVITY_RULES, ORDER_RULES, block_rows, check_rules, files_check, gate,
 )
 from martloom.schemas import TABLES, conform
+from martloom.session import materialise
 from martloom.sources.csv_files import FILE, POSITION, read_full_csv, read_increment_csv
 from martloom.sources.landing import Landing, increments_available
 from martloom.sources.warehouse import Warehouse, replace_partitions
@@ -35,6 +38,8 @@ REBUILT = (
     "mart.f_activity", "mart.f_daily_sales", "mart.f_research",
     "mart.d_calendar", "mart.d_customer", "mart.d_item", "mart.d_city", "mart.d_category",
 )
+# dimensions whose keys the facts refer to
+INDEXED = ("mart.d_calendar", "mart.d_customer", "mart.d_item")
 RULES = {"user_order_log": ORDER_RULES, "user_activity_log": ACTIVITY_RULES}
 DATASETS = ("customer_research", "user_order_log", "user_activity_log", "price_log")
 
@@ -44,16 +49,24 @@ def _stage(name: str) -> str:
 
 
 def run_full(
-    spark: SparkSession, source_dir: str, root: str, load_date: dt.date | str, batch_id: int | None = None
+    spark: SparkSession, source_dir: str, root: str, load_date: dt.date | str, batch_id: int | None = None,
+    bad_rows: str = "stop", multiline: bool = False,
 ) -> Warehouse:
-    """Reload the three whole-history extracts and rebuild dimensions and facts from them."""
+    """Reload the three whole-history extracts and rebuild dimensions and facts from them.
+
+    Rows that break a declared constraint of the mart stop the run; ``bad_rows="quarantine"`` sets them aside.
+    ``multiline`` reads quoted line breaks.
+    """
+    _known_choice(bad_rows)
     wh = Warehouse(spark, root)
-    day = F.lit(as_date(load_date))
-    wh.create_tables(REBUILT)
+    load_date = as_date(load_date)
+    day = F.lit(load_date)
+    # whole-history extracts carry no status, so they add nothing to the signed daily sales
+    wh.create_tables([*REBUILT, "mart.daily_sales_part", "mart.f_daily_sales_signed"])
     wh.create_tables(if_absent=True)
 
     def stage(name: str) -> None:
-        rows = read_full_csv(spark, f"{source_dir.rstrip('/')}/{name}.csv", name)
+        rows = read_full_csv(spark, f"{source_dir.rstrip('/')}/{name}.csv", name, multiline=multiline)
         wh.overwrite(_stage(name), rows.withColumn("load_date", day), batch_id, spread=False)
 
     _side_by_side([partial(stage, name) for name in FULL_DATASETS])
@@ -63,19 +76,28 @@ def run_full(
     research = wh.read("staging.customer_research")
 
     def dimension(table: str, rows: DataFrame, order: Sequence[str]) -> None:
-        wh.overwrite(table, surrogate_ids(rows, order), batch_id)
+        rows = enforced(wh, table, materialise(rows), load_date, bad_rows, stored=False)
+        if TABLES[table].serial:
+            rows = surrogate_ids(rows, order)
+        wh.overwrite(table, rows, batch_id)
+        if table in INDEXED:
+            wh.keys(table).replace(wh.read(table))
+
+    def fact(table: str, rows: DataFrame) -> None:
+        wh.overwrite(table, enforced(wh, table, rows, load_date, bad_rows, stored=False), batch_id)
 
     _side_by_side([
-        partial(wh.overwrite, "mart.d_calendar", dims.d_calendar(orders, activity, research), batch_id),
+        partial(dimension, "mart.d_calendar", dims.d_calendar(orders, activity, research), ["date_id"]),
         partial(dimension, "mart.d_customer", dims.d_customer_full(orders), ["customer_id"]),
         partial(dimension, "mart.d_item", dims.d_item_full(orders), ["item_id", "item_name"]),
         partial(dimension, "mart.d_city", dims.d_city_full(orders), ["city_id", "city_name"]),
         partial(dimension, "mart.d_category", dims.d_category(research), ["category_id"]),
+        partial(manifest.rebuild, wh),
     ])
     _side_by_side([
-        partial(wh.overwrite, "mart.f_activity", facts.f_activity(activity), batch_id),
-        partial(wh.overwrite, "mart.f_daily_sales", facts.f_daily_sales(orders), batch_id),
-        partial(wh.overwrite, "mart.f_research", facts.f_research(research), batch_id),
+        partial(fact, "mart.f_activity", facts.f_activity(activity)),
+        partial(fact, "mart.f_daily_sales", facts.f_daily_sales(orders)),
+        partial(fact, "mart.f_research", facts.f_research(research)),
     ])
     return wh
 
@@ -105,16 +127,30 @@ def read_quarantine(wh: Warehouse, name: str) -> DataFrame:
     return wh.spark.read.schema(schema).parquet(_quarantine_path(wh, name))
 
 
-def _stage_increments(
-    wh: Warehouse, landing: Landing, days: Sequence[dt.date], batch_id: int | None, bad_rows: str
-) -> None:
+def _known_choice(bad_rows: str) -> None:
     if bad_rows not in ("stop", "quarantine"):
         raise ValueError(f"bad_rows must be 'stop' or 'quarantine', not {bad_rows!r}")
+
+
+def _open(spark: SparkSession, root: str) -> Warehouse:
+    """The warehouse with all its tables; manifest and key indexes are made where only older tables are there."""
+    wh = Warehouse(spark, root)
+    listed = wh.exists(manifest.TABLE)
+    wh.create_tables(if_absent=True)
+    if not listed:
+        manifest.rebuild(wh)
+    _side_by_side([partial(wh.indexed_keys, table) for table in INDEXED])
+    return wh
+
+
+def _stage_increments(
+    wh: Warehouse, landing: Landing, days: Sequence[dt.date], batch_id: int | None, bad_rows: str, multiline: bool
+) -> None:
     labels = [d.isoformat() for d in days]
 
     def load(name: str) -> None:
         absent = {"status": SHIPPED} if name == "user_order_log" else None
-        rows = read_increment_csv(wh.spark, landing, name, labels, defaults=absent)
+        rows = read_increment_csv(wh.spark, landing, name, labels, defaults=absent, multiline=multiline)
         rows = clean_increment(rows, name).withColumn("load_date", F.col("increment").cast("date"))
         rows = conform(rows, _stage(name))
         if bad_rows == "quarantine" and name in RULES:
@@ -123,6 +159,7 @@ def _stage_increments(
         wh.replace(_stage(name), rows, days, batch_id)
 
     _side_by_side([partial(load, name) for name in DATASETS])
+    manifest.record(wh, days)
 
 
 def _check(
@@ -145,20 +182,27 @@ def _check(
         gate(results, wh.log_checks)
 
 
-def _add_dimension_rows(wh: Warehouse, days: Sequence[dt.date], batch_id) -> None:
+def _add_dimension_rows(wh: Warehouse, days: Sequence[dt.date], batch_id, check_date: dt.date, bad_rows: str) -> None:
     def staged(name: str) -> DataFrame:
         return wh.read(_stage(name)).where(F.col("load_date").isin(*days))
 
     orders = staged("user_order_log")
     dates = dims.d_calendar(orders, staged("user_activity_log"), staged("customer_research"))
 
+    def added(table: str, new: DataFrame, order: Sequence[str]) -> None:
+        rows = enforced(wh, table, materialise(new), check_date, bad_rows)
+        if TABLES[table].serial:
+            rows = surrogate_ids(rows, order, existing=wh.read(table))
+        rows = materialise(rows)
+        wh.append(table, rows, batch_id)
+        if table in INDEXED:
+            wh.keys(table).add(rows)
+
     def calendar() -> None:
-        new = dates.join(wh.read("mart.d_calendar"), "date_id", "left_anti")
-        wh.append("mart.d_calendar", new, batch_id)
+        added("mart.d_calendar", wh.keys("mart.d_calendar").unknown(dates), ["date_id"])
 
     def dimension(table: str, operator: Callable, order: Sequence[str]) -> None:
-        known = wh.read(table)
-        wh.append(table, surrogate_ids(operator(orders, known), order, existing=known), batch_id)
+        added(table, operator(orders, wh.read(table)), order)
 
     _side_by_side([
         calendar,
@@ -168,10 +212,23 @@ def _add_dimension_rows(wh: Warehouse, days: Sequence[dt.date], batch_id) -> Non
     ])
 
 
+def _merge_daily_sales(wh: Warehouse, days: Sequence[dt.date], touched: set[dt.date], batch_id) -> None:
+    """What the loads ``days`` add to the signed daily sales, and the sales of all touched dates from such parts.
+
+    A repeated load replaces its parts, and a late row changes its date by the part it comes with; orders of
+    other loads are not read again.
+    """
+    orders = wh.read(_stage("user_order_log")).where(F.col("load_date").isin(*days))
+    wh.replace("mart.daily_sales_part", facts.daily_sales_parts(orders, "load_date"), days, batch_id)
+    parts = manifest.staged(wh, "user_order_log", touched, "mart.daily_sales_part")
+    merged = facts.merged_daily_sales(parts.where(F.col("sale_date").isin(*touched)))
+    wh.replace("mart.f_daily_sales_signed", merged, touched, batch_id)
+
+
 def run_backfill(
     spark: SparkSession, landing: Landing, root: str, first: dt.date | str, last: dt.date | str,
     batch_id: int | None = None, check_date: dt.date | str | None = None, whole_table_checks: bool = False,
-    bad_rows: str = "stop",
+    bad_rows: str = "stop", multiline: bool = False,
 ) -> Warehouse:
     """Load the increments first..last, check them, and bring dimensions and marts up to date.
 
@@ -180,8 +237,8 @@ def run_backfill(
     retention of every touched week, so late rows repair the dates they belong to. A repeated
     run gives the same tables.
     """
-    wh = Warehouse(spark, root)
-    wh.create_tables(if_absent=True)
+    _known_choice(bad_rows)
+    wh = _open(spark, root)
     first, last = as_date(first), as_date(last)
     days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
     check_date = as_date(check_date or last)
@@ -190,64 +247,70 @@ def run_backfill(
     gate(files_check(available, check_date), wh.log_checks)
 
     # a repeated load may no longer hold dates its first version had
-    touched = _business_dates(wh, days)
-    _stage_increments(wh, landing, days, batch_id, bad_rows)
+    touched = manifest.business_dates(wh, "user_order_log", days)
+    _stage_increments(wh, landing, days, batch_id, bad_rows, multiline)
     _check(wh, days, check_date, whole_table_checks, bad_rows)
-    _add_dimension_rows(wh, days, batch_id)
-    touched |= _business_dates(wh, days)
-
-    sale_dates = touched | set(days)
-    orders = wh.read("staging.user_order_log")
-    sales = facts.f_sales_backfill(
-        orders.where(F.col("date_time").cast("date").isin(*sale_dates)),
-        wh.read("mart.d_calendar"), min(sale_dates), max(sale_dates),
-    )
-    weeks = {d - dt.timedelta(days=d.weekday()) for d in sale_dates}
-    retention = facts.retention_backfill(
-        orders.where(week_start("date_time").isin(*weeks)), min(weeks), max(weeks)
-    )
-    _side_by_side([
-        partial(wh.replace, "mart.f_sales", sales, sale_dates, batch_id),
-        partial(wh.replace, "mart.f_customer_retention", retention, weeks, batch_id),
-    ])
+    _add_dimension_rows(wh, days, batch_id, check_date, bad_rows)
+    touched |= manifest.business_dates(wh, "user_order_log", days)
+    refresh_marts(wh, days, touched | set(days), check_date, batch_id, bad_rows)
     return wh
 
 
-def _business_dates(wh: Warehouse, days: Sequence[dt.date]) -> set[dt.date]:
-    """Dates of the orders staged for these loads: at most one row per calendar day."""
-    orders = wh.read("staging.user_order_log").where(F.col("load_date").isin(*days))
-    dates = orders.select(F.col("date_time").cast("date").alias("d")).distinct().collect()
-    return {r["d"] for r in dates if r["d"] is not None}
+def refresh_marts(
+    wh: Warehouse, days: Sequence[dt.date], sale_dates: set[dt.date], check_date: dt.date, batch_id: int | None = None,
+    bad_rows: str = "stop",
+) -> None:
+    """Sales and retention of the given business dates and their weeks, from the loads that hold them."""
+    def sales() -> None:
+        orders = manifest.staged(wh, "user_order_log", sale_dates)
+        rows = facts.f_sales_backfill(
+            orders.where(F.col("date_time").cast("date").isin(*sale_dates)),
+            wh.read("mart.d_calendar"), min(sale_dates), max(sale_dates))
+        wh.replace("mart.f_sales", enforced(wh, "mart.f_sales", rows, check_date, bad_rows), sale_dates, batch_id)
+
+    def retention() -> None:
+        weeks = {d - dt.timedelta(days=d.weekday()) for d in sale_dates}
+        orders = manifest.staged(wh, "user_order_log", [w + dt.timedelta(days=i) for w in weeks for i in range(7)])
+        rows = facts.retention_backfill(orders.where(week_start("date_time").isin(*weeks)), min(weeks), max(weeks))
+        wh.replace("mart.f_customer_retention", rows, weeks, batch_id)
+
+    _side_by_side([sales, retention, partial(_merge_daily_sales, wh, days, sale_dates, batch_id)])
 
 
 def run_increment(
     spark: SparkSession, landing: Landing, root: str, ds: dt.date | str,
-    batch_id: int | None = None, whole_table_checks: bool = True, bad_rows: str = "stop",
+    batch_id: int | None = None, whole_table_checks: bool = True, bad_rows: str = "stop", multiline: bool = False,
 ) -> Warehouse:
     """Daily run for the business date ``ds``.
 
     Files there → staged by load date → quality gate → new dimension rows → signed sales of
-    ``ds`` → retention of the week before ``ds``. The checks cover the whole staging tables by
+    ``ds`` → retention of the week before ``ds`` → signed daily sales of every date the increment touches. The checks cover the whole staging tables by
     default, which is a scan of three columns of all history; ``whole_table_checks=False``
     limits them to this increment. A broken check stops the run with the rows staged;
     ``bad_rows="quarantine"`` keeps those rows out of staging instead and goes on.
     """
-    wh = Warehouse(spark, root)
-    wh.create_tables(if_absent=True)
+    _known_choice(bad_rows)
+    wh = _open(spark, root)
     ds = as_date(ds)
     available = increments_available(spark, landing, [ds.isoformat()], DATASETS)
     gate(files_check(available, ds), wh.log_checks)
 
-    _stage_increments(wh, landing, [ds], batch_id, bad_rows)
+    touched = manifest.business_dates(wh, "user_order_log", [ds])
+    _stage_increments(wh, landing, [ds], batch_id, bad_rows, multiline)
     _check(wh, [ds], ds, whole_table_checks, bad_rows)
-    _add_dimension_rows(wh, [ds], batch_id)
+    _add_dimension_rows(wh, [ds], batch_id, ds, bad_rows)
+    touched |= manifest.business_dates(wh, "user_order_log", [ds]) | {ds}
 
-    orders = wh.read("staging.user_order_log")
-    sales = facts.f_sales(orders, wh.read("mart.d_calendar"), ds).withColumn("sale_date", F.lit(ds))
-    week = previous_week(ds)[0]
-    retention = facts.f_customer_retention(orders, ds).withColumn("week_start", F.lit(week))
-    _side_by_side([
-        partial(wh.replace, "mart.f_sales", sales, [ds], batch_id),
-        partial(wh.replace, "mart.f_customer_retention", retention, [week], batch_id),
-    ])
+    def sales() -> None:
+        orders = manifest.staged(wh, "user_order_log", [ds])
+        rows = facts.f_sales(orders, wh.read("mart.d_calendar"), ds).withColumn("sale_date", F.lit(ds))
+        wh.replace("mart.f_sales", enforced(wh, "mart.f_sales", rows, ds, bad_rows), [ds], batch_id)
+
+    def retention() -> None:
+        week = previous_week(ds)[0]
+        orders = manifest.staged(wh, "user_order_log", [week + dt.timedelta(days=i) for i in range(7)])
+        rows = facts.f_customer_retention(orders, ds).withColumn("week_start", F.lit(week))
+        wh.replace("mart.f_customer_retention", rows, [week], batch_id)
+
+    _side_by_side([sales, retention, partial(_merge_daily_sales, wh, [ds], touched, batch_id)])
     return wh

@@ -18,7 +18,7 @@ from martloom.functions import UNKNOWN_KEY
 _TYPES = {
     "int": T.IntegerType(), "bigint": T.LongType(), "string": T.StringType(), "date": T.DateType(),
     "timestamp_ntz": T.TimestampNTZType(), "decimal(14,2)": T.DecimalType(14, 2),
-    "decimal(10,2)": T.DecimalType(10, 2),
+    "decimal(10,2)": T.DecimalType(10, 2), "decimal(24,2)": T.DecimalType(24, 2),
 }
 
 
@@ -100,6 +100,12 @@ _SPECS = [
         "price decimal(10,2), load_date date",
         partition_by=("load_date",),
     ),
+    # which business dates each load holds, written with the load
+    TableSpec(
+        "staging.load_manifest", "dataset string, business_date date, row_count bigint, load_date date",
+        primary_key=("dataset", "business_date", "load_date"), not_null=("dataset", "row_count"),
+        partition_by=("load_date",),
+    ),
     TableSpec(
         "mart.d_customer",
         "id bigint, customer_id int, first_name string, last_name string, city_id int",
@@ -141,7 +147,21 @@ _SPECS = [
         "mart.f_sales",
         "date_id int, item_id int, customer_id bigint, city_id int, quantity bigint, "
         "payment_amount decimal(14,2), sale_date date",
-        partition_by=("sale_date",),
+        foreign_keys=(_CALENDAR_FK, _ITEM_FK, _CUSTOMER_FK), partition_by=("sale_date",),
+    ),
+    # what each load adds to the sales of its business dates
+    TableSpec(
+        "mart.daily_sales_part",
+        "sale_date date, item_id int, customer_id bigint, status string, quantity bigint, "
+        "payment_amount decimal(24,2), load_date date",
+        partition_by=("load_date",),
+    ),
+    TableSpec(
+        "mart.f_daily_sales_signed",
+        "date_id int, item_id int, customer_id bigint, status string, price decimal(14,2), quantity bigint, "
+        "payment_amount decimal(14,2), sale_date date",
+        primary_key=("date_id", "item_id", "customer_id", "status"),
+        foreign_keys=(_CALENDAR_FK, _ITEM_FK, _CUSTOMER_FK), partition_by=("sale_date",),
     ),
     TableSpec(
         "mart.f_research",
@@ -160,8 +180,9 @@ _SPECS = [
     ),
     TableSpec(
         "mart.load_history",
-        "batch_id bigint, target_table string, start_load timestamp_ntz, finish_load timestamp_ntz",
+        "start_load timestamp_ntz, finish_load timestamp_ntz, row_count bigint, batch_id bigint, target_table string",
         primary_key=("batch_id", "target_table"), varchar={"target_table": 50},
+        partition_by=("batch_id", "target_table"),
     ),
     TableSpec(
         "dq_checks_results",

@@ -2,12 +2,13 @@
 
 Files are scanned as text columns and typed afterwards, because a schema given to
 the CSV reader binds by position: with reordered headers it would shift columns
-silently. The header of each increment is looked up first (one line read), the
+silently. The header line of each increment is read first (no job), the
 increments are grouped by header, and each group is one distributed scan.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from martloom.operators.cleaning import default_missing_column
 from martloom.schemas import TABLES
+from martloom.sources import files
 from martloom.sources.landing import Landing
 
 # The texts a CSV field may hold for "no value".
@@ -35,7 +37,14 @@ _PROBE_THREADS = 8
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(spark.read.options(**_CSV_OPTIONS).csv(path).columns)
+    """Column names of a file, or of the first part file of a folder, from its first line: no job is started."""
+    found = files.data_files(spark, path)
+    line = files.first_line(spark, found[0]) if found else None
+    plain = next(csv.reader([line.lstrip("\ufeff")], strict=True)) if line and line.count('"') % 2 == 0 else []
+    if not plain or "" in plain or len({c.lower() for c in plain}) < len(plain):
+        # Spark has rules of its own for names that are empty, repeated or broken over lines
+        return tuple(spark.read.options(**_CSV_OPTIONS).csv(path).columns)
+    return tuple(plain)
 
 
 def _by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:

@@ -7,10 +7,11 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.sources import files
+
 _LISTING_THREADS = 8
 
 DEFAULT_LAYOUT = "{root}/{increment}/{dataset}_inc.csv"
@@ -43,24 +44,12 @@ class Landing:
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:
     """Paths and lengths of all files below ``paths``; their content is never read."""
 
-    def listing(*where: str) -> DataFrame:
-        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        return reader.load(list(where)).select("path", "length")
-
-    def present(path: str) -> bool:
-        try:
-            listing(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return False
-        return True
-
     with ThreadPoolExecutor(_LISTING_THREADS) as pool:
-        found = [p for p, there in zip(paths, pool.map(present, paths)) if there]
+        found = [p for p, there in zip(paths, pool.map(lambda p: files.exists(spark, p), paths)) if there]
     if not found:
         return spark.range(0).select(F.lit("").alias("path"), F.col("id").alias("length"))
-    return listing(*found)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.load(found).select("path", "length")
 
 
 def files_available(expected: DataFrame, landing: Landing, paths: Sequence[str] = ()) -> DataFrame:

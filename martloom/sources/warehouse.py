@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
-import threading
+import json
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.schemas import TABLES, TableSpec, conform
 from martloom.session import literal_frame, materialise
+from martloom.sources import files
+from martloom.sources.key_index import KeyIndex
+
+_SWAP_THREADS = 8
 
 
 def overwrite_table(df: DataFrame, path: str, reads_target: bool = False) -> None:
@@ -32,15 +36,6 @@ def append_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) ->
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def _observed(found: Observation, df: DataFrame, partition: str) -> set[str]:
-    """Dates seen during the write: at most one entry per date and task."""
-    try:
-        return set(found.get["dates"])
-    except Py4JJavaError:
-        # Spark drops the metrics of a plan it can tell is empty; look at that one on its own
-        return {r["d"] for r in df.select(F.col(partition).cast("string").alias("d")).distinct().collect()}
-
-
 def _balanced(df: DataFrame, partition: str, serial: str | None, spread: bool = True) -> DataFrame:
     """Rows spread for a write by ``partition``, then numbered.
 
@@ -53,28 +48,60 @@ def _balanced(df: DataFrame, partition: str, serial: str | None, spread: bool =
     return out.withColumn(serial, row_ids(F.col(partition))) if serial else out
 
 
+_COMMIT, _TAG = "_commit", "_tag"
+
+
 def replace_partitions(
-    df: DataFrame, path: str, partition: str, expected: Iterable[dt.date] = (), serial: str | None = None
+    df: DataFrame, path: str, partition: str, expected: Iterable[dt.date] = (), serial: str | None = None,
+    tag: str | None = None, spread: bool = True,
 ) -> None:
-    """Write date partitions so that a rerun replaces them.
+    """Write date partitions so that a rerun replaces them, all of them or none.
+
+    The rows go to a hidden folder first, in one job whatever the number of dates. Then a small commit record
+    names that folder and the dates to replace or empty, and the partitions change places. A run that ends before the
+    record leaves the table as it was; one that ends after it is completed by the next one to read or write
+    (``finish_replace``). One writer per table at a time.
 
     Rows are rebalanced on the partition column, where Spark splits partitions that are
     too large, so one hot date is written by many tasks. A date in ``expected`` that has no
-    rows in this run is emptied, which dynamic overwrite alone would leave as it was.
-    ``serial`` names a column to fill with row numbers.
+    rows in this run is emptied. ``serial`` names a column to fill with row numbers. ``tag`` names the load
+    (see ``last_tag``).
     """
-    found = Observation(f"dates of {partition}")
-    out = df.observe(found, F.collect_set(F.col(partition).cast("string")).alias("dates"))
-    (
-        _balanced(out, partition, serial)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    for day in {d.isoformat() for d in expected} - _observed(found, df, partition):
-        empty = literal_frame(df.sparkSession, [], T.StructType([f for f in df.schema if f.name != partition]))
-        empty.write.mode("overwrite").parquet(f"{path}/{partition}={day}")
+    spark = df.sparkSession
+    finish_replace(spark, path)
+    folder = f"_next-{uuid.uuid4().hex}"
+    _balanced(df, partition, serial, spread).write.partitionBy(partition).parquet(f"{path}/{folder}")
+    filled = [n for n in files.names(spark, f"{path}/{folder}") if n.startswith(f"{partition}=")]
+    emptied = sorted({f"{partition}={d.isoformat()}" for d in expected} - set(filled))
+    record = {"folder": folder, "filled": filled, "emptied": emptied, "tag": tag}
+    files.write_text(spark, f"{path}/{_COMMIT}", json.dumps(record))
+    finish_replace(spark, path)
+
+
+def finish_replace(spark: SparkSession, path: str) -> None:
+    """Carry out what a commit record says, if there is one; repeated steps do no harm."""
+    text = files.read_text(spark, f"{path}/{_COMMIT}")
+    if text is None:
+        return
+    record = json.loads(text)
+    waiting = set(record["filled"]) & set(files.names(spark, f"{path}/{record['folder']}"))
+    with ThreadPoolExecutor(_SWAP_THREADS) as pool:
+        def swap(name: str) -> None:
+            files.delete(spark, f"{path}/{name}")
+            if name in waiting:
+                files.move(spark, f"{path}/{record['folder']}/{name}", f"{path}/{name}")
+
+        list(pool.map(swap, [*record["emptied"], *sorted(waiting)]))
+    if record["tag"] is not None:
+        files.write_text(spark, f"{path}/{_TAG}", record["tag"])
+    files.delete(spark, f"{path}/{record['folder']}")
+    files.delete(spark, f"{path}/{_COMMIT}")
+
+
+def last_tag(spark: SparkSession, path: str) -> str | None:
+    """The tag of the last tagged load that was committed."""
+    finish_replace(spark, path)
+    return files.read_text(spark, f"{path}/{_TAG}")
 
 
 def add_column(df: DataFrame, name: str, data_type: str) -> DataFrame:
@@ -119,19 +146,12 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.history_lock = threading.Lock()
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
 
     def exists(self, table: str) -> bool:
-        try:
-            self.read(table)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return False
-        return True
+        return files.exists(self.spark, self.path(table))
 
     def create_tables(self, tables: Iterable[str] = tuple(TABLES), if_absent: bool = False) -> None:
         """Create the tables empty; existing ones are emptied unless ``if_absent``."""
@@ -147,30 +167,52 @@ class Warehouse:
 
     def read(self, table: str) -> DataFrame:
         """Scan with the declared schema; only the columns used later are read."""
-        return self.spark.read.schema(TABLES[table].schema).parquet(self.path(table))
+        spec = TABLES[table]
+        if spec.partition_by:
+            finish_replace(self.spark, self.path(table))
+        return self.spark.read.schema(spec.schema).parquet(self.path(table))
+
+    def keys(self, table: str) -> KeyIndex:
+        """The index of the table's primary key."""
+        spec = TABLES[table]
+        return KeyIndex(self.spark, f"{self.root}/index/{table}", [f for f in spec.schema if f.name in spec.primary_key])
+
+    def indexed_keys(self, table: str) -> KeyIndex:
+        """The index, first built again if a load ended before its keys were added."""
+        index = self.keys(table)
+        index.sync(self.read(table))
+        return index
 
     def overwrite(self, table: str, df: DataFrame, batch_id: int | None = None, spread: bool = True) -> None:
         """Replace the table. ``spread=False``: all rows have one partition value, so no shuffle is needed."""
-        with _Audit(self, table, batch_id):
-            spec = TABLES[table]
-            out = conform(df, spec)
+        spec = TABLES[table]
+        with _Audit(self, table, batch_id) as audit:
+            out = audit.counted(conform(df, spec))
             if spec.partition_by:
-                out = _balanced(out, spec.partition_by[0], spec.serial, spread)
-            out.write.mode("overwrite").partitionBy(*spec.partition_by).parquet(self.path(table))
+                self._replace_all(spec, out, spread)
+            else:
+                out.write.mode("overwrite").parquet(self.path(table))
+
+    def _replace_all(self, spec: TableSpec, out: DataFrame, spread: bool) -> None:
+        (partition,), path = spec.partition_by, self.path(spec.name)
+        finish_replace(self.spark, path)
+        there = [n.removeprefix(f"{partition}=") for n in files.names(self.spark, path) if n.startswith(f"{partition}=")]
+        dates = [dt.date.fromisoformat(d) for d in there if not d.startswith("__")]
+        replace_partitions(out, path, partition, dates, spec.serial, spread=spread)
 
     def append(self, table: str, df: DataFrame, batch_id: int | None = None) -> None:
-        with _Audit(self, table, batch_id):
-            append_table(conform(df, table), self.path(table), TABLES[table].partition_by)
+        with _Audit(self, table, batch_id) as audit:
+            append_table(audit.counted(conform(df, table)), self.path(table), TABLES[table].partition_by)
 
     def replace(
-        self, table: str, df: DataFrame, expected: Iterable[dt.date] = (), batch_id: int | None = None
+        self, table: str, df: DataFrame, expected: Iterable[dt.date] = (), batch_id: int | None = None,
+        tag: str | None = None,
     ) -> None:
         """Replace the date partitions ``df`` holds and empty the other expected ones."""
         spec: TableSpec = TABLES[table]
-        with _Audit(self, table, batch_id):
-            replace_partitions(
-                conform(df, spec), self.path(table), spec.partition_by[0], expected, spec.serial
-            )
+        with _Audit(self, table, batch_id) as audit:
+            replace_partitions(audit.counted(conform(df, spec)), self.path(table), spec.partition_by[0], expected,
+                               spec.serial, tag)
 
     def log_checks(self, results: Iterable) -> None:
         """Append quality results, one row per check."""
@@ -180,24 +222,44 @@ class Warehouse:
 
 
 class _Audit:
-    """Writes one mart.load_history row per finished load of a batch."""
+    """Writes one mart.load_history row per finished load of a batch, with the number of rows it wrote.
+
+    A repeated load of a batch replaces its row.
+    """
 
     def __init__(self, warehouse: Warehouse, table: str, batch_id: int | None):
         self.warehouse, self.table, self.batch_id = warehouse, table, batch_id
+        self.observed = None
 
     @staticmethod
     def _now() -> dt.datetime:
         return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
+    def counted(self, rows: DataFrame) -> DataFrame:
+        """The rows, counted while they are written."""
+        if self.batch_id is None:
+            return rows
+        self.observed = Observation(f"rows of {self.table}")
+        return rows.observe(self.observed, F.count(F.lit(1)).alias("rows"))
+
+    def _rows(self) -> int:
+        """Rows of the write that has just ended."""
+        try:
+            return self.observed.get["rows"]
+        except Py4JJavaError:
+            # the write succeeded, so its plan was one that Spark had found to be empty and keeps no metrics of
+            return 0
+
     def __enter__(self):
         self.start = self._now()
+        return self
 
     def __exit__(self, failure, *_):
         if failure is None and self.batch_id is not None:
             spec = TABLES["mart.load_history"]
-            row = [(self.batch_id, self.table, self.start, self._now())]
-            history = literal_frame(self.warehouse.spark, row, spec.schema)
-            # loads may run side by side, but one folder takes one append at a time
-            with self.warehouse.history_lock:
-                append_table(history, self.warehouse.path(spec.name))
+            row = [(self.start, self._now(), self._rows(), self.batch_id, self.table)]
+            history = literal_frame(self.warehouse.spark, row, spec.schema).drop("batch_id", "target_table")
+            folder = f"{self.warehouse.path(spec.name)}/batch_id={self.batch_id}/target_table={self.table}"
+            # of a batch and table there is one row
+            history.write.mode("overwrite").parquet(folder)
         return False

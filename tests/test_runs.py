@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from martloom.operators import constraints
 from martloom.operators.quality import QualityError
 from martloom.plans import runs
+from martloom.plans.enforce import enforced, read_quarantined
 from martloom.schemas import TABLES
 from martloom.session import scratch_path
+from martloom.sources import files
 from martloom.sources.landing import Landing
 from martloom.sources.warehouse import Warehouse
 from tests.conftest import rows
@@ -51,7 +53,7 @@ def landing(spark):
 
 
 def snapshot(wh, skip=()):
-    names = ["staging.user_order_log", "staging.user_activity_log", "staging.price_log", "staging.customer_research",
+    names = ["staging.load_manifest", "mart.f_daily_sales_signed", "staging.user_order_log", "staging.user_activity_log", "staging.price_log", "staging.customer_research",
              "mart.d_calendar", "mart.d_customer", "mart.d_item", "mart.d_city", "mart.f_sales", "mart.f_customer_retention"]
     return {n: rows(wh.read(n).drop("id") if n.startswith("staging") else wh.read(n)) for n in names if n not in skip}
 
@@ -77,7 +79,7 @@ def test_daily_runs(spark, landing):
     assert rows(retention, "new_customers_count", "returning_customers_count", "period_id", "item_id",
                 "returning_customers_revenue", "customers_refunded") == [(1, 1, 2, 7, Dec("14.00"), 1)]
     history = rows(wh.read("mart.load_history"), "batch_id", "target_table")
-    assert len(history) == 20 and len(set(history)) == 20
+    assert len(history) == 24 and len(set(history)) == 24
     checks = wh.read("dq_checks_results")
     assert checks.count() == 12 and checks.where("check_result <> 0").count() == 0
 
@@ -159,6 +161,81 @@ def test_bad_rows_can_be_set_aside(spark, landing):
         runs.run_increment(spark, landing, root, "2024-01-11", bad_rows="ignore")
 
 
+def daily_sales(wh):
+    return rows(wh.read("mart.f_daily_sales_signed"), "date_id", "item_id", "customer_id", "status", "quantity", "payment_amount", "price")
+
+
+def test_signed_daily_sales_merge_late_rows(spark, landing):
+    root = scratch_path(spark, "wh")
+    runs.run_increment(spark, landing, root, "2024-01-03")
+    wh = runs.run_increment(spark, landing, root, "2024-01-10")
+    want = [(20240103, 7, 1, "refunded", -1, Dec("-4.00"), Dec("4.00")), (20240103, 7, 1, "shipped", 1, Dec("10.00"), Dec("10.00")),
+            (20240103, 7, 2, "shipped", 1, Dec("10.00"), Dec("10.00")), (20240110, 8, 1, "shipped", 1, Dec("10.00"), Dec("10.00"))]
+    assert daily_sales(wh) == want
+    runs.run_increment(spark, landing, root, "2024-01-10")
+    assert daily_sales(wh) == want
+    land(landing, "2024-01-04", [order("f", "2024-01-03 09:00:00", status="shipped", pay="1.50", qty=2)])
+    runs.run_increment(spark, landing, root, "2024-01-04")
+    assert (20240103, 7, 1, "shipped", 3, Dec("11.50"), Dec("3.83")) in daily_sales(wh)
+    # a corrected file without the late row takes its part back
+    land(landing, "2024-01-10", [order("c", "2024-01-10 10:00:00", status="shipped", item=8)])
+    runs.run_increment(spark, landing, root, "2024-01-10")
+    assert not [r for r in daily_sales(wh) if r[3] == "refunded"]
+
+
+def test_constraints_stop_a_run(spark, landing):
+    twice = [order("g", "2024-01-11 10:00:00", status="shipped"),
+             order("h", "2024-01-11 11:00:00", status="shipped").replace("item 7", "item seven")]
+    land(landing, "2024-01-11", twice)
+    root = scratch_path(spark, "wh")
+    with pytest.raises(QualityError, match="primary_key:item_id"):
+        runs.run_increment(spark, landing, root, "2024-01-11")
+    wh = Warehouse(spark, root)
+    assert wh.read("mart.d_item").count() == 0 and wh.read("mart.f_sales").count() == 0
+    assert ("mart.d_item", "primary_key:item_id", D(2024, 1, 11), 1) in rows(wh.read("dq_checks_results"))
+    # an item that is known already is no new row, whatever its name
+    land(landing, "2024-01-11", twice[:1])
+    runs.run_increment(spark, landing, root, "2024-01-11")
+    land(landing, "2024-01-12", [twice[1].replace("2024-01-11", "2024-01-12")])
+    runs.run_increment(spark, landing, root, "2024-01-12")
+    assert rows(wh.read("mart.d_item"), "item_id", "item_name") == [(7, "item 7")]
+    # names that are too long for the dimension
+    land(landing, "2024-01-13", [order("i", "2024-01-13 10:00:00", status="shipped", item=9).replace("item 9", "x" * 60)])
+    with pytest.raises(QualityError, match="varchar:item_name"):
+        runs.run_increment(spark, landing, root, "2024-01-13")
+
+
+def test_constraint_breakers_are_set_aside_with_what_refers_to_them(spark, landing):
+    land(landing, "2024-01-11", [order("g", "2024-01-11 10:00:00", status="shipped"),
+                                 order("h", "2024-01-11 11:00:00", status="shipped").replace("item 7", "item seven"),
+                                 order("i", "2024-01-11 12:00:00", status="shipped", item=8)])
+    root = scratch_path(spark, "wh")
+    for _ in range(2):
+        wh = runs.run_increment(spark, landing, root, "2024-01-11", bad_rows="quarantine")
+        assert rows(wh.read("mart.d_item"), "item_id") == [(8,)]
+        assert rows(read_quarantined(wh, "mart.d_item"), "item_name", "broken_constraints") == [
+            ("item 7", ["primary_key:item_id"]), ("item seven", ["primary_key:item_id"])]
+        # the sales of that item have no parent
+        assert rows(wh.read("mart.f_sales"), "item_id") == [(8,)]
+        assert rows(read_quarantined(wh, "mart.f_sales"), "item_id", "broken_constraints") == [
+            (7, ["foreign_key:item_id"])] * 2
+    with pytest.raises(QualityError, match="foreign_key:item_id"):
+        enforced(wh, "mart.f_sales", wh.read("mart.f_sales").withColumn("item_id", F.lit(99)), D(2024, 1, 11))
+    with pytest.raises(QualityError, match="primary_key:item_id"):
+        enforced(wh, "mart.d_item", wh.read("mart.d_item").drop("id"), D(2024, 1, 11))
+
+
+def test_index_is_built_again_after_a_crash(spark, landing):
+    root = scratch_path(spark, "wh")
+    wh = runs.run_increment(spark, landing, root, "2024-01-03")
+    # keys that a run did not come to add, and a warehouse that is older than its index and manifest
+    wh.keys("mart.d_item").replace(wh.read("mart.d_item").limit(0))
+    assert wh.indexed_keys("mart.d_item").read().count() == 1
+    files.delete(spark, wh.path("staging.load_manifest"))
+    runs.run_increment(spark, landing, root, "2024-01-10")
+    assert wh.read("mart.f_customer_retention").where("week_start = date'2024-01-01'").count() == 1
+
+
 def test_full_rebuild(spark):
     source, root = scratch_path(spark, "source"), scratch_path(spark, "wh")
     put(f"{source}/user_order_log.csv", ORDER_HEAD,
@@ -180,6 +257,8 @@ def test_full_rebuild(spark):
         assert rows(wh.read("mart.d_calendar"), "date_id") == [(20240101,), (20240103,), (20240104,), (20240105,)]
         assert rows(wh.read("mart.d_customer")) == [(1, 1, "Ann", "Lee 1", 1), (2, 2, "Ann", "Lee 2", 1)]
     assert wh.read("mart.load_history").count() == 22
+    counted = {r.target_table: r.row_count for r in wh.read("mart.load_history").where("batch_id = 2").collect()}
+    assert counted["staging.user_order_log"] == 3 and counted["mart.f_daily_sales"] == 2 and counted["mart.d_category"] == 1
 
 
 def test_rebuilt_tables_satisfy_their_constraints(spark):
