@@ -1,16 +1,23 @@
 """Sources, sinks, cleaning and whole runs: written to the shared scratch folder, read back."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martloom.functions import timestamp_to_date
+from martloom.functions import as_date, timestamp_to_date
 from martloom.operators import cleaning
+from martloom.operators.keys import surrogate_ids
 from martloom.plans import inputs, runs
 from martloom.plans.catalog.columns import ORDER_KEY_SQL, RATIO_SQL
 from martloom.plans.catalog.marts import ORDER_WEEK, retention_sql
 from martloom.plans.catalog.registry import query
+from martloom.plans.enforce import BROKEN, enforced, read_quarantined
 from martloom.schemas import TABLES
 from martloom.session import scratch_path
-from martloom.sources.csv_files import FILE, POSITION, infer_and_cast, nan_to_null, read_full_csv, read_increment_csv, split_rejects
+from martloom.sources.csv_files import (
+    CORRUPT, FILE, POSITION, REJECTED, infer_and_cast, nan_to_null, read_csv_by_name, read_full_csv, read_increment_csv, read_routed,
+    route_rejects, split_rejects,
+)
+from martloom.sources.key_index import KeyIndex
 from martloom.sources.landing import Landing
 from martloom.sources.warehouse import (
     Warehouse, add_column, append_table, merge_evolved, overwrite_table, replace_partitions,
@@ -87,6 +94,24 @@ def _(spark, sf):
     return accepted
 
 
+@query("infer_and_cast_rejects", """select cast(l_quantity as bigint) quantity,
+  case l_returnflag when 'A' then 'item_id' end rejected, case when l_returnflag <> 'A' then cast(l_partkey as int) end item_id,
+  count(*) row_count from lineitem group by all""")
+def _(spark, sf):
+    # one scan and one write deal the rows to an accepted and a rejected folder
+    source, target = scratch_path(spark, "lines"), scratch_path(spark, "routed")
+    part = F.col("l_partkey").cast("string")
+    _write_csv(inputs.table(spark, sf, "lineitem").select(
+        F.when(F.col("l_returnflag") == "A", F.concat(F.lit("P"), part)).otherwise(part).alias("item_id"),
+        F.col("l_quantity").alias("quantity")), f"{source}/user_order_log.csv")
+    raw = read_csv_by_name(spark, f"{source}/user_order_log.csv").drop(FILE, POSITION)
+    route_rejects(infer_and_cast(raw, TABLES["staging.user_order_log"].schema, on_error="flag"), target)
+    accepted, rejected = read_routed(spark, target)
+    both = accepted.withColumn("rejected", F.lit(None).cast("string")).unionByName(
+        rejected.withColumn("rejected", F.concat_ws(",", REJECTED)).drop(REJECTED, CORRUPT))
+    return both.groupBy("quantity", "rejected", "item_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query("nan_to_null", """select l_orderkey, l_linenumber,
   case when l_returnflag = 'R' then l_linestatus end item_name from lineitem""")
 def _(spark, sf):
@@ -163,17 +188,20 @@ def _(spark, sf):
     return absent.unionByName(present)
 
 
-@query("load_history", """select 7 batch_id, t target_table, true finished from
-  (values ('staging.user_activity_log'), ('staging.price_log')) v(t)""")
+@query("load_history", """select 7 batch_id, t target_table, true finished, n row_count from
+  (select 'staging.user_activity_log' t, count(*) n from events union all select 'staging.price_log', 2 * count(*) from part)""")
 def _(spark, sf):
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
     day = F.lit("2024-01-31").cast("date")
     activity = inputs.activity_log(spark, sf).withColumn("load_date", timestamp_to_date("date_time"))
     wh.replace("staging.user_activity_log", activity, batch_id=7)
-    wh.append("staging.price_log", inputs.price_log(spark, sf).withColumn("load_date", day), batch_id=7)
+    prices = inputs.price_log(spark, sf).withColumn("load_date", day)
+    # a repeated load of the batch replaces its row
+    wh.append("staging.price_log", prices, batch_id=7)
+    wh.append("staging.price_log", prices.union(prices), batch_id=7)
     return wh.read("mart.load_history").select(
         F.col("batch_id").cast("int").alias("batch_id"), "target_table",
-        (F.col("finish_load") >= F.col("start_load")).alias("finished"))
+        (F.col("finish_load") >= F.col("start_load")).alias("finished"), "row_count")
 
 
 _TABLE_SIZES = {
@@ -332,41 +360,110 @@ def _(spark, sf):
 
 
 def _daily_runs(spark, sf):
-    """The warehouse after a back-fill of eight days and daily runs of the next two."""
+    """The warehouse after a back-fill of all days but the last two and daily runs of these."""
     landing, days = _landed_web_logs(spark, sf)
     root = scratch_path(spark, "warehouse")
-    runs.run_backfill(spark, landing, root, days[0], days[7])
-    for day in days[8:10]:
+    runs.run_backfill(spark, landing, root, days[0], days[-3])
+    for day in days[-2:]:
         wh = runs.run_increment(spark, landing, root, day)
     return wh
 
 
-_RAN = "(select distinct cast(date_time as date) d from uol_web order by d limit 10)"
-
-
 @query("increment_run_sales", f"""select cast(strftime(date_time, '%Y%m%d') as int) date_id, item_id, customer_id, city_id,
   case when status = 'refunded' then -quantity else quantity end quantity,
   case when status = 'refunded' then -payment_amount else payment_amount end payment_amount,
-  cast(date_time as date) sale_date from {_WEB_CITY} where cast(date_time as date) in {_RAN}""", ("uol_web",))
+  cast(date_time as date) sale_date from {_WEB_CITY}""", ("uol_web",))
 def _(spark, sf):
     return _daily_runs(spark, sf).read("mart.f_sales")
 
 
+_LAST = "(select date_trunc('week', max(date_time)) from uol_web)"
+
+
 @query("increment_run_retention", f"""select week_start, item_id, period_name, period_id,
   cast(new_customers_count as int) new_customers_count, cast(returning_customers_count as int) returning_customers_count,
   cast(refunded_customer_count as int) refunded_customer_count,
   cast(new_customers_revenue as decimal(10,2)) new_customers_revenue,
   cast(returning_customers_revenue as decimal(10,2)) returning_customers_revenue,
-  cast(customers_refunded as int) customers_refunded from (select * from
-  ({retention_sql(_WEB_CITY, f"where cast(date_time as date) in {_RAN}", "week_start + interval 7 day", ORDER_WEEK)}))
-  where week_start = (select min(cast(date_trunc('week', d) as date)) from {_RAN})""", ("uol_web",))
+  cast(customers_refunded as int) customers_refunded from
+  ({retention_sql(_WEB_CITY, f"where date_time < {_LAST}", "week_start + interval 7 day", ORDER_WEEK)})""", ("uol_web",))
 def _(spark, sf):
-    # the week before the daily runs, which they have written again
+    # daily runs write the week before theirs; the last week is none's yet, and holds what the back-fill knew
+    week = F.date_trunc("week", inputs.web_order_log(spark, sf).select(F.max("date_time")).scalar()).cast("date")
     marts = _daily_runs(spark, sf).read("mart.f_customer_retention")
-    return marts.where(F.col("week_start") == marts.select(F.min("week_start")).scalar())
+    return marts.where(F.col("week_start") < week)
 
 
-@query("increment_run_customers", f"""select distinct cast(customer_id as int) customer_id from {_WEB_CITY}
-  where cast(date_time as date) in {_RAN}""", ("uol_web",))
+@query("increment_run_customers", f"""select distinct cast(customer_id as int) customer_id,
+  split_part(c_name, '#', 1) first_name, split_part(c_name, '#', 2) last_name, cast(city_id as int) city_id
+  from {_WEB_CITY} join customer on customer_id = c_custkey""", ("uol_web",))
 def _(spark, sf):
-    return _daily_runs(spark, sf).read("mart.d_customer").select("customer_id")
+    return _daily_runs(spark, sf).read("mart.d_customer").drop("id")
+
+
+_SIGNED_DAILY = f"""select cast(strftime(date_time, '%Y%m%d') as int) date_id, item_id, customer_id, status,
+  cast({RATIO_SQL.format(qty="quantity")} as decimal(14,2)) price,
+  cast(sum(case when status = 'refunded' then -quantity else quantity end) as bigint) quantity,
+  cast(sum(case when status = 'refunded' then -payment_amount else payment_amount end) as decimal(14,2)) payment_amount,
+  cast(date_time as date) sale_date"""
+
+
+@query("increment_run_daily_sales", f"{_SIGNED_DAILY} from uol_web group by 1, 2, 3, 4, 8", ("uol_web",))
+def _(spark, sf):
+    # the last increment is loaded twice, which must not count it twice
+    landing, days = _landed_web_logs(spark, sf)
+    root = scratch_path(spark, "warehouse")
+    runs.run_backfill(spark, landing, root, days[0], days[-2])
+    for _ in range(2):
+        wh = runs.run_increment(spark, landing, root, days[-1])
+    return wh.read("mart.f_daily_sales_signed")
+
+
+@query("constraint_gate", """with item as (select p_partkey, p_name, p_partkey % 10 = 0 twice, p_partkey % 10 = 1 stored from part)
+  select 'd_item' table_name, 'primary_key:item_id' broken, cast(count(*) + count_if(twice) as bigint) row_count from item where twice or stored
+  union all select 'd_item', null, count(*) from item where not twice and not stored
+  union all select 'sales', case when twice then 'foreign_key:item_id' end, count(*) from lineitem join item on l_partkey = p_partkey group by 2""")
+def _(spark, sf):
+    # a tenth of the items is stored already, another tenth comes under two names; orders refer to all of them
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    wh.create_tables()
+    item = inputs.table(spark, sf, "part").select(
+        F.col("p_partkey").cast("int").alias("item_id"), F.col("p_name").alias("item_name"), F.lit(0).alias("category_id"))
+    day = timestamp_to_date(F.lit("2024-01-01").cast("timestamp_ntz"))
+    stored = item.where("item_id % 10 = 1").withColumn("id", F.col("item_id").cast("bigint"))
+    wh.append("mart.d_item", stored)
+    wh.keys("mart.d_item").add(stored)
+    calendar = spark.range(1).select(F.lit(20240101).alias("date_id"), F.lit(1).alias("customer_id"))
+    wh.keys("mart.d_calendar").add(calendar)
+    wh.keys("mart.d_customer").add(calendar)
+    renamed = item.where("item_id % 10 = 0").withColumn("item_name", F.lit("another name"))
+    check_date = as_date("2024-01-01")
+    new = enforced(wh, "mart.d_item", item.union(renamed), check_date, "quarantine")
+    wh.append("mart.d_item", surrogate_ids(new, ["item_id"], existing=wh.read("mart.d_item")))
+    wh.keys("mart.d_item").add(new)
+    sales = inputs.table(spark, sf, "lineitem").select(
+        F.lit(20240101).alias("date_id"), F.col("l_partkey").cast("int").alias("item_id"), F.lit(1).cast("bigint").alias("customer_id"),
+        F.lit(1).alias("city_id"), F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.col("l_extendedprice").cast("decimal(14,2)").alias("payment_amount"), day.alias("sale_date"))
+    wh.replace("mart.f_sales", enforced(wh, "mart.f_sales", sales, check_date, "quarantine"))
+
+    def counted(name, rows, broken):
+        return rows.groupBy(broken.alias("broken")).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "broken", "row_count")
+
+    none, why = F.lit(None).cast("string"), F.concat_ws(",", BROKEN)
+    return (counted("d_item", wh.read("mart.d_item").where("item_id % 10 <> 1"), none)
+            .unionAll(counted("d_item", read_quarantined(wh, "mart.d_item"), why))
+            .unionAll(counted("sales", wh.read("mart.f_sales"), none))
+            .unionAll(counted("sales", read_quarantined(wh, "mart.f_sales"), why)))
+
+
+@query("dedup_against_index", f"""select uniq_id, date_time, customer_id from uol u where not exists
+  (select 1 from uol h where h.uniq_id = u.uniq_id and h.date_time >= timestamp '1996-01-01' and h.date_time < timestamp '{EVOLVED}')""", ("uol",))
+def _(spark, sf):
+    # keys staged by one load a year; the window looks at the loads of 1996 and later
+    rows = inputs.order_log(spark, sf, "uniq_id", "date_time", "customer_id")
+    index = KeyIndex(spark, scratch_path(spark, "index"), [T.StructField("uniq_id", T.StringType())], "load_date")
+    for year in range(1992, int(EVOLVED[:4])):
+        index.replace(rows.where(F.year("date_time") == year), f"{year}-01-01")
+    return cleaning.dedup_against_index(rows, index, since="1996-01-01")

@@ -159,7 +159,6 @@ def _stage_increments(
         wh.replace(_stage(name), rows, days, batch_id)
 
     _side_by_side([partial(load, name) for name in DATASETS])
-    manifest.record(wh, days)
 
 
 def _check(
@@ -212,19 +211,32 @@ def _add_dimension_rows(wh: Warehouse, days: Sequence[dt.date], batch_id, check_
     ])
 
 
-def _merge_daily_sales(wh: Warehouse, days: Sequence[dt.date], touched: set[dt.date], batch_id) -> None:
-    """What the loads ``days`` add to the signed daily sales, and the sales of all touched dates from such parts.
-
-    A repeated load replaces its parts, and a late row changes its date by the part it comes with; orders of
-    other loads are not read again.
-    """
+def _add_parts(wh: Warehouse, days: Sequence[dt.date], batch_id) -> None:
+    """What the loads ``days`` add to the signed daily sales; a repeated load replaces its parts."""
     orders = wh.read(_stage("user_order_log")).where(F.col("load_date").isin(*days))
     wh.replace("mart.daily_sales_part", facts.daily_sales_parts(orders, "load_date"), days, batch_id)
+
+
+def _merge_daily_sales(wh: Warehouse, touched: set[dt.date], batch_id) -> None:
+    """Signed daily sales of all touched dates from the parts of the loads.
+
+    A late row changes its date by the part it comes with; orders of other loads are not read again.
+    """
     parts = manifest.staged(wh, "user_order_log", touched, "mart.daily_sales_part")
     merged = facts.merged_daily_sales(parts.where(F.col("sale_date").isin(*touched)))
     wh.replace("mart.f_daily_sales_signed", merged, touched, batch_id)
 
 
+def _settle(
+    wh: Warehouse, days: Sequence[dt.date], check_date: dt.date, whole_table_checks: bool, bad_rows: str, batch_id,
+) -> None:
+    """What follows a staging load: its manifest and quality gate, then dimension rows and daily parts."""
+    _side_by_side([
+        partial(manifest.record, wh, days), partial(_check, wh, days, check_date, whole_table_checks, bad_rows)])
+    _side_by_side([
+        partial(_add_dimension_rows, wh, days, batch_id, check_date, bad_rows), partial(_add_parts, wh, days, batch_id)])
+
+
 def run_backfill(
     spark: SparkSession, landing: Landing, root: str, first: dt.date | str, last: dt.date | str,
     batch_id: int | None = None, check_date: dt.date | str | None = None, whole_table_checks: bool = False,
@@ -249,16 +261,14 @@ def run_backfill(
     # a repeated load may no longer hold dates its first version had
     touched = manifest.business_dates(wh, "user_order_log", days)
     _stage_increments(wh, landing, days, batch_id, bad_rows, multiline)
-    _check(wh, days, check_date, whole_table_checks, bad_rows)
-    _add_dimension_rows(wh, days, batch_id, check_date, bad_rows)
+    _settle(wh, days, check_date, whole_table_checks, bad_rows, batch_id)
     touched |= manifest.business_dates(wh, "user_order_log", days)
-    refresh_marts(wh, days, touched | set(days), check_date, batch_id, bad_rows)
+    refresh_marts(wh, touched | set(days), check_date, batch_id, bad_rows)
     return wh
 
 
 def refresh_marts(
-    wh: Warehouse, days: Sequence[dt.date], sale_dates: set[dt.date], check_date: dt.date, batch_id: int | None = None,
-    bad_rows: str = "stop",
+    wh: Warehouse, sale_dates: set[dt.date], check_date: dt.date, batch_id: int | None = None, bad_rows: str = "stop",
 ) -> None:
     """Sales and retention of the given business dates and their weeks, from the loads that hold them."""
     def sales() -> None:
@@ -274,7 +284,7 @@ def refresh_marts(
         rows = facts.retention_backfill(orders.where(week_start("date_time").isin(*weeks)), min(weeks), max(weeks))
         wh.replace("mart.f_customer_retention", rows, weeks, batch_id)
 
-    _side_by_side([sales, retention, partial(_merge_daily_sales, wh, days, sale_dates, batch_id)])
+    _side_by_side([sales, retention, partial(_merge_daily_sales, wh, sale_dates, batch_id)])
 
 
 def run_increment(
@@ -297,8 +307,7 @@ def run_increment(
 
     touched = manifest.business_dates(wh, "user_order_log", [ds])
     _stage_increments(wh, landing, [ds], batch_id, bad_rows, multiline)
-    _check(wh, [ds], ds, whole_table_checks, bad_rows)
-    _add_dimension_rows(wh, [ds], batch_id, ds, bad_rows)
+    _settle(wh, [ds], ds, whole_table_checks, bad_rows, batch_id)
     touched |= manifest.business_dates(wh, "user_order_log", [ds]) | {ds}
 
     def sales() -> None:
@@ -312,5 +321,5 @@ def run_increment(
         rows = facts.f_customer_retention(orders, ds).withColumn("week_start", F.lit(week))
         wh.replace("mart.f_customer_retention", rows, [week], batch_id)
 
-    _side_by_side([sales, retention, partial(_merge_daily_sales, wh, [ds], touched, batch_id)])
+    _side_by_side([sales, retention, partial(_merge_daily_sales, wh, touched, batch_id)])
     return wh

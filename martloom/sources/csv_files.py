@@ -196,6 +196,25 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(clean).drop(REJECTED, CORRUPT), df.where(~clean)
 
 
+_ROUTE = "_route"
+
+
+def route_rejects(df: DataFrame, path: str) -> None:
+    """Write flagged rows (``on_error="flag"``) once: accepted and rejected ones side by side, from one scan."""
+    side = F.when(F.size(REJECTED) == 0, "accepted").otherwise("rejected")
+    df.withColumn(_ROUTE, side).write.partitionBy(_ROUTE).parquet(path)
+
+
+def read_routed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows without the flag, rejected rows with it) of what ``route_rejects`` has written.
+
+    A rejected value is NULL, its column is named in the flag, and only the rows' own folder is read.
+    """
+    both = spark.read.parquet(path)
+    rows = lambda side: both.where(F.col(_ROUTE) == side).drop(_ROUTE)
+    return rows("accepted").drop(REJECTED, CORRUPT), rows("rejected")
+
+
 def read_full_csv(
     spark: SparkSession, path: str, dataset: str, on_error: str = "raise", multiline: bool = False
 ) -> DataFrame:
