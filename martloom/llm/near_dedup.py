@@ -35,6 +35,8 @@ BASE, RATE = 1.02, 20.0
 COMPARED = 224
 #: Standard errors by which the estimate may lie below the threshold before a pair is dropped unseen.
 MARGIN = 5.0
+#: The same for the low bytes, where a pair at the very threshold is dropped in 3 of 100,000 cases.
+BYTES_MARGIN = 4.0
 SKETCHES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_1", pa.int64()),
                       ("set_2", pa.int64()), ("regs", pa.binary()), ("bands", pa.list_(pa.int64())),
                       ("low", pa.list_(pa.int64()))])
@@ -197,7 +199,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         return full.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
 
     limit = percent / 100
-    least = COMPARED * limit - MARGIN * (COMPARED * limit * (1 - limit)) ** 0.5
+    least = COMPARED * limit - BYTES_MARGIN * (COMPARED * limit * (1 - limit)) ** 0.5
 
     def likely(a: str, b: str) -> Column:
         sizes = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
