@@ -50,6 +50,19 @@ def _(spark, sf):
     return read_full_csv(spark, path, "user_order_log")
 
 
+@query("read_csv_multiline", """select date_time, city_id, city_name, customer_id, first_name, last_name, item_id,
+  case when item_id % 3 = 0 then replace(item_name, ' ', chr(10)) when item_id % 3 = 1 then concat('"', item_name, chr(13), chr(10), '"x') else item_name end
+  item_name, quantity, payment_amount from uol""", ("uol",))
+def _(spark, sf):
+    # line breaks and quotes in item names
+    path = scratch_path(spark, "full") + "/user_order_log.csv"
+    name, kind = F.col("item_name"), F.col("item_id") % 3
+    broken = F.when(kind == 0, F.replace(name, F.lit(" "), F.lit("\n"))).when(
+        kind == 1, F.concat(F.lit('"'), name, F.lit('\r\n"x'))).otherwise(name)
+    _write_csv(inputs.order_log(spark, sf).withColumn("item_name", broken), path)
+    return read_full_csv(spark, path, "user_order_log", multiline=True)
+
+
 @query("read_increment_csv", f"""select strftime(date_time, '%Y') increment, uniq_id, date_time, city_id,
   city_name, customer_id, first_name, last_name, item_id, item_name, quantity, payment_amount,
   case when date_time >= timestamp '{EVOLVED}' then status end status from uol""", ("uol",))

@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from martloom.operators.cleaning import default_missing_column
 from martloom.schemas import TABLES
@@ -63,7 +64,62 @@ def _surplus_fields(record: Column, width: int) -> Column:
     return commas >= F.lit(width)
 
 
+def _records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(record, is_header, file, block, row): the records of files whose quoted fields may hold line breaks.
+
+    Files stay splittable. A line break ends a record where the number of quotes before it is even (quotes within a
+    field are doubled, so they count twice). Every byte range counts its own quotes, the sums before a range
+    (one row per range) tell whether it starts inside a field, and running sums within the range do the rest. Lines
+    that are a record by themselves go on; only the lines of longer records are brought together.
+    """
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"))
+    lines = lines.withColumn("odd", (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2)
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("quotes")).select(
+        "file", "block", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("before"))
+    in_block = Window.partitionBy("file", "block").orderBy("row")
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = lines.join(blocks, ["file", "block"])
+    inside = (F.col("before") + F.sum("odd").over(so_far) - F.col("odd")) % 2 == 1
+    placed = placed.select("file", "block", "row", "value", "odd", inside.alias("inside"),
+                           ((F.col("block") == 0) & (F.row_number().over(in_block) == 1)).alias("is_header"))
+    text = F.regexp_replace("value", "\\r$", "")
+    whole = placed.where("not inside and odd = 0").select(text.alias("record"), "is_header", "file", "block", "row")
+    # a line inside belongs to the last one before it that starts a record, maybe in an earlier range
+    parts = placed.where("inside or odd = 1").withColumn("start", F.when(~F.col("inside"), F.struct("block", "row")))
+    last = parts.groupBy("file", "block").agg(F.max("start").alias("last")).select(
+        "file", "block", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    parts = parts.join(last, ["file", "block"]).withColumn(
+        "start", F.coalesce(F.last("start", ignorenulls=True).over(so_far), "carried"))
+    pieces = F.array_sort(F.collect_list(F.struct("block", "row", "value")))
+    joined = parts.groupBy("file", "start").agg(pieces.alias("pieces"), F.max("is_header").alias("is_header"))
+    value = F.array_join(F.transform("pieces", lambda p: p["value"]), "\n")
+    long = joined.select(F.regexp_replace(value, "\\r$", "").alias("record"), "is_header", "file",
+                         F.col("start.block").alias("block"), F.col("start.row").alias("row"))
+    return whole.union(long).where("record <> ''")
+
+
+def _scan_records(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -> DataFrame:
+    """As ``_scan``, for files with quoted line breaks."""
+    columns = [f"c{i}" for i in range(len(header))]
+    ddl = ", ".join([*(f"{c} string" for c in columns), f"{CORRUPT} string"])
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = _records(spark, paths).withColumn("fields", F.from_csv("record", ddl, options))
+    same = F.array(*[F.col(f"fields.{c}") for c in columns]) == F.array(*map(F.lit, header))
+    unlike = F.raise_error(F.concat(F.lit("the header differs from that of the other files: "), "file")).cast("boolean")
+    rows = parsed.where(~F.when(F.col("is_header"), F.when(same, True).otherwise(unlike)).otherwise(False))
+    corrupt = F.col(f"fields.{CORRUPT}")
+    return rows.select(
+        *[F.col(f"fields.{c}").alias(name) for c, name in zip(columns, header)],
+        F.when(_surplus_fields(corrupt, len(header)), corrupt).alias(CORRUPT), F.col("file").alias(FILE),
+        F.struct("file", "block", "row").alias(POSITION))
+
+
 def _scan(spark: SparkSession, header: tuple[str, ...], paths: list[str], multiline: bool) -> DataFrame:
+    if multiline:
+        return _scan_records(spark, header, paths)
     fields = [T.StructField(name, T.StringType()) for name in (*header, CORRUPT)]
     # enforceSchema=false makes the reader compare the header of every part file
     # with this one and fail on a difference instead of shifting columns.
@@ -73,7 +129,6 @@ def _scan(spark: SparkSession, header: tuple[str, ...], paths: list[str], multil
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", "false")  # a line's surplus fields show only where all are parsed
-        .option("multiLine", str(multiline).lower())
         .schema(T.StructType(fields))
         .csv(paths)
     )
@@ -101,7 +156,7 @@ def read_csv_by_name(
 
     Adds ``_file``, ``_position`` (file order of a row) and ``_corrupt_record`` (the
     line, where it has more fields than its header). Quoted line breaks need
-    ``multiline=True``, which makes files unsplittable.
+    ``multiline=True``: files are split all the same, but their lines are shuffled once by byte range.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     scans = [_scan(spark, h, p, multiline) for h, p in _by_header(spark, paths).items()]
@@ -220,7 +275,7 @@ def read_full_csv(
 ) -> DataFrame:
     """Whole-history extract of a dataset: listed columns only, typed, "no value" as NULL.
 
-    ``multiline=True`` reads quoted line breaks, at the price of one task per file.
+    ``multiline=True`` reads quoted line breaks, at the price of a shuffle of the lines.
     """
     spec = TABLES[f"staging.{dataset}"]
     columns = [c for c in spec.data_columns if c not in spec.optional]

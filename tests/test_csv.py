@@ -159,3 +159,38 @@ def test_increments_available_looks_at_its_own_paths(spark, landing):
 def test_files_available_without_landing_folder(spark):
     expected = expected_increments(spark, ["2024-01-01"], ["price_log"])
     assert rows(files_available(expected, Landing("/tmp/does-not-exist-here"))) == [("2024-01-01", "price_log", 1)]
+
+
+def test_quoted_line_breaks_in_split_files(spark, tmp_path):
+    """Records are found whatever the byte ranges that the tasks read."""
+    path = str(tmp_path / "breaks.csv")
+    fields = [(str(i), ["plain", f"two\nlines {i}", 'say ""hi""\nthen\n\n""bye""', "a,b\r\nc", "", "x" * 300 + "\n" + "y" * 300][i % 6])
+              for i in range(400)]
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write("k,v\r\n" + "".join(f'{k},"{v}"\r\n' if v else f"{k},\r\n" for k, v in fields) + "\n")
+    want = sorted((k, v.replace('""', '"') or None) for k, v in fields)
+    for size in ("128m", "4k", "700b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            df = read_csv_by_name(spark, path, multiline=True)
+            tasks = spark.read.option("lineSep", "\n").text(path).rdd.getNumPartitions()
+            got = sorted((r.k, r.v) for r in df.collect())
+            order = [r.k for r in df.orderBy("_position").collect()]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert got == want and order == [k for k, _ in fields]
+        assert tasks > 8
+
+
+def test_quoted_line_breaks_keep_the_guards(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "a.csv").write_text('k,v\n1,"a\nb",surplus\n2\n')
+    rows_ = read_csv_by_name(spark, str(folder), multiline=True).orderBy("k").collect()
+    assert [(r.k, r.v) for r in rows_] == [("1", "a\nb"), ("2", None)]
+    assert rows_[0]["_corrupt_record"] is not None and rows_[1]["_corrupt_record"] is None
+    (folder / "b.csv").write_text('v,k\n1,2\n')
+    with pytest.raises(Exception, match="header differs"):
+        read_csv_by_name(spark, str(folder), multiline=True).collect()

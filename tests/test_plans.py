@@ -1,13 +1,16 @@
 """The physical plans the library relies on at scale."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from martloom import functions as fn
 from martloom.operators import cleaning, constraints, dimensions, facts
-from martloom.plans import inputs
+from martloom.plans import inputs, manifest
 from martloom.plans.catalog import QUERIES
 from martloom.session import scratch_path
+from martloom.sources.warehouse import Warehouse
 from tests.conftest import DATA, plan_text, rows
 
 EAGER = {"create_tables", "full_rebuild", "backfill_run"}  # small unions over many stored tables
@@ -105,7 +108,7 @@ def test_no_cross_join_no_python_no_single_task_window(spark, name):
     plan = plan_text(QUERIES[name](spark, "/root/testdata/sf0.001"), "simple")
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
         assert bad not in plan
-    if name != "surrogate_ids":  # its window runs over one row per partition
+    if name not in ("surrogate_ids", "read_csv_multiline"):  # over one row per partition, and within byte ranges
         assert "Window [" not in plan
 
 
@@ -119,3 +122,22 @@ def test_weeks_do_not_depend_on_the_session_time_zone(spark):
             dimensions.d_calendar(web, web, web.withColumnRenamed("date_time", "date_id")))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_marts_open_only_the_loads_that_hold_their_dates(spark):
+    """The manifest prunes the load partitions before a file is opened."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh.create_tables()
+    web = inputs.web_order_log(spark, DATA).withColumns({
+        "city_id": F.lit(1), "city_name": F.lit("c"), "first_name": F.lit("a"), "last_name": F.lit("b"),
+        "item_name": F.lit("i"), "load_date": F.col("date_time").cast("date")})
+    wh.replace("staging.user_order_log", web)
+    manifest.rebuild(wh)
+    days = [dt.date(2024, 1, 9), dt.date(2024, 1, 10)]
+    staged_rows = manifest.staged(wh, "user_order_log", days)
+    sales = facts.f_sales_backfill(staged_rows, wh.read("mart.d_calendar"), *days)
+    scan = [line for line in plan_text(sales).splitlines() if "PartitionFilters" in line and "load_date" in line]
+    assert any("dynamicpruning" in line for line in scan)
+    assert any("GreaterThanOrEqual(date_time" in line for line in plan_text(sales).splitlines() if "PushedFilters" in line)
+    want = web.where(F.col("load_date").isin(*days)).count()
+    assert staged_rows.count() == want > 0
