@@ -11,6 +11,7 @@ from martloom.plans.catalog.columns import ORDER_KEY_SQL, RATIO_SQL
 from martloom.plans.catalog.marts import ORDER_WEEK, retention_sql
 from martloom.plans.catalog.registry import query
 from martloom.plans.enforce import BROKEN, enforced, read_quarantined
+from martloom.plans.stream import stream_to_marts
 from martloom.schemas import TABLES
 from martloom.session import scratch_path
 from martloom.sources.csv_files import (
@@ -432,6 +433,32 @@ def _(spark, sf):
     return wh.read("mart.f_daily_sales_signed")
 
 
+def _streamed(spark, sf):
+    """The warehouse after a stream of all orders, which land a second time with the increment of the day after."""
+    landing, _ = _landed_web_logs(spark, sf)
+    folder = f"{landing.root}/user_order_log"
+    again = spark.read.options(header=True, escape='"', inferSchema=False).csv(folder)
+    day_after = F.date_add(F.col("increment").cast("date"), 1).cast("string")
+    again.withColumn("increment", day_after).write.mode("append").partitionBy("increment").options(
+        header=True, escape='"').csv(folder)
+    root = scratch_path(spark, "warehouse")
+    stream_to_marts(spark, landing, root, scratch_path(spark, "offsets"), files_per_batch=300).awaitTermination()
+    return Warehouse(spark, root)
+
+
+@query("stream_to_marts", f"""select cast(strftime(date_time, '%Y%m%d') as int) date_id, item_id, customer_id, city_id,
+  case when status = 'refunded' then -quantity else quantity end quantity,
+  case when status = 'refunded' then -payment_amount else payment_amount end payment_amount,
+  cast(date_time as date) sale_date from {_WEB_CITY}""", ("uol_web",))
+def _(spark, sf):
+    return _streamed(spark, sf).read("mart.f_sales")
+
+
+@query("stream_to_daily_sales", f"{_SIGNED_DAILY} from uol_web group by 1, 2, 3, 4, 8", ("uol_web",))
+def _(spark, sf):
+    return _streamed(spark, sf).read("mart.f_daily_sales_signed")
+
+
 @query("constraint_gate", """with item as (select p_partkey, p_name, p_partkey % 10 = 0 twice, p_partkey % 10 = 1 stored from part)
   select 'd_item' table_name, 'primary_key:item_id' broken, cast(count(*) + count_if(twice) as bigint) row_count from item where twice or stored
   union all select 'd_item', null, count(*) from item where not twice and not stored

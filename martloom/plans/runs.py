@@ -57,7 +57,7 @@ def run_full(
     Rows that break a declared constraint of the mart stop the run; ``bad_rows="quarantine"`` sets them aside.
     ``multiline`` reads quoted line breaks.
     """
-    _known_choice(bad_rows)
+    known_choice(bad_rows)
     wh = Warehouse(spark, root)
     load_date = as_date(load_date)
     day = F.lit(load_date)
@@ -117,22 +117,22 @@ def _side_by_side(loads: Sequence[Callable[[], None]]) -> None:
             load.result()
 
 
-def _quarantine_path(wh: Warehouse, name: str) -> str:
+def quarantine_path(wh: Warehouse, name: str) -> str:
     return wh.path(f"quarantine.{name}")
 
 
 def read_quarantine(wh: Warehouse, name: str) -> DataFrame:
     """Blocked rows of a dataset with the checks they break."""
     schema = T.StructType([*TABLES[_stage(name)].schema, T.StructField("broken_checks", T.ArrayType(T.StringType()))])
-    return wh.spark.read.schema(schema).parquet(_quarantine_path(wh, name))
+    return wh.spark.read.schema(schema).parquet(quarantine_path(wh, name))
 
 
-def _known_choice(bad_rows: str) -> None:
+def known_choice(bad_rows: str) -> None:
     if bad_rows not in ("stop", "quarantine"):
         raise ValueError(f"bad_rows must be 'stop' or 'quarantine', not {bad_rows!r}")
 
 
-def _open(spark: SparkSession, root: str) -> Warehouse:
+def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
     """The warehouse with all its tables; manifest and key indexes are made where only older tables are there."""
     wh = Warehouse(spark, root)
     listed = wh.exists(manifest.TABLE)
@@ -155,17 +155,18 @@ def _stage_increments(
         rows = conform(rows, _stage(name))
         if bad_rows == "quarantine" and name in RULES:
             rows, blocked = block_rows(rows, RULES[name])
-            replace_partitions(blocked, _quarantine_path(wh, name), "load_date", days)
+            replace_partitions(blocked, quarantine_path(wh, name), "load_date", days)
         wh.replace(_stage(name), rows, days, batch_id)
 
     _side_by_side([partial(load, name) for name in DATASETS])
 
 
 def _check(
-    wh: Warehouse, days: Sequence[dt.date], check_date: dt.date, whole_table: bool, bad_rows: str
+    wh: Warehouse, days: Sequence[dt.date], check_date: dt.date, whole_table: bool, bad_rows: str, datasets: Sequence[str],
 ) -> None:
     checked = []
-    for name, rules in RULES.items():
+    for name in datasets:
+        rules = RULES[name]
         if bad_rows == "quarantine":
             rows = read_quarantine(wh, name).where(F.col("load_date").isin(*days))
         else:
@@ -227,12 +228,13 @@ def _merge_daily_sales(wh: Warehouse, touched: set[dt.date], batch_id) -> None:
     wh.replace("mart.f_daily_sales_signed", merged, touched, batch_id)
 
 
-def _settle(
+def settle(
     wh: Warehouse, days: Sequence[dt.date], check_date: dt.date, whole_table_checks: bool, bad_rows: str, batch_id,
+    datasets: Sequence[str] = tuple(RULES),
 ) -> None:
     """What follows a staging load: its manifest and quality gate, then dimension rows and daily parts."""
     _side_by_side([
-        partial(manifest.record, wh, days), partial(_check, wh, days, check_date, whole_table_checks, bad_rows)])
+        partial(manifest.record, wh, days), partial(_check, wh, days, check_date, whole_table_checks, bad_rows, datasets)])
     _side_by_side([
         partial(_add_dimension_rows, wh, days, batch_id, check_date, bad_rows), partial(_add_parts, wh, days, batch_id)])
 
@@ -249,8 +251,8 @@ def run_backfill(
     retention of every touched week, so late rows repair the dates they belong to. A repeated
     run gives the same tables.
     """
-    _known_choice(bad_rows)
-    wh = _open(spark, root)
+    known_choice(bad_rows)
+    wh = open_warehouse(spark, root)
     first, last = as_date(first), as_date(last)
     days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
     check_date = as_date(check_date or last)
@@ -261,7 +263,7 @@ def run_backfill(
     # a repeated load may no longer hold dates its first version had
     touched = manifest.business_dates(wh, "user_order_log", days)
     _stage_increments(wh, landing, days, batch_id, bad_rows, multiline)
-    _settle(wh, days, check_date, whole_table_checks, bad_rows, batch_id)
+    settle(wh, days, check_date, whole_table_checks, bad_rows, batch_id)
     touched |= manifest.business_dates(wh, "user_order_log", days)
     refresh_marts(wh, touched | set(days), check_date, batch_id, bad_rows)
     return wh
@@ -299,15 +301,15 @@ def run_increment(
     limits them to this increment. A broken check stops the run with the rows staged;
     ``bad_rows="quarantine"`` keeps those rows out of staging instead and goes on.
     """
-    _known_choice(bad_rows)
-    wh = _open(spark, root)
+    known_choice(bad_rows)
+    wh = open_warehouse(spark, root)
     ds = as_date(ds)
     available = increments_available(spark, landing, [ds.isoformat()], DATASETS)
     gate(files_check(available, ds), wh.log_checks)
 
     touched = manifest.business_dates(wh, "user_order_log", [ds])
     _stage_increments(wh, landing, [ds], batch_id, bad_rows, multiline)
-    _settle(wh, [ds], ds, whole_table_checks, bad_rows, batch_id)
+    settle(wh, [ds], ds, whole_table_checks, bad_rows, batch_id)
     touched |= manifest.business_dates(wh, "user_order_log", [ds]) | {ds}
 
     def sales() -> None:

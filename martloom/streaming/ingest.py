@@ -13,10 +13,11 @@ from martloom.operators.cleaning import (
 from martloom.sources.csv_files import FILE, infer_and_cast, nan_to_null
 
 BATCH = "batch_id"
-_BLOCK = "_block"
+BLOCK = "_block"
 
 
-def _source(spark: SparkSession, landed: str, schema: T.StructType, fmt: str, files_per_batch: int) -> DataFrame:
+def file_stream(spark: SparkSession, landed: str, schema: T.StructType, fmt: str, files_per_batch: int) -> DataFrame:
+    """Landed files as a stream of whole files; CSV fields are text. ``FILE`` and ``BLOCK`` say where a row comes from."""
     reader = spark.readStream.format(fmt).option("maxFilesPerTrigger", files_per_batch)
     if fmt == "csv":
         # one header for the whole folder; enforceSchema=false stops on any other
@@ -25,7 +26,7 @@ def _source(spark: SparkSession, landed: str, schema: T.StructType, fmt: str, fi
     else:
         reader = reader.schema(schema)
     return reader.load(landed).select(
-        "*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(_BLOCK)
+        "*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)
     )
 
 
@@ -51,7 +52,7 @@ def stream_ingest(
     Each batch overwrites its own ``batch_id`` partition, so a batch repeated after a failure
     does not add its rows twice.
     """
-    source = _source(spark, landed, schema, fmt, files_per_batch)
+    source = file_stream(spark, landed, schema, fmt, files_per_batch)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         rows = batch
@@ -59,8 +60,8 @@ def stream_ingest(
             rows = infer_and_cast(nan_to_null(rows, schema.fieldNames()), schema)
         rows = rows.withColumn("_row", F.monotonically_increasing_id())
         within = [] if across_files else [FILE]
-        rows = dedup_if_keyed(rows, key, [FILE, _BLOCK, "_row"], within)
-        rows = drop_if_present(rows, "id", FILE, _BLOCK, "_row")
+        rows = dedup_if_keyed(rows, key, [FILE, BLOCK, "_row"], within)
+        rows = drop_if_present(rows, "id", FILE, BLOCK, "_row")
         if fill_status:
             rows = default_missing_column(rows)
         if across_files and batch_id > 0:
