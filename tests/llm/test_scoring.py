@@ -1,4 +1,8 @@
+import math
 import zlib
+from collections import Counter
+
+import numpy as np
 
 from martloom.llm import language_id as li
 from martloom.llm import quality as q
@@ -55,7 +59,72 @@ def test_forward_sums_all_segmentations():
     p = [0.1, 0.2, 0.3, 0.15, 0.05, 0.25]
     rows = [(x,) for x in p] + [(li.UNKNOWN,)]
     want = 0.1 * 0.3 * 0.15 + 0.1 * 0.05 + 0.2 * 0.15 + 0.25  # ▁|a|b, ▁|ab, ▁a|b, ▁ab
-    import math
     assert abs(li.word_log_likelihood("ab", table, rows, 1)[0] - math.log(want)) < 1e-12
     long = li.word_log_likelihood("ab" * 5000, table, rows, 1)[0]
     assert abs(long / 5000 - li.word_log_likelihood("ab" * 2000, table, rows, 1)[0] / 2000) < 0.01
+
+
+def pieces_of(word):
+    """All segmentations of a word."""
+    if not word:
+        yield []
+    for k in range(1, len(word) + 1):
+        for rest in pieces_of(word[k:]):
+            yield [word[:k], *rest]
+
+
+def plain_likelihood(word, pieces, p):
+    """Sum over all segmentations; letters no piece covers have the probability of unknown ones."""
+    total = 0.0
+    for parts in pieces_of("▁" + word):
+        x = 1.0
+        for part in parts:
+            x *= p[pieces.index(part)] if part in pieces else li.UNKNOWN if len(part) == 1 else 0.0
+        total += x
+    return total
+
+
+def test_forward_of_many_words_equals_an_enumeration():
+    rng = np.random.default_rng(1)
+    pieces = ["▁", "▁a", "a", "b", "ab", "▁ab", "bab", "abba", "ça", "▁ç"]
+    p = rng.dirichlet(np.ones(len(pieces)), 3).T
+    rows = np.vstack([p, np.full((1, 3), li.UNKNOWN)])
+    table = li.piece_table(pieces)
+    words = ["".join(rng.choice(list("abçx"), n)) for n in [*range(1, 11)] * 5]
+    got = li.Forward(table, rows)(words)
+    for word, logs in zip(words, got):
+        for k in range(3):
+            assert abs(logs[k] - math.log(plain_likelihood(word, pieces, p[:, k]))) < 1e-9
+    longest = "ab" * (li.Forward.LETTERS // 2)
+    assert np.allclose(li.Forward(table, rows)([longest]), li.word_log_likelihood(longest, table, [tuple(r) for r in rows.tolist()], 3))
+
+
+def test_expected_counts_of_short_and_long_words():
+    pieces = ["▁", "▁a", "a", "b", "ab", "▁ab"]
+    p = np.array([0.1, 0.2, 0.3, 0.15, 0.05, 0.2])
+    table, want = li.piece_table(pieces), Counter()
+    for parts in pieces_of("▁abab"):
+        if all(part in pieces for part in parts):
+            for part in parts:
+                want[part] += math.prod(p[pieces.index(x)] for x in parts) / plain_likelihood("abab", pieces, p)
+    got = li.expected_counts(Counter({"abab": 2}), table, p)
+    assert np.allclose(got, [2 * want[x] for x in pieces])
+    # every letter of a long word is in one piece of each segmentation
+    long = li.expected_counts(Counter({"ab" * 3000: 1}), table, p)
+    assert np.isfinite(long).all() and abs(long @ [len(x) for x in pieces] - 6001) < 1e-3
+    found = li.spans("▁" + "ab" * 5, table)
+    assert abs(sum((j - i) * s for (i, j, _), s in zip(found, li._log_shares(11, found, [*p, li.UNKNOWN]))) - 11) < 1e-9
+
+
+def test_texts_that_wait_and_repeated_words_score_alike(spark, monkeypatch):
+    table = spark.createDataFrame([(i, f"the cat {i * 'sat '}on a mat" if i % 2 else f"die katze {i * 'auf '}matte", "en" if i % 2 else "de")
+                                   for i in range(40)], "doc_id long, text string, lang string")
+    model = li.fit(table)
+    want = sorted(li.predicted(table, model).collect())
+    for name, size in (("_CACHE_ROWS", 12), ("_WAIT", 9), ("_PART", 3), ("_BLOCK", 2)):
+        monkeypatch.setattr(li, name, size)
+    step = li._predictor(model)()
+    batch = {"doc_id": [i for i, *_ in want], "text": [r.text for r in sorted(table.collect())]}
+    out = [x for b in [*step[0](batch), *step[1]()] for x in zip(b["doc_id"], b["lang_pred"], b["score"])]
+    assert [(i, l) for i, l, _ in out] == [(i, l) for i, l, _ in want]
+    assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(out, want))
