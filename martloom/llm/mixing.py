@@ -5,9 +5,9 @@
 2. ``posteriors``: every document's probability of each domain, tempered to ``EVIDENCE`` words so that long
    documents stay soft, and its number of words.
 3. ``rates``: nonnegative rates per document whose expected domain totals (words * probability * rate)
-   match the targets: a rate is max(least rate, 1 - posterior . c), which is the nearest to 1 for the one dual vector
-   c of a number per domain. Newton steps on c, each one distributed sum of the domain totals and of the Gram matrix of
-   the documents above the least rate, so rare domains arrive as fast as frequent ones. Rates of what is in proportion stay 1.
+   match the targets: distributed projected gradient. A step is one aggregate, the domain totals and the Gram matrix of the
+   posteriors; every document's rate then moves by its posterior times the preconditioned gap of the totals and is projected onto
+   the allowed rates. The Gram matrix makes rare domains arrive as fast as frequent ones. Rates of what is in proportion stay 1.
 4. ``mixed``: documents repeated or left out by their rates.
 
 A domain is any label of a document; there may be some dozens. The word model joins as a table of at most
@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import fresh, marked, read, store
+from martloom.llm.common import fresh, marked, passing, read, store
 
 VOCABULARY = 4000
 #: Bound of the labelled sample that the classifier is fitted on.
@@ -36,9 +36,11 @@ SAMPLE_ROWS = 5000
 EVIDENCE = 16.0
 #: Targets are the domains' present shares to this power, so that rare domains gain.
 TEMPERATURE = 0.7
-#: Deviation from a domain's own target at which it counts as reached, and the most Newton steps.
-TOLERANCE, STEPS = 1e-4, 100
-#: Weight of the squared distance of rates from 1 against that of domain totals from targets.
+#: Deviation from a domain's own target at which gradient steps end, and that above which a warning is given.
+TOLERANCE, REACHED = 1e-4, 0.02
+#: Steps without getting a tenth nearer after which they end; steps that are one expression before rates are stored.
+PATIENCE, FOLD = 8, 6
+#: Keeps the Gram matrix regular where two domains never differ.
 RIDGE = 1e-8
 
 
@@ -99,16 +101,18 @@ def rates(soft: DataFrame, targets: Sequence[float] | None = None, least_rate: f
 
     ``targets``: relative weight per domain (default: present shares to the power ``TEMPERATURE``); ``total``: words
     wanted in all, as a multiple of those present (default 1, or with a ``least_rate`` as many as leave no
-    domain below it). Minimises the squared distance of the domain totals from their targets over
-    rates >= ``least_rate`` (0 or more); of equally good rates those nearest to 1. Ends when every domain is within
-    ``TOLERANCE`` of its own target or at that minimum; if neither is reached, a warning names what is missing.
+    domain below it). Projected gradient steps from rates of 1 towards the least squared distance of the domain totals from
+    their targets over rates >= ``least_rate`` (0 or more). Distances count in the metric of the Gram matrix, in which domains
+    are independent. Ends when every domain is within ``TOLERANCE`` of its own target or ``PATIENCE`` steps came no nearer, with the
+    nearest rates; a warning names totals that are not within ``REACHED`` of their targets.
     """
     n = len(soft.select("posterior").first()[0]) if not soft.isEmpty() else 1
     share = [F.col("tokens") * F.get("posterior", F.lit(k)) for k in range(n)]
     row = soft.agg(F.sum("tokens"), *[F.sum(s) for s in share]).first()
     words = float(row[0] or 0)
+    start = F.lit(max(1.0, float(least_rate)))
     if not words:
-        return soft.withColumn("rate", F.lit(max(1.0, least_rate)))
+        return soft.withColumn("rate", start)
     present = np.array(row[1:n + 1], float) / words
     want = np.array(targets, float) if targets is not None else present**TEMPERATURE
     want = want / want.sum()
@@ -116,40 +120,54 @@ def rates(soft: DataFrame, targets: Sequence[float] | None = None, least_rate: f
     if total is None and least_rate:
         scale = max(1.0, float((least_rate * present / np.maximum(want, 1e-12)).max()))
     want = want * scale
-    free = 1.0 - least_rate  # up to this value of posterior . c a rate is above the least
-
-    def at(c: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """The dual objective, the domains' deviations, and the Gram matrix of the documents above the least rate."""
-        above = F.col("_u") <= free
-        pull = F.when(above, F.col("_u") - F.col("_u") * F.col("_u") / 2).otherwise(least_rate * F.col("_u") + free * free / 2)
-        rate = F.greatest(F.lit(float(least_rate)), 1 - F.col("_u"))
-        gram = [F.sum(F.when(above, share[i] * F.get("posterior", F.lit(j))).otherwise(0.0)) for i in range(n) for j in range(i, n)]
-        sums = soft.select("tokens", "posterior", _dot(c).alias("_u")).agg(
-            F.sum(F.col("tokens") * pull), *[F.sum(s * rate) for s in share], *gram).first()
-        sums = np.array(sums, float) / words
-        m = np.zeros((n, n))
-        m[np.triu_indices(n)] = sums[n + 1:]
-        return RIDGE * (c @ c) / 2 + want @ c - sums[0], sums[1:n + 1] - want, m + np.triu(m, 1).T
-
-    c, near = np.zeros(n), TOLERANCE * np.maximum(want, 1e-9 * scale)
-    value, gap, m = at(c)
-    tries = 0
-    while (np.abs(gap) > near).any() and (np.abs(RIDGE * c - gap) > near / 10).any():
-        if tries == STEPS:
-            warnings.warn(f"rates: domain totals {(gap + want).tolist()} for targets {want.tolist()} after {STEPS} steps", stacklevel=2)
-            break
-        slope = RIDGE * c - gap
-        move = -np.linalg.solve(m + RIDGE * np.eye(n), slope)
-        length = 1.0
-        while tries < STEPS:
-            tries += 1
-            new = at(c + length * move)
-            if new[0] <= value + 1e-4 * length * (slope @ move) + 1e-13 * max(1.0, abs(value)):
-                c, (value, gap, m) = c + length * move, new
+    ridge = RIDGE * np.eye(n)
+
+    def measured(rated: DataFrame, step: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Domain totals, the Gram matrix of all documents, and that of the documents which the last step could move."""
+        loose = F.lit(True) if step is None else (F.col("rate") > least_rate) | (_dot(step) < 0)
+        pairs = [share[i] * F.get("posterior", F.lit(j)) for i in range(n) for j in range(i, n)]
+        sums = rated.withColumn("_loose", loose).agg(
+            *[F.sum(s * F.col("rate")) for s in share], *[F.sum(x) for x in pairs],
+            *[F.sum(F.when(F.col("_loose"), x).otherwise(0.0)) for x in pairs]).first()
+        sums, half = np.array(sums, float) / words, len(pairs)
+        grams = []
+        for part in (sums[n:n + half], sums[n + half:]):
+            m = np.zeros((n, n))
+            m[np.triu_indices(n)] = part
+            grams.append(m + np.triu(m, 1).T + ridge)
+        return sums[:n], *grams
+
+    base, steps, step = soft.withColumn("rate", start), [], None
+    near, nearest, waited = TOLERANCE * np.maximum(want, 1e-9 * scale), None, 0
+    with passing() as keep:
+        while True:
+            # some steps are one expression, then their rates are stored
+            if len(steps) == FOLD:
+                base, steps = store(_stepped(base, steps, least_rate), "rates"), []
+            totals, gram, loose = measured(_stepped(base, steps, least_rate), step)
+            gap = totals - want
+            loss = float(gap @ np.linalg.solve(gram, gap))
+            better = nearest is None or loss < nearest[0]
+            waited = 0 if better and (nearest is None or loss < 0.9 * nearest[0]) else waited + 1
+            if better:
+                nearest = loss, base, list(steps), gap
+            if (np.abs(gap) <= near).all() or waited > PATIENCE:
                 break
-            length /= 4
-    rate = F.greatest(F.lit(float(least_rate)), 1 - _dot(c))
-    return soft.withColumn("rate", rate).select("doc_id", "tokens", "posterior", "rate")
+            # a step that came no nearer is followed by one in the full metric, whose length is safe
+            step = np.linalg.solve(loose if better else gram, gap)
+            steps.append(step)
+        _, base, steps, gap = nearest
+        if (np.abs(gap) > REACHED * want).any():
+            warnings.warn(f"rates: domain totals {(gap + want).tolist()} for targets {want.tolist()}", stacklevel=2)
+        return keep(store(_stepped(base, steps, least_rate), "rated"))
+
+
+def _stepped(rated: DataFrame, steps: Sequence[np.ndarray], least_rate: float) -> DataFrame:
+    """Rates after gradient steps, each projected onto what is allowed."""
+    rate = F.col("rate")
+    for step in steps:
+        rate = F.greatest(F.lit(float(least_rate)), rate - _dot(step))
+    return rated.select("doc_id", "tokens", "posterior", rate.alias("rate"))
 
 
 def mixed(docs: DataFrame, rated: DataFrame) -> DataFrame:

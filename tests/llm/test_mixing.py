@@ -72,3 +72,21 @@ def test_rare_domains_arrive(spark):
             present = sum(r.tokens * np.array(r.posterior) for r in rows)
             got, want = totals(rows), (present / present.sum()) ** mx.TEMPERATURE
             assert np.abs(got / got.sum() / (want / want.sum()) - 1).max() < 1e-3 and min(r.rate for r in rows) >= least - 1e-9
+
+
+def test_gradient_steps_beat_a_plain_solver_in_the_metric_of_the_posteriors(spark):
+    # soft documents, some of whose domains cannot be reached with rates of 1 or more
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet([0.05] * 4, 300)
+    t = rng.integers(1, 50, 300)
+    soft = spark.createDataFrame([(i, int(n), x.tolist()) for i, (n, x) in enumerate(zip(t, p))], "doc_id long, tokens long, posterior array<double>")
+    for least in (0.0, 1.0):
+        got = np.array([r.rate for r in sorted(mx.rates(soft, [0.7, 0.1, 0.1, 0.1], least).collect(), key=lambda r: r.doc_id)])
+        a, want = (p * t[:, None]).T / t.sum(), np.array([0.7, 0.1, 0.1, 0.1])
+        want = want * (max(1.0, (a.sum(axis=1) / want).max()) if least else 1.0)
+        metric = np.linalg.inv(p.T @ (p * (t / t.sum())[:, None]))
+        r = np.full(300, max(1.0, least))
+        for _ in range(5000):
+            r = np.maximum(least, r - p @ (metric @ (a @ r - want)))
+        loss = lambda x: (a @ x - want) @ metric @ (a @ x - want)
+        assert got.min() >= least and loss(got) <= loss(r) + 1e-4
