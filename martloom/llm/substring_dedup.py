@@ -16,7 +16,8 @@ document) goes. Matches never cross documents; strings are judged on the input.
 Segments and anchors are compared by 64-bit hashes (equal segments by 128 bits), windows byte by byte.
 
 Rows: a null or empty text has no bytes. A null ``doc_id`` is left whole and takes no part. Rows that share a ``doc_id``
-are one document given twice: the same start is no earlier start. Only ``doc_id`` and ``text`` are read.
+and the text are one document given twice: the same start is no earlier start. Different texts of one ``doc_id`` are
+different documents, in the order of their hashes. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -282,8 +283,27 @@ KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_spans", p
 def without_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_spans, kept) per row: the bytes that stay, joined, and how many runs were taken out."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    long = rows.where("doc_id is not null").where(F.length("text") >= LENGTH)
-    keyed = long.select("doc_id", F.xxhash64("text").alias("k1"), F.xxhash64("text", F.lit(1)).alias("k2"))
+    keys = [F.xxhash64("text").alias("k1"), F.xxhash64("text", F.lit(1)).alias("k2")]
+    keyed = store(rows.where("doc_id is not null").select("doc_id", (F.length("text") >= LENGTH).alias("long"), *keys), "keyed")
+    several = keyed.groupBy("doc_id").agg(*[f(k).alias(f"{f.__name__}_{k}") for f in (F.min, F.max) for k in ("k1", "k2")])
+    if several.where("min_k1 < max_k1 or min_k2 < max_k2").isEmpty():
+        return _without_repeats(rows, keyed)
+    # numbers in the order of the ids, one per id and text, take the place of the ids
+    by = ["doc_id", "k1", "k2"]
+    numbers = keyed.select(*by, "long").distinct().repartitionByRange(*by).sortWithinPartitions(*by)
+    numbers = store(numbers.withColumn("number", F.monotonically_increasing_id()), "numbers")
+    numbered = rows.where("doc_id is not null").select("doc_id", "text", *keys).join(numbers.select(*by, "number"), by)
+    out = _without_repeats(numbered.select(F.col("number").alias("doc_id"), "text"),
+                           numbers.select(F.col("number").alias("doc_id"), "long", "k1", "k2"))
+    back = numbers.select("number", F.col("doc_id").alias("id"))
+    out = out.join(back, F.col("doc_id") == F.col("number")).select(F.col("id").alias("doc_id"), *out.columns[1:])
+    return out.union(map_columns(rows.where("doc_id is null").select(
+        "doc_id", "text", F.lit(None).cast("array<long>").alias("starts"), F.lit(None).cast("array<long>").alias("windows")), _remover, KEPT))
+
+
+def _without_repeats(rows: DataFrame, keyed: DataFrame) -> DataFrame:
+    """``without_repeats`` of ids with one text each; ``keyed``: their (doc_id, long, k1, k2)."""
+    keyed = keyed.where("long")
     heads = keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).where("head < last")
     copies = store(keyed.join(heads.select("k1", "k2", "head"), ["k1", "k2"]).where("doc_id > head").select("doc_id").distinct(), "copies")
     split = marked(rows, "doc_id", copies, "copied")

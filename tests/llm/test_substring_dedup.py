@@ -63,6 +63,15 @@ def test_repeated_rows_null_ids_empty_table(spark):
     assert sd.without_repeats(docs(spark, [])).count() == 0
 
 
+def test_different_texts_of_one_id_are_different_documents(spark):
+    rng = random.Random(8)
+    x, y, z = ("".join(rng.choice("abcdefg ") for _ in range(300)) for _ in range(3))
+    rows = [(1, x), (5, x), (5, y), (5, y), (5, "short"), (5, None), (7, z + y[:150]), (-3, z[100:]), (None, y)]
+    got = sorted((repr(r.doc_id), r.n_bytes, len(r.kept), r.n_spans) for r in sd.without_repeats(docs(spark, rows)).collect())
+    assert got == sorted([("1", 300, 300, 0), ("5", 300, 0, 1), ("5", 300, 300, 0), ("5", 300, 300, 0), ("5", 5, 5, 0), ("5", 0, 0, 0),
+                          ("7", 450, 100, 1), ("-3", 200, 200, 0), ("None", 300, 300, 0)])
+
+
 @pytest.mark.parametrize("limit", [0, 4096])
 def test_suffix_array_and_prefixes(monkeypatch, limit):
     monkeypatch.setattr(sa, "_BUCKETWISE", limit)
