@@ -17,7 +17,7 @@ from martloom.session import delete, scratch_path
 
 _SQL_TYPES = {pa.int64(): "long", pa.int32(): "int", pa.float64(): "double", pa.bool_(): "boolean",
               pa.string(): "string", pa.binary(): "binary", pa.list_(pa.int64()): "array<long>",
-              pa.list_(pa.float32()): "array<float>"}
+              pa.list_(pa.int32()): "array<int>", pa.list_(pa.float32()): "array<float>"}
 
 
 _ROWS = 500
@@ -154,7 +154,8 @@ def _components(edges: DataFrame, label: str) -> DataFrame:
 
 
 def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str,
-                      traits: DataFrame, likely: Callable[[str, str], Column], deal_once: bool = False) -> DataFrame:
+                      traits: DataFrame | Callable[[DataFrame], DataFrame], likely: Callable[[str, str], Column],
+                      deal_once: bool = False) -> DataFrame:
     """Components of all pairs that share a bucket and that ``verify`` confirms.
 
     ``buckets``: (key, id), distinct ids per key. ``verify`` maps pairs (a, b) to the confirmed ones.
@@ -166,7 +167,7 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     connected are never compared, so a large group of copies costs no square of its size, and no
     link that could join two components is left untested. There the join itself drops pairs that are not
     ``likely(prefix, prefix)`` by their ``traits`` (id, ...; columns are prefixed), so that texts which merely
-    share a passage make no rows. ``deal_once`` shuffles the buckets once by key
+    share a passage make no rows. Traits that cost something may be a function from the ids (id) that are left. ``deal_once`` shuffles the buckets once by key
     instead of once reduced and once whole, for when they are many times larger than their groups.
     """
     with passing() as keep:
@@ -174,7 +175,8 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
 
 
 def _linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str,
-                       traits: DataFrame, likely: Callable[[str, str], Column], deal_once: bool) -> DataFrame:
+                       traits: DataFrame | Callable[[DataFrame], DataFrame], likely: Callable[[str, str], Column],
+                       deal_once: bool) -> DataFrame:
     if deal_once:
         buckets = buckets.repartition("key")
     groups = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
@@ -192,6 +194,8 @@ def _linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFra
     sizes = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("n", "c")).alias("main"))
     mixed = store(placed.join(mixed.where("parts > 1").select("key", "main"), "key"), f"{label}-mixed")
+    if callable(traits):
+        traits = traits(store(mixed.select("id").distinct(), f"{label}-left"))
     own = [c for c in traits.columns if c != "id"]
     mixed = mixed.join(traits, "id")
     rest = mixed.where("c <> main").select(

@@ -33,14 +33,15 @@ REGISTERS, ROWS, BANDS = 256, 9, 64
 BASE, RATE = 1.02, 20.0
 #: Registers whose low bytes the second pass over buckets compares.
 COMPARED = 224
-#: Standard errors by which the estimate may lie below the threshold before a pair is dropped unseen.
+#: Least shingle hashes (32 bits) of a text that the second pass compares then; most texts have no more.
+LEAST = 512
+#: Standard errors by which an estimate may lie below the threshold before a pair is dropped unseen.
 MARGIN = 5.0
-#: The same for the low bytes, where a pair at the very threshold is dropped in 3 of 100,000 cases.
-BYTES_MARGIN = 4.0
 SKETCHES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_1", pa.int64()),
                       ("set_2", pa.int64()), ("regs", pa.binary()), ("bands", pa.list_(pa.int64())),
                       ("low", pa.list_(pa.int64()))])
 SETS = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+LEASTS = pa.schema([("id", pa.int64()), ("least", pa.list_(pa.int32()))])
 _BLOCK = 2048
 _SEED = np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _A = (mixed(_SEED[:REGISTERS]) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -152,6 +153,39 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return map_columns(_documents(docs), _set_maker, SETS)
 
 
+def _least_maker():
+    cache = WordHashes()
+
+    def least(text: bytes | None) -> np.ndarray:
+        return np.unique(shingles(text or b"", cache).astype(np.uint32).view(np.int32))[:LEAST]
+
+    def make(batch: dict) -> Iterator[dict]:
+        yield {"id": batch["doc_id"], "least": [least(t) for t in batch["text"]]}
+
+    return make
+
+
+def least_hashes(docs: DataFrame) -> DataFrame:
+    """(id, least): the ``LEAST`` smallest 32-bit shingle hashes, in order; the whole set of a text that has fewer."""
+    return map_columns(_documents(docs), _least_maker, LEASTS)
+
+
+def _close(a: str, b: str, percent: int) -> Column:
+    """Whether two columns of ``least_hashes`` allow the similarity.
+
+    Two whole sets are compared outright, but for one shingle in case two have the same 32 bits. Otherwise the
+    hashes up to the smaller of the two last ones are a sample of both sets, all shared ones among them.
+    """
+    x, y = F.col(a), F.col(b)
+    both, p = F.size(F.array_intersect(x, y)), percent / 100
+    last = lambda c: F.when(F.size(c) == LEAST, F.element_at(c, -1))
+    end = F.least(last(x), last(y))
+    held = F.size(F.filter(x, lambda v: v <= end)) + F.size(F.filter(y, lambda v: v <= end))
+    return F.when((F.size(x) < LEAST) & (F.size(y) < LEAST),
+                  (100 + percent) * both >= percent * (F.size(x) + F.size(y)) - 100).otherwise(
+        (1 + p) * both >= p * held - MARGIN * F.sqrt(p * (1 - p) / (1 + p) * held))
+
+
 def _hopeful(percent: int):
     limit = percent / 100
     least = limit - MARGIN * (limit * (1 - limit) / REGISTERS) ** 0.5
@@ -182,6 +216,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     heads = heads.select(F.col("doc_id").alias("id"), "n_shingles", "regs", "bands", "low")
     buckets = heads.select("id", F.explode("bands").alias("key")).select("key", "id").distinct()
 
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        near_docs = marked(docs.select("doc_id", "text"), "doc_id", wanted).where("maybe")
+        return near_docs.join(wanted, "doc_id", "left_semi")
+
     def verify(pairs: DataFrame) -> DataFrame:
         side = lambda s: heads.select(F.col("id").alias(s), F.col("regs").alias(f"r{s}"),
                                       F.col("n_shingles").alias(f"n{s}"))
@@ -189,23 +227,26 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         near = pairs.join(side("a"), "a").join(side("b"), "b").where(
             100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
         near = store(near.where(_hopeful(percent)("ra", "rb", "na", "nb")).select("a", "b").distinct(), "hopeful")
-        wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        near_docs = marked(docs.select("doc_id", "text"), "doc_id", wanted).where("maybe")
-        sets = shingle_sets(near_docs.join(wanted, "doc_id", "left_semi"))
-        sets = store(sets, "sets")
+        sets = store(shingle_sets(texts_of(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())), "sets")
         full = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
             sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
         both = F.size(F.array_intersect("sa", "sb"))
         return full.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
 
     limit = percent / 100
-    least = COMPARED * limit - BYTES_MARGIN * (COMPARED * limit * (1 - limit)) ** 0.5
+    least = COMPARED * limit - MARGIN * (COMPARED * limit * (1 - limit)) ** 0.5
 
     def likely(a: str, b: str) -> Column:
         sizes = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
-        return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (_equal_bytes(f"{a}low", f"{b}low") >= least)
+        return ((100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (_equal_bytes(f"{a}low", f"{b}low") >= least)
+                & _close(f"{a}least", f"{b}least", percent))
+
+    def traits(ids: DataFrame) -> DataFrame:
+        # rows that share a doc_id have all their sets; any two of them may be the close ones
+        texts = texts_of(ids.withColumnRenamed("id", "doc_id"))
+        return heads.select("id", "n_shingles", "low").join(store(least_hashes(texts).distinct(), "least"), "id")
 
-    named = linked_components(buckets, verify, "near", heads.select("id", "n_shingles", "low"), likely)
+    named = linked_components(buckets, verify, "near", traits, likely)
     # rows sharing a doc_id are one node: join the classes through it
     labels = classes.join(named.withColumnRenamed("id", "class_id"), "class_id", "left").select(
         "set_1", "set_2", "n_shingles", F.coalesce("component", "class_id").alias("class_component"))

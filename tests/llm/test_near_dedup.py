@@ -65,3 +65,20 @@ def test_registers_merge_and_estimate():
     one = lambda x: np.array([x])
     estimate = nd.likeliest(one(nd.registers(left)), one(nd.registers(right)), one(len(left)), one(len(right)))[0]
     assert abs(estimate - len(np.intersect1d(left, right)) / len(np.union1d(left, right))) < 0.12
+
+
+def test_least_hashes_keep_similar_pairs(spark):
+    """Pairs at the threshold or above pass whether their sets are held whole or not; unlike ones go."""
+    rows, want = [], {}
+    for i, (n, shared) in enumerate([(8, 8), (40, 38), (400, 368), (540, 497), (2000, 1840), (20000, 18400),
+                                     (400, 250), (540, 338), (2000, 1250), (20000, 12500)]):
+        words = [f"t{i}x{k}" for k in range(n)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:shared] + [f"u{i}x{k}" for k in range(n - shared)]))]
+        a, b = word_shingles(rows[-2][1]), word_shingles(rows[-1][1])
+        want[2 * i] = 100 * len(a & b) >= 85 * len(a | b)
+    assert sorted(want.values()) == [False] * 4 + [True] * 6
+    kept = nd.least_hashes(docs(spark, rows))
+    pairs = kept.where("id % 2 = 0").selectExpr("id", "id + 1 as other", "least as x").join(
+        kept.selectExpr("id as other", "least as y"), "other")
+    assert max(len(r.least) for r in kept.collect()) == nd.LEAST
+    assert {r.id: r.close for r in pairs.select("id", nd._close("x", "y", 85).alias("close")).collect()} == want
