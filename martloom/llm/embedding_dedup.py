@@ -184,3 +184,25 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.9) -> DataFrame:
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates of all ``embeddings`` at a cosine of 0.9."""
     return near_vectors(read(spark, sf_dir, "embeddings"), 0.9)
+
+
+ORACLE_SQL = """
+with recursive usable as (
+    select vec_id, embedding::double[] as v, sqrt(list_inner_product(embedding::double[], embedding::double[])) as length
+    from embeddings
+    where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+    select x.vec_id as a, y.vec_id as b
+    from usable as x join usable as y on x.vec_id < y.vec_id and len(x.v) = len(y.v)
+    where list_inner_product(x.v, y.v) / (x.length * y.length) >= 0.9),
+neighbours as (select a as id, b as other from links union all select b, a from links),
+reach as (
+    select a as id, a as other from links union select b, b from links
+    union select r.id, n.other from reach as r join neighbours as n on n.id = r.other),
+components as (select id, min(other) as component from reach group by id),
+counts as (select id, count(*) as n from neighbours group by id)
+select vec_id, coalesce(n, 0)::bigint as n_links, coalesce(component, vec_id) as component_id,
+    coalesce(component, vec_id) = vec_id as kept
+from embeddings left join components on components.id = vec_id left join counts on counts.id = vec_id
+"""

@@ -260,3 +260,30 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates of ``documents`` at a similarity of 0.85."""
     return near_duplicates(read(spark, sf_dir, "documents"), 85)
+
+
+ORACLE_SQL = """
+with recursive worded as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+    from documents),
+sets as (
+    select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_distinct(
+        list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+    from worded),
+sizes as (select doc_id, len(s)::bigint as n from sets),
+shingle as (select doc_id, unnest(s) as s from sets),
+shared as (
+    select x.doc_id as a, y.doc_id as b, count(*) as common
+    from shingle as x join shingle as y on x.s = y.s and x.doc_id < y.doc_id group by all),
+links as (
+    select a, b from shared join sizes as x on x.doc_id = a join sizes as y on y.doc_id = b
+    where 100 * common >= 85 * (x.n + y.n - common)),
+neighbours as (select a as id, b as other from links union all select b, a from links),
+reach as (
+    select a as id, a as other from links union select b, b from links
+    union select r.id, n.other from reach as r join neighbours as n on n.id = r.other),
+components as (select id, min(other) as component from reach group by id)
+select doc_id, n as n_shingles, coalesce(component, doc_id) as component_id, coalesce(component, doc_id) = doc_id as kept
+from sizes left join components on id = doc_id
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martloom.llm import collocations
+from martloom.llm import collocations, embedding_dedup, line_dedup, near_dedup
 from martloom.llm.collocations import op13_collocations
 from martloom.llm.embedding_dedup import op4_embedding_near_dedup
 from martloom.llm.fingerprints import op5_document_fingerprints
@@ -34,4 +34,9 @@ QUERIES = {
 }
 
 #: SQL over the same tables that must give the same rows, where SQL can say it.
-ORACLES: dict[str, str] = {"op13_collocations": collocations.ORACLE_SQL}
+ORACLES: dict[str, str] = {
+    "op3_minhash_near_dedup": near_dedup.ORACLE_SQL,
+    "op4_embedding_near_dedup": embedding_dedup.ORACLE_SQL,
+    "op10_line_dedup": line_dedup.ORACLE_SQL,
+    "op13_collocations": collocations.ORACLE_SQL,
+}
