@@ -21,6 +21,11 @@ _SQL_TYPES = {pa.int64(): "long", pa.int32(): "int", pa.float64(): "double", pa.
 
 
 _ROWS = 500
+#: Smallest hashes of a set that ``close`` compares; most sets have no more.
+LEAST = 512
+#: Standard errors by which an estimate may lie below the threshold before a pair is dropped unseen.
+MARGIN = 5.0
+_BUCKET_ROWS = 200
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,6 +118,22 @@ def marked(df: DataFrame, column: str, wanted: DataFrame, flag: str = "maybe") -
         flag, F.coalesce(seen, F.lit(False))).drop(spot, word, bits)
 
 
+def close(a: str, b: str, percent: int) -> Column:
+    """Whether two columns of the ``LEAST`` smallest 32-bit hashes of sets, in order, allow the similarity.
+
+    Two whole sets are compared outright, but for one shingle in case two have the same 32 bits. Otherwise the
+    hashes up to the smaller of the two last ones are a sample of both sets, all shared ones among them.
+    """
+    x, y = F.col(a), F.col(b)
+    both, p = F.size(F.array_intersect(x, y)), percent / 100
+    last = lambda c: F.when(F.size(c) == LEAST, F.element_at(c, -1))
+    end = F.least(last(x), last(y))
+    held = F.size(F.filter(x, lambda v: v <= end)) + F.size(F.filter(y, lambda v: v <= end))
+    return F.when((F.size(x) < LEAST) & (F.size(y) < LEAST),
+                  (100 + percent) * both >= percent * (F.size(x) + F.size(y)) - 100).otherwise(
+        (1 + p) * both >= p * held - MARGIN * F.sqrt(p * (1 - p) / (1 + p) * held))
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(id, component) for every id in ``edges`` (a, b): the smallest id it is connected with.
 
@@ -155,7 +176,8 @@ def _components(edges: DataFrame, label: str) -> DataFrame:
 
 def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str,
                       traits: DataFrame | Callable[[DataFrame], DataFrame], likely: Callable[[str, str], Column],
-                      deal_once: bool = False) -> DataFrame:
+                      deal_once: bool = False, coarse: tuple[DataFrame, Callable[[str, str], Column]] | None = None,
+                      ) -> DataFrame:
     """Components of all pairs that share a bucket and that ``verify`` confirms.
 
     ``buckets``: (key, id), distinct ids per key. ``verify`` maps pairs (a, b) to the confirmed ones.
@@ -167,16 +189,17 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     connected are never compared, so a large group of copies costs no square of its size, and no
     link that could join two components is left untested. There the join itself drops pairs that are not
     ``likely(prefix, prefix)`` by their ``traits`` (id, ...; columns are prefixed), so that texts which merely
-    share a passage make no rows. Traits that cost something may be a function from the ids (id) that are left. ``deal_once`` shuffles the buckets once by key
+    share a passage make no rows. Traits that cost something may be a function from the ids (id) that are left;
+    ``coarse``, cheaper traits and their condition, leaves the members that could have a partner at all, by a semi join. ``deal_once`` shuffles the buckets once by key
     instead of once reduced and once whole, for when they are many times larger than their groups.
     """
     with passing() as keep:
-        return keep(_linked_components(buckets, verify, label, traits, likely, deal_once))
+        return keep(_linked_components(buckets, verify, label, traits, likely, deal_once, coarse))
 
 
 def _linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str,
                        traits: DataFrame | Callable[[DataFrame], DataFrame], likely: Callable[[str, str], Column],
-                       deal_once: bool) -> DataFrame:
+                       deal_once: bool, coarse: tuple[DataFrame, Callable[[str, str], Column]] | None) -> DataFrame:
     if deal_once:
         buckets = buckets.repartition("key")
     groups = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
@@ -194,6 +217,14 @@ def _linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFra
     sizes = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("n", "c")).alias("main"))
     mixed = store(placed.join(mixed.where("parts > 1").select("key", "main"), "key"), f"{label}-mixed")
+    if coarse is not None:
+        cheap, possible = coarse
+        known = mixed.join(cheap, "id")
+        x, y = (known.select("key", *[F.col(c).alias(f"{side}_{c}") for c in known.columns if c != "key"]) for side in "xy")
+        crossing = (F.col("x_c") != F.col("y_c")) & ((F.col("x_c") != F.col("x_main")) | (F.col("y_c") != F.col("y_main")))
+        x = x.join(y.withColumnRenamed("key", "y_key"), (F.col("key") == F.col("y_key")) & crossing & possible("x_", "y_"),
+                   "left_semi")
+        mixed = store(x.select("key", *[F.col(f"x_{c}").alias(c) for c in mixed.columns if c != "key"]), f"{label}-sifted")
     if callable(traits):
         traits = traits(store(mixed.select("id").distinct(), f"{label}-left"))
     own = [c for c in traits.columns if c != "id"]
@@ -201,8 +232,15 @@ def _linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFra
     rest = mixed.where("c <> main").select(
         "key", F.col("id").alias("x"), F.col("c").alias("cx"), *[F.col(t).alias(f"x_{t}") for t in own])
     others = mixed.select("key", "id", "c", "main", *[F.col(t).alias(f"y_{t}") for t in own])
+    on = ["key"]
+    if coarse is not None:
+        # a large bucket's rest is dealt over several tasks, each of which gets the others
+        on, tasks = ["key", "salt"], F.ceil(F.count("*") / _BUCKET_ROWS).cast("int").alias("tasks")
+        spread = mixed.groupBy("key").agg(tasks)
+        rest = rest.join(spread, "key").withColumn("salt", F.pmod(F.xxhash64("x"), "tasks").cast("int")).drop("tasks")
+        others = others.join(spread, "key").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))).drop("tasks")
     # a pair with both sides outside the main component is taken once, by x < id
-    crossed = (rest.join(others, "key").where("cx <> c and (c = main or x < id)").where(likely("x_", "y_"))
+    crossed = (rest.join(others, on).where("cx <> c and (c = main or x < id)").where(likely("x_", "y_"))
                .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct())
     second = store(crossed.join(first, ["a", "b"], "left_anti"), f"{label}-pairs")
     if second.isEmpty():

@@ -26,17 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import linked_components, map_columns, marked, read, store
+from martloom.llm.common import LEAST, MARGIN, close, linked_components, map_columns, marked, read, store
 from martloom.llm.words import WordHashes, mixed, shingles
 
 REGISTERS, ROWS, BANDS = 256, 9, 64
 BASE, RATE = 1.02, 20.0
 #: Registers whose low bytes the second pass over buckets compares.
 COMPARED = 224
-#: Least shingle hashes (32 bits) of a text that the second pass compares then; most texts have no more.
-LEAST = 512
-#: Standard errors by which an estimate may lie below the threshold before a pair is dropped unseen.
-MARGIN = 5.0
 SKETCHES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_1", pa.int64()),
                       ("set_2", pa.int64()), ("regs", pa.binary()), ("bands", pa.list_(pa.int64())),
                       ("low", pa.list_(pa.int64()))])
@@ -170,22 +166,6 @@ def least_hashes(docs: DataFrame) -> DataFrame:
     return map_columns(_documents(docs), _least_maker, LEASTS)
 
 
-def _close(a: str, b: str, percent: int) -> Column:
-    """Whether two columns of ``least_hashes`` allow the similarity.
-
-    Two whole sets are compared outright, but for one shingle in case two have the same 32 bits. Otherwise the
-    hashes up to the smaller of the two last ones are a sample of both sets, all shared ones among them.
-    """
-    x, y = F.col(a), F.col(b)
-    both, p = F.size(F.array_intersect(x, y)), percent / 100
-    last = lambda c: F.when(F.size(c) == LEAST, F.element_at(c, -1))
-    end = F.least(last(x), last(y))
-    held = F.size(F.filter(x, lambda v: v <= end)) + F.size(F.filter(y, lambda v: v <= end))
-    return F.when((F.size(x) < LEAST) & (F.size(y) < LEAST),
-                  (100 + percent) * both >= percent * (F.size(x) + F.size(y)) - 100).otherwise(
-        (1 + p) * both >= p * held - MARGIN * F.sqrt(p * (1 - p) / (1 + p) * held))
-
-
 def _hopeful(percent: int):
     limit = percent / 100
     least = limit - MARGIN * (limit * (1 - limit) / REGISTERS) ** 0.5
@@ -239,7 +219,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     def likely(a: str, b: str) -> Column:
         sizes = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
         return ((100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (_equal_bytes(f"{a}low", f"{b}low") >= least)
-                & _close(f"{a}least", f"{b}least", percent))
+                & close(f"{a}least", f"{b}least", percent))
 
     def traits(ids: DataFrame) -> DataFrame:
         # rows that share a doc_id have all their sets; any two of them may be the close ones

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from martloom.llm import near_dedup as nd
+from martloom.llm.common import LEAST, close
 from martloom.llm.words import WordHashes, shingles
 from tests.conftest import DATA
 from tests.llm.helpers import docs, sample, similar_pairs, smallest_reachable, word_shingles
@@ -80,5 +81,5 @@ def test_least_hashes_keep_similar_pairs(spark):
     kept = nd.least_hashes(docs(spark, rows))
     pairs = kept.where("id % 2 = 0").selectExpr("id", "id + 1 as other", "least as x").join(
         kept.selectExpr("id as other", "least as y"), "other")
-    assert max(len(r.least) for r in kept.collect()) == nd.LEAST
-    assert {r.id: r.close for r in pairs.select("id", nd._close("x", "y", 85).alias("close")).collect()} == want
+    assert max(len(r.least) for r in kept.collect()) == LEAST
+    assert {r.id: r.close for r in pairs.select("id", close("x", "y", 85).alias("close")).collect()} == want
