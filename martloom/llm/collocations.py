@@ -8,11 +8,11 @@ extension of the n-word intervals to the left leads to, and each lies within the
 right, so an n-gram knows both of its (n - 1)-grams.
 
 Only phrases that occur ``LEAST`` times in the whole language matter, and most distinct n-grams occur once. So a first
-pass over the shards sums pairs and triples of words by hash: they are dealt to buckets whose number grows with the
+pass over the shards sums words, pairs and triples by hash: they are dealt to buckets whose number grows with the
 input, a bucket's 40-bit hashes are added up, and those that reach ``LEAST`` set bits in a bitmap of 2**``BITS`` (8 MB,
-whatever the input). The second pass extends an interval only while its n-gram's bit is set. The bitmap never
-stops a phrase that is frequent enough, and the exact sums of the second pass decide, so it saves rows and
-changes none.
+whatever the input). The second pass gives a word, and extends an interval, only if the n-gram's bit is set. The bitmap
+never stops a phrase that is frequent enough, whatever the shard that holds it, and the exact sums of the second pass
+decide, so it saves rows and changes none.
 
 Rows: a null text is empty, a null ``lang`` is ``und``; a null or repeated ``doc_id`` does not matter, every row counts.
 Empty tables give no phrases. Only ``lang`` and ``text`` are read. A word may hold any character but the
@@ -35,14 +35,14 @@ from martloom.llm.words import mixed
 DEPTH, LEAST, TOP = 3, 10, 2000
 SHARD_WORDS = 3 << 19
 BITS = 26
-#: Text bytes for each bucket of hashes: about two million of them, 5 bytes each.
+#: Text bytes for each bucket of hashes: about two million of them, 5 bytes each before they are compressed.
 BUCKET_BYTES = 1 << 23
 _SALTS = 64
 # Characters that end a piece; all become the first one.
 _CUTS = b".,;:!?\n\x0b\x0c\r"
 _TO_CUT = bytes.maketrans(_CUTS, b"." * len(_CUTS))
 _PLACE = mixed(np.arange(11, 11 + DEPTH, dtype=np.uint64)) | np.uint64(1)
-PAIRS = pa.schema([("bucket", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
+SUMS = pa.schema([("bucket", pa.int64()), ("n", pa.int64()), ("sums", pa.binary())])
 GRAMS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n_words", pa.int64()), ("count", pa.int64()),
                    ("left", pa.int64()), ("right", pa.int64())])
 
@@ -111,6 +111,19 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
 
 
+def packed(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """A bucket's hashes, in order, and their counts: the steps between hashes, byte by byte, compress well."""
+    steps = np.diff(hashes, prepend=np.uint32(0)).astype("<u4")
+    planes = steps.view(np.uint8).reshape(-1, 4).T
+    return pa.compress(planes.tobytes() + counts.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    plain = np.frombuffer(pa.decompress(data, decompressed_size=5 * n, codec="zstd", asbytes=True), np.uint8)
+    steps = np.ascontiguousarray(plain[:4 * n].reshape(4, n).T).view("<u4")[:, 0]
+    return np.cumsum(steps, dtype=np.uint32), plain[4 * n:]
+
+
 class FmIndex:
     """Depth-limited FM-index of a sequence of ids in which 0 separates pieces, with 0 at both ends."""
 
@@ -200,13 +213,13 @@ def _over_shards(process, limit: int):
 def _gram_counts(buckets: int):
     def process(shard: Shard) -> Iterator[dict]:
         ids, top = shard.sequence().astype(np.int64), len(shard.ids) + 1
-        at = np.flatnonzero((ids[1:] != 0) & (ids[:-1] != 0))
-        if not len(at):
+        if top == 1:
             return
+        at = np.flatnonzero((ids[1:] != 0) & (ids[:-1] != 0))
         own = word_hashes(shard)
         pairs, which, counts = np.unique(ids[at] * top + ids[at + 1], return_inverse=True, return_counts=True)
-        hashes = [gram_hashes(own[pairs // top], own[pairs % top])]
-        times = [counts]
+        hashes = [gram_hashes(own[1:]), gram_hashes(own[pairs // top], own[pairs % top])]
+        times = [np.bincount(ids, minlength=top)[1:], counts]
         # a pair that goes on with a third word
         longer = ids[np.minimum(at + 2, len(ids) - 1)]
         triples, counts = np.unique(which[longer != 0] * top + longer[longer != 0], return_counts=True)
@@ -218,23 +231,21 @@ def _gram_counts(buckets: int):
         order = np.lexsort((hashes, bucket))
         hashes, counts, bucket = hashes[order].astype(np.uint32), counts[order], bucket[order]
         edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
-        yield {"bucket": bucket[edges[:-1]],
-               "hashes": [hashes[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])],
-               "counts": [counts[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]}
+        yield {"bucket": bucket[edges[:-1]], "n": np.diff(edges),
+               "sums": [packed(hashes[a:b], counts[a:b]) for a, b in zip(edges[:-1], edges[1:])]}
 
     return process
 
 
 def bitmap_place(bucket: np.ndarray | int, low: np.ndarray) -> np.ndarray:
-    """Place in the bitmap of a pair's bucket and lower 32 bits."""
+    """Place in the bitmap of an n-gram's bucket and lower 32 bits."""
     return (mixed(low.astype(np.uint64) + np.uint64(1 << 32) * np.asarray(bucket).astype(np.uint64))
             >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def _frequent(part: pa.Table) -> pa.Table:
     """One bucket: the bits of its hashes whose counts sum to ``LEAST``."""
-    low = np.frombuffer(b"".join(part["hashes"].to_pylist()), np.uint32)
-    counts = np.frombuffer(b"".join(part["counts"].to_pylist()), np.uint8)
+    low, counts = map(np.concatenate, zip(*map(unpacked, part["sums"].to_pylist(), part["n"].to_pylist())))
     order = np.argsort(low, kind="stable")
     low, counts = low[order], counts[order].astype(np.int64)
     edges = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
@@ -247,8 +258,8 @@ def _frequent(part: pa.Table) -> pa.Table:
 
 def frequent_grams(docs: DataFrame, buckets: int, shard_words: int = SHARD_WORDS) -> np.ndarray:
     """The bitmap: 2**BITS bits in words of 64; at most that many rows come to the driver, 16 bytes each."""
-    pairs = map_columns(docs, _over_shards(_gram_counts(buckets), shard_words), PAIRS)
-    words = pairs.groupBy("bucket").applyInArrow(_frequent, "word long, bits long").groupBy("word").agg(
+    sums = map_columns(docs, _over_shards(_gram_counts(buckets), shard_words), SUMS)
+    words = sums.groupBy("bucket").applyInArrow(_frequent, "word long, bits long").groupBy("word").agg(
         F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << (BITS - 6), np.uint64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
@@ -284,14 +295,10 @@ def _grams(bitmap, buckets: int):
             place = bitmap_place(_bucket(hashes, buckets), hashes.astype(np.uint32))
             return (bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
-        single, inner = index.words()
-        starts, interval = index.extended(inner, np.ones(len(single), bool))
-        kept = frequent(starts, 2)
-        part_of = np.zeros(len(single), bool)
-        part_of[inner[starts[kept]]] = part_of[inner[index.shorter[starts[kept]]]] = True
-        yield rows(single, inner, 1, np.flatnonzero(part_of))
-        yield rows(starts, interval, 2, np.flatnonzero(kept))
-        for size in range(3, DEPTH + 1):
+        starts, interval = index.words()
+        kept = frequent(starts, 1)
+        yield rows(starts, interval, 1, np.flatnonzero(kept))
+        for size in range(2, DEPTH + 1):
             starts, interval = index.extended(interval, kept)
             kept = frequent(starts, size)
             yield rows(starts, interval, size, np.flatnonzero(kept))
@@ -301,7 +308,7 @@ def _grams(bitmap, buckets: int):
 
 def phrases(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(lang, phrase, n_words, count, left, right): all phrases of 1 to ``DEPTH`` words that occur ``LEAST`` times or
-    more in their language and, for single words, are part of such a pair, and per language one row without words that counts all.
+    more in their language, and per language one row without words that counts all.
 
     ``left`` and ``right`` count the occurrences that a word of the same piece precedes or follows.
     """

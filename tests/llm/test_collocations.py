@@ -81,6 +81,22 @@ def test_phrase_extensions(spark):
                    "the sea": (15, 10, 5), "of the sea": (10, 5, 0)}
 
 
+def test_words_count_in_shards_without_their_phrases(spark):
+    """A word's occurrences apart from its frequent phrases are counted, though other shards hold those."""
+    rows = [("en", "new york")] * 12 + [("en", text) for i in range(30) for text in ("york", f"old york{i}", "new")]
+    table = spark.createDataFrame(rows, "lang string, text string")
+    for limit in (2, 1 << 20):
+        got = [tuple(r) for r in co.collocations(table.repartition(3), 5, limit).collect()]
+        assert got == plain_collocations(rows, 10, 5) == [("en", 1, "new york", 12, 42, 42, 144, 81632)]
+
+
+def test_packed_sums():
+    hashes = np.array([0, 0, 7, 2**31, 2**32 - 1], np.uint32)
+    for n in (1, 3, 5):
+        got = co.unpacked(co.packed(hashes[:n], np.arange(n, dtype=np.uint8)), n)
+        assert got[0].tolist() == hashes[:n].tolist() and got[1].tolist() == list(range(n))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 4), max_size=60))
 def test_index_equals_plain_counts(body):
