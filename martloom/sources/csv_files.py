@@ -9,9 +9,12 @@ increments are grouped by header, and each group is one distributed scan.
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +38,7 @@ REJECTED = "_rejected"
 
 _CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "inferSchema": "false"}
 _PROBE_THREADS = 8
+_RECORD = ["value", "is_header", "file", "block", "row"]
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
@@ -64,38 +68,79 @@ def _surplus_fields(record: Column, width: int) -> Column:
     return commas >= F.lit(width)
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in file order as records: an odd number of quotes opens a record of several lines, the next one ends it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        odd = batch["odd"].to_numpy().astype(bool)
+        if not held and not odd.any():
+            yield batch.select(_RECORD)
+            continue
+        if held and not odd.any():
+            held.append(batch)
+            continue
+        lines = pa.Table.from_batches([*held, batch]).combine_chunks()
+        odd = lines["odd"].to_numpy().astype(np.int64)
+        # quotes before a line: where they are even, it starts a record
+        starts = np.flatnonzero((np.cumsum(odd) - odd) % 2 == 0)
+        end = len(odd) if odd.sum() % 2 == 0 else starts[-1]
+        held = lines.slice(end).to_batches()
+        starts = starts[starts < end]
+        if not len(starts):
+            continue
+        texts = lines["value"].slice(0, end).combine_chunks().cast(pa.large_string())
+        lists = pa.LargeListArray.from_arrays(pa.array(np.append(starts, end), pa.int64()), texts)
+        first = lines.select(_RECORD).take(pa.array(starts))
+        records = pc.binary_join(lists, pa.scalar("\n", pa.large_string())).cast(pa.string())
+        yield from first.set_column(0, "value", records).combine_chunks().to_batches()
+    if held:
+        yield from pa.Table.from_batches(held).select(_RECORD).to_batches()
+
+
 def _records(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(record, is_header, file, block, row): the records of files whose quoted fields may hold line breaks.
 
     Files stay splittable. A line break ends a record where the number of quotes before it is even (quotes within a
-    field are doubled, so they count twice). Every byte range counts its own quotes, the sums before a range
-    (one row per range) tell whether it starts inside a field, and running sums within the range do the rest. Lines
-    that are a record by themselves go on; only the lines of longer records are brought together.
+    field are doubled, so they count twice). A first scan counts the quotes of every byte range; the sums before a range
+    tell whether it starts, and whether it ends, inside a record. Records within a range are put together where
+    its lines are read. Only the lines of those that lie in several ranges, up to a range's first line with an odd number
+    of quotes and from its last one on, are shuffled.
     """
     lines = spark.read.option("lineSep", "\n").text(paths).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"))
     lines = lines.withColumn("odd", (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2)
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("quotes")).select(
-        "file", "block", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("before"))
-    in_block = Window.partitionBy("file", "block").orderBy("row")
-    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = lines.join(blocks, ["file", "block"])
-    inside = (F.col("before") + F.sum("odd").over(so_far) - F.col("odd")) % 2 == 1
-    placed = placed.select("file", "block", "row", "value", "odd", inside.alias("inside"),
-                           ((F.col("block") == 0) & (F.row_number().over(in_block) == 1)).alias("is_header"))
+    odd_row = F.when(F.col("odd") == 1, F.col("row"))
+    blocks = lines.groupBy("file", "block").agg(
+        F.sum("odd").alias("quotes"), F.min("row").alias("first"), F.max("row").alias("last"),
+        F.min(odd_row).alias("first_odd"), F.max(odd_row).alias("last_odd"))
+    before = F.coalesce(F.sum("quotes").over(earlier), F.lit(0))
+    # a range without such a line lies within a record, or its lines are records
+    blocks = blocks.select(
+        "file", "block", "first", (before % 2 == 1).alias("inside"),
+        F.when(before % 2 == 1, F.coalesce("first_odd", "last")).otherwise(F.lit(-1)).alias("head"),
+        F.when((before + F.col("quotes")) % 2 == 1, F.coalesce("last_odd", "first")).alias("tail"))
+    # one row per byte range
+    placed = lines.join(F.broadcast(blocks), ["file", "block"])
+    is_header = (F.col("block") == 0) & (F.col("row") == F.col("first"))
+    cut = (F.col("row") <= F.col("head")) | F.coalesce(F.col("row") >= F.col("tail"), F.lit(False))
+    placed = placed.select("value", is_header.alias("is_header"), "file", "block", "row", "odd", "inside", "head", cut.alias("cut"))
     text = F.regexp_replace("value", "\\r$", "")
-    whole = placed.where("not inside and odd = 0").select(text.alias("record"), "is_header", "file", "block", "row")
-    # a line inside belongs to the last one before it that starts a record, maybe in an earlier range
-    parts = placed.where("inside or odd = 1").withColumn("start", F.when(~F.col("inside"), F.struct("block", "row")))
-    last = parts.groupBy("file", "block").agg(F.max("start").alias("last")).select(
-        "file", "block", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
-    parts = parts.join(last, ["file", "block"]).withColumn(
-        "start", F.coalesce(F.last("start", ignorenulls=True).over(so_far), "carried"))
-    pieces = F.array_sort(F.collect_list(F.struct("block", "row", "value")))
-    joined = parts.groupBy("file", "start").agg(pieces.alias("pieces"), F.max("is_header").alias("is_header"))
-    value = F.array_join(F.transform("pieces", lambda p: p["value"]), "\n")
+    whole = placed.where("not cut").select(*_RECORD, "odd").mapInArrow(
+        _joined, "value string, is_header boolean, file string, block long, row long").select(
+        text.alias("record"), *_RECORD[1:])
+    # a line inside belongs to the last one before it that starts a record, in an earlier range
+    starts = F.when(F.col("row") > F.col("head"), F.struct("block", "row"))
+    pieces = placed.where("cut").withColumn("start", F.when(F.col("odd") == 1, starts)).groupBy(
+        "file", "block", (F.col("row") > F.col("head")).alias("ending")).agg(
+        F.array_sort(F.collect_list(F.struct("row", "value"))).alias("lines"), F.max("is_header").alias("is_header"),
+        F.min("start").alias("start"))
+    so_far = Window.partitionBy("file").orderBy("block", "ending").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = pieces.withColumn("start", F.last("start", ignorenulls=True).over(so_far))
+    joined = pieces.groupBy("file", "start").agg(
+        F.array_sort(F.collect_list(F.struct("block", "ending", "lines"))).alias("pieces"), F.max("is_header").alias("is_header"))
+    value = F.array_join(F.transform(F.flatten(F.col("pieces.lines")), lambda p: p["value"]), "\n")
     long = joined.select(F.regexp_replace(value, "\\r$", "").alias("record"), "is_header", "file",
                          F.col("start.block").alias("block"), F.col("start.row").alias("row"))
     return whole.union(long).where("record <> ''")
@@ -156,7 +201,7 @@ def read_csv_by_name(
 
     Adds ``_file``, ``_position`` (file order of a row) and ``_corrupt_record`` (the
     line, where it has more fields than its header). Quoted line breaks need
-    ``multiline=True``: files are split all the same, but their lines are shuffled once by byte range.
+    ``multiline=True``: files are split all the same, and read twice.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     scans = [_scan(spark, h, p, multiline) for h, p in _by_header(spark, paths).items()]
@@ -275,7 +320,7 @@ def read_full_csv(
 ) -> DataFrame:
     """Whole-history extract of a dataset: listed columns only, typed, "no value" as NULL.
 
-    ``multiline=True`` reads quoted line breaks, at the price of a shuffle of the lines.
+    ``multiline=True`` reads quoted line breaks, at the price of a second scan.
     """
     spec = TABLES[f"staging.{dataset}"]
     columns = [c for c in spec.data_columns if c not in spec.optional]

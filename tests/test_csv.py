@@ -194,3 +194,24 @@ def test_quoted_line_breaks_keep_the_guards(spark, tmp_path):
     (folder / "b.csv").write_text('v,k\n1,2\n')
     with pytest.raises(Exception, match="header differs"):
         read_csv_by_name(spark, str(folder), multiline=True).collect()
+
+
+def test_quoted_line_breaks_shuffle_no_records(spark, tmp_path):
+    """Lines stay with the task that reads them, but for those of records across byte ranges."""
+    path = str(tmp_path / "breaks.csv")
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write("k,v\n" + "".join(f'{i},"a\n{i}"\n' for i in range(2000)) + '"x' + "\n" * 3000 + '",y\n9,"z\n"\n')
+    for size in ("128m", "3k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            df = read_csv_by_name(spark, path, multiline=True)
+            got = [(r.k, r.v) for r in df.orderBy("_position").collect()]
+            shuffled = df.select("k", "v")
+            shuffled.collect()
+            metrics = shuffled._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert got == [*((str(i), f"a\n{i}") for i in range(2000)), ("x" + "\n" * 3000, "y"), ("9", "z\n")]
+        assert "MapInArrow" in metrics and "SortMergeJoin" not in metrics
