@@ -33,6 +33,13 @@ EVOLVED = "1998-01-01"
 PARTITIONED_LAYOUT = "{root}/{dataset}/increment={increment}"
 
 
+def _kept(df, label, *partition_by):
+    """The rows, written once to the scratch folder, for queries that read the same joins several times."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def _write_csv(df, path, partition_by=()):
     text = {
         f.name: F.date_format(f.name, "yyyy-MM-dd HH:mm:ss.SSSSSS") for f in df.schema
@@ -70,7 +77,7 @@ def _(spark, sf):
 def _(spark, sf):
     # old increments lack the status column, new ones have another column order
     landing = Landing(scratch_path(spark, "landing"), PARTITIONED_LAYOUT)
-    orders = inputs.order_log(spark, sf).withColumn("increment", F.year("date_time").cast("string"))
+    orders = _kept(inputs.order_log(spark, sf).withColumn("increment", F.year("date_time").cast("string")), "orders")
     new = F.col("date_time") >= F.lit(EVOLVED).cast("timestamp_ntz")
     folder = f"{landing.root}/user_order_log"
     old_rows, new_rows = orders.where(~new).drop("status"), orders.where(new)
@@ -503,7 +510,8 @@ def _(spark, sf):
 def _(spark, sf):
     # keys staged by one load a year; the window looks at the loads of 1996 and later
     rows = inputs.order_log(spark, sf, "uniq_id", "date_time", "customer_id")
+    rows = _kept(rows.withColumn("year", F.year("date_time")), "rows", "year")
     index = KeyIndex(spark, scratch_path(spark, "index"), [T.StructField("uniq_id", T.StringType())], "load_date")
     for year in range(1992, int(EVOLVED[:4])):
-        index.replace(rows.where(F.year("date_time") == year), f"{year}-01-01")
-    return cleaning.dedup_against_index(rows, index, since="1996-01-01")
+        index.replace(rows.where(F.col("year") == year), f"{year}-01-01")
+    return cleaning.dedup_against_index(rows.drop("year"), index, since="1996-01-01")

@@ -141,3 +141,22 @@ def test_marts_open_only_the_loads_that_hold_their_dates(spark):
     assert any("GreaterThanOrEqual(date_time" in line for line in plan_text(sales).splitlines() if "PushedFilters" in line)
     want = web.where(F.col("load_date").isin(*days)).count()
     assert staged_rows.count() == want > 0
+
+
+@pytest.mark.parametrize("name", ["dedup_against_index", "read_increment_csv"])
+def test_order_log_is_joined_once(spark, monkeypatch, name):
+    """Steps that read the order log several times read rows that were written once."""
+    seen, order_log = spark.sparkContext.accumulator(0), inputs.order_log
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def log(*args, **options):
+        rows = order_log(*args, **options)
+        return rows.mapInArrow(counted, rows.schema)
+
+    monkeypatch.setattr(inputs, "order_log", log)
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert seen.value == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
