@@ -9,7 +9,7 @@ right, so an n-gram knows both of its (n - 1)-grams.
 
 Only phrases that occur ``LEAST`` times in the whole language matter, and most distinct n-grams occur once. So a first
 pass over the shards sums words, pairs and triples by hash: they are dealt to buckets whose number grows with the
-input, a bucket's 40-bit hashes are added up, and those that reach ``LEAST`` set bits in a bitmap of 2**``BITS`` (8 MB,
+input, a bucket's hashes are added up, and those that reach ``LEAST`` set bits in a bitmap of 2**``BITS`` (8 MB,
 whatever the input). The second pass gives a word, and extends an interval, only if the n-gram's bit is set. The bitmap
 never stops a phrase that is frequent enough, whatever the shard that holds it, and the exact sums of the second pass
 decide, so it saves rows and changes none.
@@ -35,8 +35,8 @@ from martloom.llm.words import mixed
 DEPTH, LEAST, TOP = 3, 10, 2000
 SHARD_WORDS = 3 << 19
 BITS = 26
-#: Text bytes for each bucket of hashes: about two million of them, 5 bytes each before they are compressed.
-BUCKET_BYTES = 1 << 23
+#: Text bytes for each bucket of hashes: about two million of them, which ``LOW_BITS`` bits tell apart but for some.
+BUCKET_BYTES, LOW_BITS = 1 << 23, 24
 _SALTS = 64
 # Characters that end a piece; all become the first one.
 _CUTS = b".,;:!?\n\x0b\x0c\r"
@@ -99,29 +99,41 @@ def word_hashes(shard: Shard) -> np.ndarray:
 
 
 def gram_hashes(*words: np.ndarray) -> np.ndarray:
-    """40-bit hashes of n-grams, given the hashes of their words."""
+    """48-bit hashes of n-grams, given the hashes of their words."""
     total = np.full(len(words[0]), len(words), np.uint64)
     for place, word in zip(_PLACE, words):
         total += word * place
-    return mixed(total) >> np.uint64(24)
+    return mixed(total) >> np.uint64(16)
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """The upper bits spread over the buckets, so that the lower 32 tell a bucket's hashes apart."""
-    return ((hashes >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
+    """The upper bits spread over the buckets, the lower ones tell a bucket's hashes apart."""
+    return ((hashes >> np.uint64(LOW_BITS)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _low(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64((1 << LOW_BITS) - 1)).astype(np.uint32)
 
 
 def packed(hashes: np.ndarray, counts: np.ndarray) -> bytes:
-    """A bucket's hashes, in order, and their counts: the steps between hashes, byte by byte, compress well."""
-    steps = np.diff(hashes, prepend=np.uint32(0)).astype("<u4")
-    planes = steps.view(np.uint8).reshape(-1, 4).T
-    return pa.compress(planes.tobytes() + counts.tobytes(), codec="zstd", asbytes=True)
+    """The lower bits of a bucket's hashes, in order, and their counts.
+
+    The lowest byte of the steps between hashes is as good as random; the others and the counts compress well.
+    """
+    steps = np.diff(hashes, prepend=np.uint32(0))
+    upper = [(steps >> np.uint32(8 * i)).astype(np.uint8).tobytes() for i in range(1, LOW_BITS // 8)]
+    rest = (pa.compress(part, codec="zstd", asbytes=True) for part in (*upper, counts.tobytes()))
+    return b"".join([steps.astype(np.uint8).tobytes(), *(len(r).to_bytes(4, "little") + r for r in rest)])
 
 
 def unpacked(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
-    plain = np.frombuffer(pa.decompress(data, decompressed_size=5 * n, codec="zstd", asbytes=True), np.uint8)
-    steps = np.ascontiguousarray(plain[:4 * n].reshape(4, n).T).view("<u4")[:, 0]
-    return np.cumsum(steps, dtype=np.uint32), plain[4 * n:]
+    parts, at = [data[:n]], n
+    while at < len(data):
+        size = int.from_bytes(data[at:at + 4], "little")
+        parts.append(pa.decompress(data[at + 4:at + 4 + size], decompressed_size=n, codec="zstd", asbytes=True))
+        at += 4 + size
+    *steps, counts = (np.frombuffer(part, np.uint8) for part in parts)
+    return np.cumsum(sum(s.astype(np.uint32) << np.uint32(8 * i) for i, s in enumerate(steps)), dtype=np.uint32), counts
 
 
 class FmIndex:
@@ -227,18 +239,18 @@ def _gram_counts(buckets: int):
         hashes.append(gram_hashes(own[first // top], own[first % top], own[triples % top]))
         times.append(counts)
         hashes, counts = np.concatenate(hashes), np.minimum(np.concatenate(times), LEAST).astype(np.uint8)
-        bucket = _bucket(hashes, buckets)
-        order = np.lexsort((hashes, bucket))
-        hashes, counts, bucket = hashes[order].astype(np.uint32), counts[order], bucket[order]
+        bucket, low = _bucket(hashes, buckets), _low(hashes)
+        order = np.lexsort((low, bucket))
+        low, counts, bucket = low[order], counts[order], bucket[order]
         edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
         yield {"bucket": bucket[edges[:-1]], "n": np.diff(edges),
-               "sums": [packed(hashes[a:b], counts[a:b]) for a, b in zip(edges[:-1], edges[1:])]}
+               "sums": [packed(low[a:b], counts[a:b]) for a, b in zip(edges[:-1], edges[1:])]}
 
     return process
 
 
 def bitmap_place(bucket: np.ndarray | int, low: np.ndarray) -> np.ndarray:
-    """Place in the bitmap of an n-gram's bucket and lower 32 bits."""
+    """Place in the bitmap of an n-gram's bucket and lower bits."""
     return (mixed(low.astype(np.uint64) + np.uint64(1 << 32) * np.asarray(bucket).astype(np.uint64))
             >> np.uint64(64 - BITS)).astype(np.int64)
 
@@ -292,7 +304,7 @@ def _grams(bitmap, buckets: int):
         def frequent(starts: np.ndarray, size: int) -> np.ndarray:
             at = index.order[starts]
             hashes = gram_hashes(*[own[ids[at + i]] for i in range(size)])
-            place = bitmap_place(_bucket(hashes, buckets), hashes.astype(np.uint32))
+            place = bitmap_place(_bucket(hashes, buckets), _low(hashes))
             return (bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
         starts, interval = index.words()

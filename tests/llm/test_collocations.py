@@ -91,10 +91,13 @@ def test_words_count_in_shards_without_their_phrases(spark):
 
 
 def test_packed_sums():
-    hashes = np.array([0, 0, 7, 2**31, 2**32 - 1], np.uint32)
+    hashes = np.array([0, 0, 7, 2**20, 2**24 - 1], np.uint32)
     for n in (1, 3, 5):
         got = co.unpacked(co.packed(hashes[:n], np.arange(n, dtype=np.uint8)), n)
         assert got[0].tolist() == hashes[:n].tolist() and got[1].tolist() == list(range(n))
+    # of two million hashes a bucket, spread over a hundred shards, one takes two bytes
+    hashes = np.sort(np.random.default_rng(1).integers(0, 2**24, 10_000)).astype(np.uint32)
+    assert len(co.packed(hashes, np.ones(10_000, np.uint8))) < 2.1 * 10_000
 
 
 @settings(max_examples=200, deadline=None)
