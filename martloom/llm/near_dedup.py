@@ -80,13 +80,15 @@ def low_bytes(regs: np.ndarray) -> np.ndarray:
 def _equal_bytes(a: str, b: str) -> Column:
     """Number of equal low bytes of two columns of ``low_bytes``."""
     sevens, high = F.lit(0x007F7F7F7F7F7F7F), F.lit(0x0080808080808080)
-    total = F.lit(0)
-    for i in range(COMPARED // 7):
-        differs = F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))
+
+    def unequal(differs: Column) -> Column:
         # the high bit of a byte stays unset where the byte is zero
         some = (differs.bitwiseAND(sevens) + sevens).bitwiseOR(differs)
-        total = total + F.lit(7) - F.bit_count(some.bitwiseAND(high))
-    return total
+        return F.bit_count(some.bitwiseAND(high))
+
+    # by a function of each word: spelt out, a join's generated code is too long for the JVM to compile
+    words = F.zip_with(F.col(a), F.col(b), lambda x, y: x.bitwiseXOR(y))
+    return F.aggregate(words, F.lit(COMPARED), lambda total, word: total - unequal(word))
 
 
 def likeliest(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:

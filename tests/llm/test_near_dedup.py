@@ -1,8 +1,13 @@
+import random
+import re
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from martloom.llm import line_dedup as ld
 from martloom.llm import near_dedup as nd
-from martloom.llm.common import LEAST, close
+from martloom.llm.common import LEAST, MARGIN, close
 from martloom.llm.words import WordHashes, shingles
 from tests.conftest import DATA
 from tests.llm.helpers import docs, sample, similar_pairs, smallest_reachable, word_shingles
@@ -83,3 +88,46 @@ def test_least_hashes_keep_similar_pairs(spark):
         kept.selectExpr("id as other", "least as y"), "other")
     assert max(len(r.least) for r in kept.collect()) == LEAST
     assert {r.id: r.close for r in pairs.select("id", close("x", "y", 85).alias("close")).collect()} == want
+
+
+def test_close_is_a_test_of_whole_arrays(spark):
+    """Full samples are compared as by the definition, without a function called for every hash."""
+    rng, rows = random.Random(7), []
+    for share in (0.0, 0.5, 0.7, 0.78, 0.8, 0.82, 0.9, 1.0):
+        for size in (300, 511, 512, 900, 2500):
+            every = [rng.randrange(-(1 << 31), 1 << 31) for _ in range(size)]
+            sets = ({h for h in every if rng.random() < (1 + share) / 2} for _ in "ab")
+            rows.append([sorted(s)[:LEAST] for s in sets])
+    least = LEAST
+
+    def want(x, y):
+        both = len({*x} & {*y})
+        if len(x) < least and len(y) < least:
+            return 180 * both >= 80 * (len(x) + len(y)) - 100
+        end = min(s[-1] for s in (x, y) if len(s) == least)
+        held = sum(v <= end for v in (*x, *y))
+        return 1.8 * both >= 0.8 * held - MARGIN * (0.8 * 0.2 / 1.8 * held) ** 0.5
+
+    pairs = spark.createDataFrame(rows, "x array<int>, y array<int>")
+    test = close("x", "y", 80)
+    got = [r.ok for r in pairs.select(test.alias("ok")).collect()]
+    assert got == [want(x, y) for x, y in rows] and {*got} == {True, False}
+    assert "lambda" not in pairs.select(test)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pair_tests_stay_short(spark):
+    """The generated code of a join with a pair test has no method of over 8000 bytes, which the JVM would interpret."""
+    table = spark.range(9).selectExpr("id", "id % 2 as k", "1 as n", "id as s0", "id as s1", "id as s2",
+                                      "sequence(0L, 31L) as low", "sequence(0, 9) as least")
+    x, y = (table.select(F.col("k").alias(f"{s}key"), *[F.col(c).alias(f"{s}{c}") for c in table.columns]) for s in ("x_", "y_"))
+    for test in (ld._likely("x_", "y_"), nd._equal_bytes("x_low", "y_low") >= 100):
+        joined = x.join(y.hint("merge"), F.col("x_key") == F.col("y_key")).where(
+            test & close("x_least", "y_least", 85)).groupBy("x_id", "y_id").count()
+        adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            said = spark._jvm.PythonSQLUtils.explainString(joined._jdf.queryExecution(), "codegen")
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", said)]
+        assert sizes and max(sizes) < 8000
