@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from martloom.operators import constraints
 from martloom.operators.quality import QualityError
@@ -53,11 +54,14 @@ def _broken_values(spec: TableSpec, columns: list[str]) -> list[tuple[str, str,
     ]
 
 
-def violations(wh: Warehouse, table: str, rows: DataFrame, stored: bool = True) -> list[Row]:
-    """(constraint, bad) of all broken constraints, from one job: at most one row per constraint."""
+def violations(wh: Warehouse, table: str, rows: DataFrame, stored: bool = True, keyed: bool = True) -> list[Row]:
+    """(constraint, bad) of all broken constraints, from one job: at most one row per constraint.
+
+    ``keyed=False`` leaves out the primary key.
+    """
     spec = TABLES[table]
     counts = []
-    if _natural_key(spec):
+    if keyed and _natural_key(spec):
         name = "primary_key:" + ",".join(_natural_key(spec))
         counts.append(repeated_keys(wh, table, rows, stored).agg(F.count(F.lit(1)).alias("bad")).select(
             F.lit(name).alias("constraint"), "bad"))
@@ -119,3 +123,24 @@ def enforced(
     flagged.where(F.size(BROKEN) > 0).write.mode("overwrite").parquet(
         f"{quarantine_path(wh, table)}/check_date={check_date.isoformat()}")
     return flagged.where(F.size(BROKEN) == 0).drop(BROKEN)
+
+
+def overwrite_enforced(
+    wh: Warehouse, table: str, rows: DataFrame, check_date: dt.date, bad_rows: str = "stop", batch_id: int | None = None,
+) -> None:
+    """``Warehouse.overwrite`` with the rows that ``enforced`` lets through.
+
+    They are computed once: their keys are compared while they are written beside the table (without a shuffle, where they are
+    grouped by them), the other constraints are checked on what is stored there. Only where one is broken are they computed
+    again, to be logged and set aside.
+    """
+    flag = "_repeated"
+    key = list(_natural_key(TABLES[table]))
+    repeated = F.lit(False)
+    if key:
+        again = F.row_number().over(Window.partitionBy(*key).orderBy(*key)) > 1
+        repeated = reduce(Column.__or__, [F.col(k).isNull() for k in key], again)
+    kept = wh.overwrite_if(table, rows.withColumn(flag, repeated), flag, lambda there: not violations(
+        wh, table, there, stored=False, keyed=False), batch_id)
+    if not kept:
+        wh.overwrite(table, enforced(wh, table, rows, check_date, bad_rows, stored=False), batch_id)

@@ -21,7 +21,7 @@ from martloom.operators import facts
 from martloom.operators.cleaning import dedup_if_keyed, drop_if_present
 from martloom.operators.keys import surrogate_ids
 from martloom.plans import manifest
-from martloom.plans.enforce import enforced
+from martloom.plans.enforce import enforced, overwrite_enforced
 from martloom.operators.quality import (
     ACTIVITY_RULES, ORDER_RULES, block_rows, check_rules, files_check, gate,
 )
@@ -84,7 +84,7 @@ def run_full(
             wh.keys(table).replace(wh.read(table))
 
     def fact(table: str, rows: DataFrame) -> None:
-        wh.overwrite(table, enforced(wh, table, rows, load_date, bad_rows, stored=False), batch_id)
+        overwrite_enforced(wh, table, rows, load_date, bad_rows, batch_id)
 
     _side_by_side([
         partial(dimension, "mart.d_calendar", dims.d_calendar(orders, activity, research), ["date_id"]),

@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -193,6 +194,32 @@ class Warehouse:
             else:
                 out.write.mode("overwrite").parquet(self.path(table))
 
+    def overwrite_if(
+        self, table: str, df: DataFrame, bad: str, accepted: Callable[[DataFrame], bool], batch_id: int | None = None,
+    ) -> bool:
+        """``overwrite`` with rows that are computed once: whether they have replaced the table.
+
+        They are written beside it, in its types, and take its place if every value fits its type, the boolean column ``bad``
+        is nowhere true and ``accepted`` says so of the stored rows. Else nothing has changed. For tables without partitions.
+        """
+        spec = TABLES[table]
+        source = {f.name: f.dataType for f in df.schema}
+        casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in spec.schema if source.get(f.name, f.dataType) != f.dataType}
+        lost = reduce(Column.__or__, [F.col(c).isNotNull() & cast.isNull() for c, cast in casts.items()], F.col(bad))
+        beside, found = f"{self.path(table)}._next-{uuid.uuid4().hex}", Observation(f"bad rows for {table}")
+        with _Audit(self, table, batch_id) as audit:
+            # a value that does not fit is counted, since a cast that stops the job would leave the constraints unchecked
+            typed = audit.counted(df).select(*[casts.get(c, F.col(c)).alias(c) for c in df.columns if c != bad], lost.alias(bad))
+            conform(typed.observe(found, F.count_if(bad).alias("rows")), spec).write.parquet(beside)
+            good = _count(found) == 0 and accepted(self.spark.read.schema(spec.schema).parquet(beside))
+            if good:
+                files.delete(self.spark, self.path(table))
+                files.move(self.spark, beside, self.path(table))
+            else:
+                files.delete(self.spark, beside)
+                audit.batch_id = None  # nothing was loaded
+        return good
+
     def _replace_all(self, spec: TableSpec, out: DataFrame, spread: bool) -> None:
         (partition,), path = spec.partition_by, self.path(spec.name)
         finish_replace(self.spark, path)
@@ -221,6 +248,15 @@ class Warehouse:
         append_table(literal_frame(self.spark, rows, spec.schema), self.path(spec.name))
 
 
+def _count(observed: Observation) -> int:
+    """What a write that has just ended has counted."""
+    try:
+        return observed.get["rows"]
+    except Py4JJavaError:
+        # the write succeeded, so its plan was one that Spark had found to be empty and keeps no metrics of
+        return 0
+
+
 class _Audit:
     """Writes one mart.load_history row per finished load of a batch, with the number of rows it wrote.
 
@@ -242,14 +278,6 @@ class _Audit:
         self.observed = Observation(f"rows of {self.table}")
         return rows.observe(self.observed, F.count(F.lit(1)).alias("rows"))
 
-    def _rows(self) -> int:
-        """Rows of the write that has just ended."""
-        try:
-            return self.observed.get["rows"]
-        except Py4JJavaError:
-            # the write succeeded, so its plan was one that Spark had found to be empty and keeps no metrics of
-            return 0
-
     def __enter__(self):
         self.start = self._now()
         return self
@@ -257,7 +285,7 @@ class _Audit:
     def __exit__(self, failure, *_):
         if failure is None and self.batch_id is not None:
             spec = TABLES["mart.load_history"]
-            row = [(self.start, self._now(), self._rows(), self.batch_id, self.table)]
+            row = [(self.start, self._now(), _count(self.observed), self.batch_id, self.table)]
             history = literal_frame(self.warehouse.spark, row, spec.schema).drop("batch_id", "target_table")
             folder = f"{self.warehouse.path(spec.name)}/batch_id={self.batch_id}/target_table={self.table}"
             # of a batch and table there is one row

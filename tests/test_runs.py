@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from martloom.operators import constraints
 from martloom.operators.quality import QualityError
 from martloom.plans import runs
-from martloom.plans.enforce import enforced, read_quarantined
+from martloom.plans.enforce import enforced, overwrite_enforced, read_quarantined
 from martloom.schemas import TABLES
 from martloom.session import scratch_path
 from martloom.sources import files
@@ -275,3 +275,54 @@ def test_rebuilt_tables_satisfy_their_constraints(spark):
         for fk in spec.foreign_keys:
             orphans = constraints.check_foreign_key(table, fk.column, wh.read(fk.parent), fk.parent_column, fk.unknown_keys)
             assert orphans.count() == 0, (name, fk)
+
+
+def full_extracts(spark):
+    source = scratch_path(spark, "source")
+    put(f"{source}/user_order_log.csv", ORDER_HEAD, order("a", "2024-01-03 10:00:00"), order("b", "2024-01-03 11:00:00", customer=2))
+    put(f"{source}/user_activity_log.csv", "uniq_id,date_time,action_id,customer_id,quantity,action", "a,2024-01-03 09:00:00,1,1,3,view")
+    put(f"{source}/customer_research.csv", "date_id,category_id,geo_id,sales_qty,sales_amt", "2024-01-03 00:00:00,4,1,2,9.50")
+    return source
+
+
+def test_rebuilt_facts_are_computed_once(spark, monkeypatch):
+    """Constraints of a fact are checked on what is written, not on the rows computed once more."""
+    seen, daily = spark.sparkContext.accumulator(0), runs.facts.f_daily_sales
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def computed(orders):
+        sales = daily(orders)
+        return sales.mapInArrow(counted, sales.schema)
+
+    monkeypatch.setattr(runs.facts, "f_daily_sales", computed)
+    wh = runs.run_full(spark, full_extracts(spark), scratch_path(spark, "wh"), "2024-01-31", batch_id=4)
+    assert rows(wh.read("mart.f_daily_sales"), "customer_id", "payment_amount") == [(1, Dec("10.00")), (2, Dec("10.00"))]
+    assert seen.value == 2
+    loads = wh.read("mart.load_history").where("target_table = 'mart.f_daily_sales'")
+    assert rows(loads, "batch_id", "row_count") == [(4, 2)]
+    assert not [n for n in os.listdir(f"{wh.root}/mart") if "_next" in n]
+
+
+@pytest.mark.parametrize("bad, constraint", [
+    ((20240103, 7, 1, Dec("5.00"), 1, Dec("5.00")), "primary_key:date_id,item_id,customer_id"),
+    ((20240103, 7, None, Dec("5.00"), 1, Dec("5.00")), "primary_key:date_id,item_id,customer_id"),
+    ((20240103, 8, 1, Dec("5.00"), 1, Dec("5.00")), "foreign_key:item_id"),
+    ((20240103, 7, 2, Dec("5.00"), 1, Dec("123456789.00")), "decimal:payment_amount"),
+])
+def test_facts_that_break_a_constraint_are_not_written(spark, bad, constraint):
+    wh = runs.run_full(spark, full_extracts(spark), scratch_path(spark, "wh"), "2024-01-31")
+    before = rows(wh.read("mart.f_daily_sales"))
+    schema = "date_id int, item_id int, customer_id bigint, price decimal(24,2), quantity bigint, payment_amount decimal(24,2)"
+    new = spark.createDataFrame([(20240103, 7, 1, Dec("6.00"), 1, Dec("6.00")), bad], schema)
+    with pytest.raises(QualityError, match=constraint):
+        overwrite_enforced(wh, "mart.f_daily_sales", new, D(2024, 1, 31), batch_id=5)
+    assert rows(wh.read("mart.f_daily_sales")) == before
+    overwrite_enforced(wh, "mart.f_daily_sales", new, D(2024, 1, 31), "quarantine", batch_id=5)
+    aside = read_quarantined(wh, "mart.f_daily_sales").where(F.array_contains("broken_constraints", constraint))
+    assert aside.count() + wh.read("mart.f_daily_sales").count() == 2
+    assert aside.count() == (2 if bad[:3] == (20240103, 7, 1) else 1)
+    assert not [n for n in os.listdir(f"{wh.root}/mart") if "_next" in n]
