@@ -41,10 +41,8 @@ def _kept(df, label, *partition_by):
 
 
 def _write_csv(df, path, partition_by=()):
-    text = {
-        f.name: F.date_format(f.name, "yyyy-MM-dd HH:mm:ss.SSSSSS") for f in df.schema
-        if f.dataType.typeName() == "timestamp_ntz"
-    }
+    # as text, with microseconds where there are any
+    text = {f.name: F.col(f.name).cast("string") for f in df.schema if f.dataType.typeName() == "timestamp_ntz"}
     df.withColumns(text).write.partitionBy(*partition_by).options(header=True, escape='"').csv(path)
 
 

@@ -62,15 +62,17 @@ def order_log(spark: SparkSession, sf_dir: str, *columns: str, dirty: bool = Fal
     exprs = _dirty_columns() if dirty else _order_columns()
     wanted = set(columns)
     rows = table(spark, sf_dir, "lineitem")
+    # lines are shuffled while they are narrow: parts bring one column, orders and customers the others
+    if "item_name" in wanted:
+        rows = rows.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     if wanted & {"date_time", "customer_id", "city_id", "city_name", "first_name", "last_name"}:
         orders = table(spark, sf_dir, "orders")
+        # customers meet the orders, of which there are fewer than lines
+        if wanted & {"city_id", "city_name", "first_name", "last_name"}:
+            orders = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        if "city_name" in wanted:
+            orders = orders.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    if wanted & {"city_id", "city_name", "first_name", "last_name"}:
-        rows = rows.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    if "city_name" in wanted:
-        rows = rows.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    if "item_name" in wanted:
-        rows = rows.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return rows.select(*[exprs[c].alias(c) for c in columns])
 
 

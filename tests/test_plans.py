@@ -160,3 +160,13 @@ def test_order_log_is_joined_once(spark, monkeypatch, name):
     monkeypatch.setattr(inputs, "order_log", log)
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
     assert seen.value == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+
+
+def test_order_lines_are_shuffled_for_parts_and_orders_only(spark, no_broadcast):
+    """Customers and nations meet the orders before the lines do, and lines meet parts while they are narrow."""
+    plan = plan_text(inputs.order_log(spark, DATA), "extended")
+    logical = plan[plan.index("Optimized Logical Plan"):plan.index("Physical Plan")]
+    joins = [line for line in logical.splitlines() if "Join Inner" in line]
+    # the tree is printed from the last join on: lines with orders, then each side's own joins
+    assert "l_orderkey" in joins[0] and "o_orderkey" in joins[0]
+    assert ["l_partkey" in j for j in joins[1:]] == [True, False, False]
