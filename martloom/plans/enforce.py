@@ -7,6 +7,7 @@ no stored row is read for it.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
@@ -144,3 +145,12 @@ def overwrite_enforced(
         wh, table, there, stored=False, keyed=False), batch_id)
     if not kept:
         wh.overwrite(table, enforced(wh, table, rows, check_date, bad_rows, stored=False), batch_id)
+
+
+def replace_enforced(
+    wh: Warehouse, table: str, rows: DataFrame, check_date: dt.date, expected: Collection[dt.date], bad_rows: str = "stop",
+    batch_id: int | None = None,
+) -> None:
+    """``Warehouse.replace`` with the rows that ``enforced`` lets through; computed once, as in ``overwrite_enforced``."""
+    if not wh.replace_if(table, rows, expected, lambda there: not violations(wh, table, there), batch_id):
+        wh.replace(table, enforced(wh, table, rows, check_date, bad_rows), expected, batch_id)

@@ -21,7 +21,7 @@ from martloom.operators import facts
 from martloom.operators.cleaning import dedup_if_keyed, drop_if_present
 from martloom.operators.keys import surrogate_ids
 from martloom.plans import manifest
-from martloom.plans.enforce import enforced, overwrite_enforced
+from martloom.plans.enforce import enforced, overwrite_enforced, replace_enforced
 from martloom.operators.quality import (
     ACTIVITY_RULES, ORDER_RULES, block_rows, check_rules, files_check, gate,
 )
@@ -278,7 +278,7 @@ def refresh_marts(
         rows = facts.f_sales_backfill(
             orders.where(F.col("date_time").cast("date").isin(*sale_dates)),
             wh.read("mart.d_calendar"), min(sale_dates), max(sale_dates))
-        wh.replace("mart.f_sales", enforced(wh, "mart.f_sales", rows, check_date, bad_rows), sale_dates, batch_id)
+        replace_enforced(wh, "mart.f_sales", rows, check_date, sale_dates, bad_rows, batch_id)
 
     def retention() -> None:
         weeks = {d - dt.timedelta(days=d.weekday()) for d in sale_dates}
@@ -315,7 +315,7 @@ def run_increment(
     def sales() -> None:
         orders = manifest.staged(wh, "user_order_log", [ds])
         rows = facts.f_sales(orders, wh.read("mart.d_calendar"), ds).withColumn("sale_date", F.lit(ds))
-        wh.replace("mart.f_sales", enforced(wh, "mart.f_sales", rows, ds, bad_rows), [ds], batch_id)
+        replace_enforced(wh, "mart.f_sales", rows, ds, [ds], bad_rows, batch_id)
 
     def retention() -> None:
         week = previous_week(ds)[0]

@@ -54,8 +54,8 @@ _COMMIT, _TAG = "_commit", "_tag"
 
 def replace_partitions(
     df: DataFrame, path: str, partition: str, expected: Iterable[dt.date] = (), serial: str | None = None,
-    tag: str | None = None, spread: bool = True,
-) -> None:
+    tag: str | None = None, spread: bool = True, accepted: Callable[[str], bool] | None = None,
+) -> bool:
     """Write date partitions so that a rerun replaces them, all of them or none.
 
     The rows go to a hidden folder first, in one job whatever the number of dates. Then a small commit record
@@ -66,17 +66,21 @@ def replace_partitions(
     Rows are rebalanced on the partition column, where Spark splits partitions that are
     too large, so one hot date is written by many tasks. A date in ``expected`` that has no
     rows in this run is emptied. ``serial`` names a column to fill with row numbers. ``tag`` names the load
-    (see ``last_tag``).
+    (see ``last_tag``). ``accepted`` looks at the hidden folder before anything is replaced; the result says whether it was.
     """
     spark = df.sparkSession
     finish_replace(spark, path)
     folder = f"_next-{uuid.uuid4().hex}"
     _balanced(df, partition, serial, spread).write.partitionBy(partition).parquet(f"{path}/{folder}")
+    if accepted is not None and not accepted(f"{path}/{folder}"):
+        files.delete(spark, f"{path}/{folder}")
+        return False
     filled = [n for n in files.names(spark, f"{path}/{folder}") if n.startswith(f"{partition}=")]
     emptied = sorted({f"{partition}={d.isoformat()}" for d in expected} - set(filled))
     record = {"folder": folder, "filled": filled, "emptied": emptied, "tag": tag}
     files.write_text(spark, f"{path}/{_COMMIT}", json.dumps(record))
     finish_replace(spark, path)
+    return True
 
 
 def finish_replace(spark: SparkSession, path: str) -> None:
@@ -202,15 +206,10 @@ class Warehouse:
         They are written beside it, in its types, and take its place if every value fits its type, the boolean column ``bad``
         is nowhere true and ``accepted`` says so of the stored rows. Else nothing has changed. For tables without partitions.
         """
-        spec = TABLES[table]
-        source = {f.name: f.dataType for f in df.schema}
-        casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in spec.schema if source.get(f.name, f.dataType) != f.dataType}
-        lost = reduce(Column.__or__, [F.col(c).isNotNull() & cast.isNull() for c, cast in casts.items()], F.col(bad))
-        beside, found = f"{self.path(table)}._next-{uuid.uuid4().hex}", Observation(f"bad rows for {table}")
+        spec, beside = TABLES[table], f"{self.path(table)}._next-{uuid.uuid4().hex}"
         with _Audit(self, table, batch_id) as audit:
-            # a value that does not fit is counted, since a cast that stops the job would leave the constraints unchecked
-            typed = audit.counted(df).select(*[casts.get(c, F.col(c)).alias(c) for c in df.columns if c != bad], lost.alias(bad))
-            conform(typed.observe(found, F.count_if(bad).alias("rows")), spec).write.parquet(beside)
+            typed, found = _unstopped(audit.counted(df), spec, F.col(bad))
+            typed.write.parquet(beside)
             good = _count(found) == 0 and accepted(self.spark.read.schema(spec.schema).parquet(beside))
             if good:
                 files.delete(self.spark, self.path(table))
@@ -220,6 +219,24 @@ class Warehouse:
                 audit.batch_id = None  # nothing was loaded
         return good
 
+    def replace_if(
+        self, table: str, df: DataFrame, expected: Iterable[dt.date], accepted: Callable[[DataFrame], bool],
+        batch_id: int | None = None,
+    ) -> bool:
+        """``replace`` with rows that are computed once: whether they have replaced their partitions.
+
+        They do if every value fits its type and ``accepted`` says so of the rows as written. Else nothing has changed.
+        """
+        spec = TABLES[table]
+        with _Audit(self, table, batch_id) as audit:
+            typed, found = _unstopped(audit.counted(df), spec)
+            good = replace_partitions(
+                typed, self.path(table), spec.partition_by[0], expected, spec.serial, accepted=lambda folder:
+                _count(found) == 0 and accepted(self.spark.read.schema(spec.schema).parquet(folder)))
+            if not good:
+                audit.batch_id = None  # nothing was loaded
+        return good
+
     def _replace_all(self, spec: TableSpec, out: DataFrame, spread: bool) -> None:
         (partition,), path = spec.partition_by, self.path(spec.name)
         finish_replace(self.spark, path)
@@ -248,6 +265,20 @@ class Warehouse:
         append_table(literal_frame(self.spark, rows, spec.schema), self.path(spec.name))
 
 
+def _unstopped(df: DataFrame, spec: TableSpec, bad: Column | None = None) -> tuple[DataFrame, Observation]:
+    """``conform``, but a value that does not fit becomes NULL, and the rows with one (or with ``bad``) are counted.
+
+    For rows whose constraints are checked once they are written: a cast that stops the job would leave them unchecked.
+    """
+    source = {f.name: f.dataType for f in df.schema}
+    casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in spec.schema if source.get(f.name, f.dataType) != f.dataType}
+    lost = [F.col(c).isNotNull() & cast.isNull() for c, cast in casts.items()]
+    lost = reduce(Column.__or__, lost, F.lit(False) if bad is None else bad)
+    found = Observation(f"bad rows for {spec.name}")
+    own = [casts.get(c, F.col(c)).alias(c) for c in df.columns if c in {f.name for f in spec.schema}]
+    return conform(df.select(*own, lost.alias("_lost")).observe(found, F.count_if("_lost").alias("rows")), spec), found
+
+
 def _count(observed: Observation) -> int:
     """What a write that has just ended has counted."""
     try:

@@ -326,3 +326,30 @@ def test_facts_that_break_a_constraint_are_not_written(spark, bad, constraint):
     assert aside.count() + wh.read("mart.f_daily_sales").count() == 2
     assert aside.count() == (2 if bad[:3] == (20240103, 7, 1) else 1)
     assert not [n for n in os.listdir(f"{wh.root}/mart") if "_next" in n]
+
+
+def test_sales_are_computed_once(spark, landing, monkeypatch):
+    """As the facts of a rebuild: their constraints are checked on what is written, in daily runs and back-fills."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def counting(operator):
+        def computed(*args):
+            sales = operator(*args)
+            return sales.mapInArrow(counted, sales.schema)
+        return computed
+
+    for name in ("f_sales", "f_sales_backfill"):
+        monkeypatch.setattr(runs.facts, name, counting(getattr(runs.facts, name)))
+    root = scratch_path(spark, "wh")
+    runs.run_increment(spark, landing, root, "2024-01-03", batch_id=1)
+    assert seen.value == 2
+    land(landing, "2024-01-04", [order("f", "2024-01-04 10:00:00", status="shipped")])
+    wh = runs.run_backfill(spark, landing, root, "2024-01-04", "2024-01-04", batch_id=2)
+    assert seen.value == 3 and wh.read("mart.f_sales").count() == 3
+    loads = wh.read("mart.load_history").where("target_table = 'mart.f_sales'")
+    assert rows(loads, "batch_id", "row_count") == [(1, 2), (2, 1)]
