@@ -1,5 +1,7 @@
 """Sources, sinks, cleaning and whole runs: written to the shared scratch folder, read back."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -287,9 +289,10 @@ def _(spark, sf):
 def _rebuilt(spark, sf):
     """The warehouse after a full rebuild from whole-history files."""
     source = scratch_path(spark, "source")
-    _write_csv(inputs.order_log(spark, sf), f"{source}/user_order_log.csv")
-    _write_csv(inputs.activity_log(spark, sf), f"{source}/user_activity_log.csv")
-    _write_csv(inputs.research(spark, sf), f"{source}/customer_research.csv")
+    runs.side_by_side([partial(_write_csv, rows, f"{source}/{name}.csv") for name, rows in (
+        ("user_order_log", inputs.order_log(spark, sf)), ("user_activity_log", inputs.activity_log(spark, sf)),
+        ("customer_research", inputs.research(spark, sf)),
+    )])
     return runs.run_full(spark, source, scratch_path(spark, "warehouse"), "2024-01-31", batch_id=1)
 
 
@@ -356,12 +359,14 @@ def _landed_web_logs(spark, sf):
     # a price line for every item sold on a day
     sold = orders.select(day.alias("datetime"), "item_id").distinct()
     prices = sold.join(inputs.price_log(spark, sf).drop("datetime"), "item_id")
-    for name, rows, stamp in (
-        ("user_order_log", orders, "date_time"), ("user_activity_log", activity, "date_time"),
-        ("customer_research", research, "date_id"), ("price_log", prices, "datetime"),
-    ):
+    def land(name, rows, stamp):
         dated = rows.withColumn("increment", F.date_format(stamp, "yyyy-MM-dd"))
         _write_csv(dated, f"{landing.root}/{name}", ["increment"])
+
+    runs.side_by_side([partial(land, *dataset) for dataset in (
+        ("user_order_log", orders, "date_time"), ("user_activity_log", activity, "date_time"),
+        ("customer_research", research, "date_id"), ("price_log", prices, "datetime"),
+    )])
     days = [r["increment"] for r in activity.select(
         F.date_format("date_time", "yyyy-MM-dd").alias("increment")).distinct().orderBy("increment").collect()]
     return landing, days

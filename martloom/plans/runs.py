@@ -69,7 +69,7 @@ def run_full(
         rows = read_full_csv(spark, f"{source_dir.rstrip('/')}/{name}.csv", name, multiline=multiline)
         wh.overwrite(_stage(name), rows.withColumn("load_date", day), batch_id, spread=False)
 
-    _side_by_side([partial(stage, name) for name in FULL_DATASETS])
+    side_by_side([partial(stage, name) for name in FULL_DATASETS])
 
     orders = wh.read("staging.user_order_log")
     activity = wh.read("staging.user_activity_log")
@@ -86,7 +86,7 @@ def run_full(
     def fact(table: str, rows: DataFrame) -> None:
         overwrite_enforced(wh, table, rows, load_date, bad_rows, batch_id)
 
-    _side_by_side([
+    side_by_side([
         partial(dimension, "mart.d_calendar", dims.d_calendar(orders, activity, research), ["date_id"]),
         partial(dimension, "mart.d_customer", dims.d_customer_full(orders), ["customer_id"]),
         partial(dimension, "mart.d_item", dims.d_item_full(orders), ["item_id", "item_name"]),
@@ -94,7 +94,7 @@ def run_full(
         partial(dimension, "mart.d_category", dims.d_category(research), ["category_id"]),
         partial(manifest.rebuild, wh),
     ])
-    _side_by_side([
+    side_by_side([
         partial(fact, "mart.f_activity", facts.f_activity(activity)),
         partial(fact, "mart.f_daily_sales", facts.f_daily_sales(orders)),
         partial(fact, "mart.f_research", facts.f_research(research)),
@@ -110,7 +110,7 @@ def clean_increment(rows: DataFrame, dataset: str) -> DataFrame:
     return rows
 
 
-def _side_by_side(loads: Sequence[Callable[[], None]]) -> None:
+def side_by_side(loads: Sequence[Callable[[], None]]) -> None:
     """Run independent loads at the same time, so that small ones do not leave executors idle."""
     with ThreadPoolExecutor(len(loads)) as pool:
         for load in [pool.submit(f) for f in loads]:
@@ -139,7 +139,7 @@ def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
     wh.create_tables(if_absent=True)
     if not listed:
         manifest.rebuild(wh)
-    _side_by_side([partial(wh.indexed_keys, table) for table in INDEXED])
+    side_by_side([partial(wh.indexed_keys, table) for table in INDEXED])
     return wh
 
 
@@ -158,7 +158,7 @@ def _stage_increments(
             replace_partitions(blocked, quarantine_path(wh, name), "load_date", days)
         wh.replace(_stage(name), rows, days, batch_id)
 
-    _side_by_side([partial(load, name) for name in DATASETS])
+    side_by_side([partial(load, name) for name in DATASETS])
 
 
 def _check(
@@ -204,7 +204,7 @@ def _add_dimension_rows(wh: Warehouse, days: Sequence[dt.date], batch_id, check_
     def dimension(table: str, operator: Callable, order: Sequence[str]) -> None:
         added(table, operator(orders, wh.read(table)), order)
 
-    _side_by_side([
+    side_by_side([
         calendar,
         partial(dimension, "mart.d_customer", dims.d_customer_new, ["customer_id", "first_name", "last_name"]),
         partial(dimension, "mart.d_item", dims.d_item_new, ["item_id", "item_name"]),
@@ -233,9 +233,9 @@ def settle(
     datasets: Sequence[str] = tuple(RULES),
 ) -> None:
     """What follows a staging load: its manifest and quality gate, then dimension rows and daily parts."""
-    _side_by_side([
+    side_by_side([
         partial(manifest.record, wh, days), partial(_check, wh, days, check_date, whole_table_checks, bad_rows, datasets)])
-    _side_by_side([
+    side_by_side([
         partial(_add_dimension_rows, wh, days, batch_id, check_date, bad_rows), partial(_add_parts, wh, days, batch_id)])
 
 
@@ -286,7 +286,7 @@ def refresh_marts(
         rows = facts.retention_backfill(orders.where(week_start("date_time").isin(*weeks)), min(weeks), max(weeks))
         wh.replace("mart.f_customer_retention", rows, weeks, batch_id)
 
-    _side_by_side([sales, retention, partial(_merge_daily_sales, wh, sale_dates, batch_id)])
+    side_by_side([sales, retention, partial(_merge_daily_sales, wh, sale_dates, batch_id)])
 
 
 def run_increment(
@@ -323,5 +323,5 @@ def run_increment(
         rows = facts.f_customer_retention(orders, ds).withColumn("week_start", F.lit(week))
         wh.replace("mart.f_customer_retention", rows, [week], batch_id)
 
-    _side_by_side([sales, retention, partial(_merge_daily_sales, wh, touched, batch_id)])
+    side_by_side([sales, retention, partial(_merge_daily_sales, wh, touched, batch_id)])
     return wh
