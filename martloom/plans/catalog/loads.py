@@ -15,7 +15,7 @@ from martloom.plans.catalog.registry import query
 from martloom.plans.enforce import BROKEN, enforced, read_quarantined
 from martloom.plans.stream import stream_to_marts
 from martloom.schemas import TABLES
-from martloom.session import scratch_path
+from martloom.session import delete, scratch_path, tidy
 from martloom.sources.csv_files import (
     CORRUPT, FILE, POSITION, REJECTED, infer_and_cast, nan_to_null, read_csv_by_name, read_full_csv, read_increment_csv, read_routed,
     route_rejects, split_rejects,
@@ -42,10 +42,11 @@ def _kept(df, label, *partition_by):
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def _write_csv(df, path, partition_by=()):
+def _write_csv(df, path, partition_by=(), **options):
     # as text, with microseconds where there are any
     text = {f.name: F.col(f.name).cast("string") for f in df.schema if f.dataType.typeName() == "timestamp_ntz"}
-    df.withColumns(text).write.partitionBy(*partition_by).options(header=True, escape='"').csv(path)
+    with tidy(df.sparkSession):
+        df.withColumns(text).write.partitionBy(*partition_by).options(header=True, escape='"', **options).csv(path)
 
 
 # sources
@@ -287,13 +288,14 @@ def _(spark, sf):
 # whole runs
 
 def _rebuilt(spark, sf):
-    """The warehouse after a full rebuild from whole-history files."""
-    source = scratch_path(spark, "source")
-    runs.side_by_side([partial(_write_csv, rows, f"{source}/{name}.csv") for name, rows in (
+    """The warehouse after a full rebuild from whole-history files, compressed ones, which go once they are staged."""
+    source, packed = scratch_path(spark, "source"), {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    runs.side_by_side([partial(_write_csv, rows, f"{source}/{name}.csv", **packed) for name, rows in (
         ("user_order_log", inputs.order_log(spark, sf)), ("user_activity_log", inputs.activity_log(spark, sf)),
         ("customer_research", inputs.research(spark, sf)),
     )])
-    return runs.run_full(spark, source, scratch_path(spark, "warehouse"), "2024-01-31", batch_id=1)
+    return runs.run_full(
+        spark, source, scratch_path(spark, "warehouse"), "2024-01-31", batch_id=1, staged=partial(delete, spark, source))
 
 
 @query("full_rebuild_daily_sales", f"""select date_id, item_id, cast(customer_id as int) customer_id,

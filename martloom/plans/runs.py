@@ -50,12 +50,12 @@ def _stage(name: str) -> str:
 
 def run_full(
     spark: SparkSession, source_dir: str, root: str, load_date: dt.date | str, batch_id: int | None = None,
-    bad_rows: str = "stop", multiline: bool = False,
+    bad_rows: str = "stop", multiline: bool = False, staged: Callable[[], None] | None = None,
 ) -> Warehouse:
     """Reload the three whole-history extracts and rebuild dimensions and facts from them.
 
     Rows that break a declared constraint of the mart stop the run; ``bad_rows="quarantine"`` sets them aside.
-    ``multiline`` reads quoted line breaks.
+    ``multiline`` reads quoted line breaks. ``staged`` is called once all rows are in staging: nothing reads the extracts after that.
     """
     known_choice(bad_rows)
     wh = Warehouse(spark, root)
@@ -70,6 +70,8 @@ def run_full(
         wh.overwrite(_stage(name), rows.withColumn("load_date", day), batch_id, spread=False)
 
     side_by_side([partial(stage, name) for name in FULL_DATASETS])
+    if staged is not None:
+        staged()
 
     orders = wh.read("staging.user_order_log")
     activity = wh.read("staging.user_activity_log")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.schemas import TABLES, TableSpec, conform
-from martloom.session import literal_frame, materialise
+from martloom.session import literal_frame, materialise, tidy
 from martloom.sources import files
 from martloom.sources.key_index import KeyIndex
 
@@ -291,12 +291,13 @@ def _count(observed: Observation) -> int:
 class _Audit:
     """Writes one mart.load_history row per finished load of a batch, with the number of rows it wrote.
 
-    A repeated load of a batch replaces its row.
+    A repeated load of a batch replaces its row. Shuffles of a load end with it (``tidy``).
     """
 
     def __init__(self, warehouse: Warehouse, table: str, batch_id: int | None):
         self.warehouse, self.table, self.batch_id = warehouse, table, batch_id
         self.observed = None
+        self.tidy = tidy(warehouse.spark)
 
     @staticmethod
     def _now() -> dt.datetime:
@@ -311,9 +312,11 @@ class _Audit:
 
     def __enter__(self):
         self.start = self._now()
+        self.tidy.__enter__()
         return self
 
     def __exit__(self, failure, *_):
+        self.tidy.__exit__(None, None, None)
         if failure is None and self.batch_id is not None:
             spec = TABLES["mart.load_history"]
             row = [(self.start, self._now(), _count(self.observed), self.batch_id, self.table)]

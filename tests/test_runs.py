@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import time
 from decimal import Decimal as Dec
 
 import pytest
@@ -8,10 +9,12 @@ from pyspark.sql import functions as F
 from martloom.operators import constraints
 from martloom.operators.quality import QualityError
 from martloom.plans import runs
+from martloom.plans.catalog import loads
 from martloom.plans.enforce import enforced, overwrite_enforced, read_quarantined
 from martloom.schemas import TABLES
 from martloom.session import scratch_path
 from martloom.sources import files
+from martloom.sources.csv_files import read_full_csv
 from martloom.sources.landing import Landing
 from martloom.sources.warehouse import Warehouse
 from tests.conftest import rows
@@ -353,3 +356,41 @@ def test_sales_are_computed_once(spark, landing, monkeypatch):
     assert seen.value == 3 and wh.read("mart.f_sales").count() == 3
     loads = wh.read("mart.load_history").where("target_table = 'mart.f_sales'")
     assert rows(loads, "batch_id", "row_count") == [(1, 2), (2, 1)]
+
+
+def test_extracts_may_go_once_they_are_staged(spark):
+    """Nothing of a rebuild reads the extracts after its staging."""
+    source, root, there = full_extracts(spark), scratch_path(spark, "wh"), []
+
+    def staged():
+        there.append(Warehouse(spark, root).read("staging.user_order_log").count())
+        files.delete(spark, source)
+
+    wh = runs.run_full(spark, source, root, "2024-01-31", staged=staged)
+    assert there == [2] and not files.exists(spark, source)
+    assert [wh.read(f"mart.{name}").count() for name in ("f_daily_sales", "f_activity", "f_research", "d_customer")] == [2, 1, 1, 2]
+
+
+def test_query_extracts_are_compressed(spark):
+    path = scratch_path(spark, "packed") + "/customer_research.csv"
+    table = spark.sql("select timestamp_ntz'2024-01-03 10:00:00' + make_interval(0, 0, 0, int(id)) as date_id, int(id) as category_id, 1 as geo_id, "
+                     "2 as sales_qty, cast(9.5 as decimal(14,2)) as sales_amt from range(0, 3000, 1, 3)")
+    loads._write_csv(table, path, compression="gzip")
+    assert all(name.endswith(".csv.gz") for name in files.names(spark, path))
+    back = read_full_csv(spark, path, "customer_research").select(*table.columns)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, table.collect()))
+
+
+def test_shuffles_end_with_their_load(spark):
+    """A table's load leaves no shuffle files behind, and the setting as it was."""
+    key, disk = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {n for n in (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())) if n.startswith("shuffle_")}
+    wh, before = Warehouse(spark, scratch_path(spark, "wh")), spark.conf.get(key)
+    wh.create_tables(["mart.f_activity"])
+    there = shuffles()
+    table = spark.range(0, 1000, 1, 3).groupBy((F.col("id") % 7).alias("activity_id")).agg(F.count("*").alias("click_number"))
+    wh.overwrite("mart.f_activity", table.select("activity_id", F.lit(20240103).alias("date_id"), "click_number"))
+    until = time.time() + 20
+    while (left := shuffles() - there) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(key) == before and wh.read("mart.f_activity").count() == 7
